@@ -1,0 +1,23 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side we ever broadcast on purpose. AQE may still broadcast other
+# sides when their runtime size is under spark.sql.autoBroadcastJoinThreshold.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only when it holds at most ``max_rows`` rows.
+
+    The check is ``limit(max_rows + 1).count()``: Spark stops scanning once
+    one row more than the bound has been seen, so the test stays cheap even
+    when the side turns out to be large. A side over the bound is returned
+    unchanged and the join falls back to a shuffle join (AQE may still pick
+    a broadcast from runtime statistics).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
