@@ -1 +1,263 @@
-"""(filled in below)"""
+"""Event-stream queries in batch form over the ``events`` and
+``conversations`` tables (streaming twins live in rivulet.streaming)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rivulet.functions.text import nonword_tokens
+from rivulet.operators import patterns as P
+from rivulet.operators import windows as W
+from rivulet.operators.iterate import fibonacci_steps
+from rivulet.operators.statemachine import state_machine_alerts
+from rivulet.operators.trigger import delta_trigger_top
+from rivulet.plans.catalog import query
+from rivulet.sources.tables import table
+
+CENTS = F.round(F.col("value") * 100).cast("long")
+_CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
+
+# Event type of the table -> letter of the state machine.
+EVENT_LETTERS = {"signup": "a", "click": "b", "error": "d", "view": "e", "purchase": "g"}
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events")
+
+
+@query("running_total", sql=f"""
+SELECT user_id, event_id,
+       CAST(sum({_CENTS_SQL}) OVER (PARTITION BY user_id ORDER BY event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents
+FROM events
+""")
+def running_total(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", CENTS.alias("cents"))
+    return W.running_sum(ev, "user_id", "event_id", "cents", "running_cents").drop("cents")
+
+
+@query("count_window", sql=f"""
+SELECT event_type, event_id, rn, window_cents FROM (
+  SELECT event_type, event_id, row_number() OVER w AS rn,
+         CAST(sum({_CENTS_SQL}) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS BIGINT)
+           AS window_cents
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+WHERE rn % 5 = 0
+""")
+def count_window(spark, sf):
+    ev = _events(spark, sf).select("event_type", "event_id", CENTS.alias("cents"))
+    return W.count_window_sum(ev, "event_type", "event_id", "cents", size=10, slide=5,
+                              out="window_cents").drop("cents")
+
+
+@query("tumbling_word_count", sql="""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS n
+FROM events GROUP BY 1, 2, 3
+""")
+def tumbling_word_count(spark, sf):
+    return W.tumbling(_events(spark, sf), "ts", "1 hour", ["event_type"],
+                      [F.count(F.lit(1)).alias("n")])
+
+
+@query("sliding_window_sum", sql=f"""
+SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, user_id,
+       CAST(sum(cents) AS BIGINT) AS sum_cents, count(*) AS n
+FROM (SELECT user_id, {_CENTS_SQL} AS cents,
+             time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS ws
+      FROM events, range(4) r(k))
+GROUP BY 1, 2, 3
+""")
+def sliding_window_sum(spark, sf):
+    ev = _events(spark, sf).withColumn("cents", CENTS)
+    return W.sliding(ev, "ts", "1 day", "6 hours", ["user_id"],
+                     [F.sum("cents").alias("sum_cents"), F.count(F.lit(1)).alias("n")])
+
+
+@query("session_window", sql=f"""
+WITH s AS (
+  SELECT user_id, event_id, ts, {_CENTS_SQL} AS cents,
+         CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 1 HOUR
+              THEN 1 ELSE 0 END AS st
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+n AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY event_id
+                              ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end,
+       count(*) AS n_events, CAST(sum(cents) AS BIGINT) AS sum_cents
+FROM n GROUP BY user_id, sid
+""")
+def session_window(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", CENTS.alias("cents"))
+    return W.sessions(ev, "user_id", "event_id", "ts", "1 hour",
+                      [F.count(F.lit(1)).alias("n_events"), F.sum("cents").alias("sum_cents")])
+
+
+@query("window_join", sql="""
+SELECT c.user_id, time_bucket(INTERVAL 1 DAY, c.ts) AS window_start,
+       c.event_id AS click_id, p.event_id AS purchase_id
+FROM events c JOIN events p
+  ON c.user_id = p.user_id AND time_bucket(INTERVAL 1 DAY, c.ts) = time_bucket(INTERVAL 1 DAY, p.ts)
+WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+""")
+def window_join(spark, sf):
+    ev = _events(spark, sf)
+    clicks = ev.where(F.col("event_type") == "click").select("user_id", "ts",
+                                                             F.col("event_id").alias("click_id"))
+    buys = ev.where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("ts_p"), F.col("event_id").alias("purchase_id"))
+    j = W.window_join(clicks, buys, ["user_id"], "ts", "ts_p", "1 day")
+    return j.select("user_id", "window_start", "click_id", "purchase_id")
+
+
+def _conv_tokens(spark, sf):
+    conv = table(spark, sf, "conversations")
+    return conv.select("conv_id", "turn", F.explode(nonword_tokens("text")).alias("token"))
+
+
+_TOKENS_SQL = """
+WITH t AS (SELECT conv_id, turn, unnest(regexp_split_to_array(lower(text), '\\W+')) AS token
+           FROM conversations)
+"""
+
+
+@query("side_output_kept", sql=_TOKENS_SQL + """
+SELECT token AS word, count(*) AS n FROM t
+WHERE length(token) BETWEEN 1 AND 5 GROUP BY token
+""")
+def side_output_kept(spark, sf):
+    toks = _conv_tokens(spark, sf)
+    kept = toks.where(F.length("token").between(1, 5))
+    return kept.groupBy(F.col("token").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("side_output_rejected", sql=_TOKENS_SQL + """
+SELECT conv_id, turn, 'rejected: ' || token AS rejected FROM t WHERE length(token) > 5
+""")
+def side_output_rejected(spark, sf):
+    toks = _conv_tokens(spark, sf)
+    return toks.where(F.length("token") > 5).select(
+        "conv_id", "turn", F.concat(F.lit("rejected: "), "token").alias("rejected"))
+
+
+@query("pattern_ab", sql="""
+SELECT user_id, event_id, ts, value, next_event_id FROM (
+  SELECT *, lead(event_type) OVER w AS nt, lead(ts) OVER w AS nts,
+         lead(event_id) OVER w AS next_event_id
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+WHERE event_type = 'click' AND nt = 'purchase' AND nts < ts + INTERVAL 1 HOUR
+""")
+def pattern_ab(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", "value", "event_type")
+    m = P.followed_by(ev, "user_id", "event_id", "ts", F.col("event_type") == "click",
+                      F.col("event_type") == "purchase", "1 hour", ["event_id"])
+    return m.select("user_id", "event_id", "ts", "value", "next_event_id")
+
+
+@query("pattern_run", sql="""
+WITH x AS (
+  SELECT user_id, event_id, event_type, event_type = 'view' AS isa,
+         lag(event_type = 'view') OVER w AS prev_a, lag(event_id) OVER w AS prev_id,
+         lag(event_type) OVER w AS prev_type
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(CASE WHEN isa AND NOT coalesce(prev_a, false) THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run_no
+      FROM x),
+g AS (SELECT user_id, run_no, min(event_id) AS first_a, max(event_id) AS last_a,
+             count(*) AS len, arg_min(prev_id, event_id) AS strt_id,
+             arg_min(prev_type, event_id) AS strt_type, bool_or(event_id = first_id) AS opens_key
+      FROM r JOIN (SELECT user_id AS u, min(event_id) AS first_id FROM events GROUP BY 1)
+           ON u = user_id
+      WHERE isa GROUP BY user_id, run_no)
+SELECT user_id,
+       CASE WHEN opens_key THEN first_a ELSE strt_id END AS start_event_id,
+       CASE WHEN opens_key THEN 'view' ELSE strt_type END AS start_event_type,
+       last_a, CASE WHEN opens_key THEN len - 1 ELSE len END AS run_length
+FROM g WHERE NOT opens_key OR len >= 2
+""")
+def pattern_run(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", "event_type")
+    return P.start_then_run(ev, "user_id", "event_id", F.col("event_type") == "view",
+                            ["event_id", "event_type"])
+
+
+def _letter_sql():
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_LETTERS.items())
+    return f"CASE event_type {cases} END"
+
+
+def _sm_step_sql(state, event):
+    from rivulet.operators.statemachine import TRANSITIONS
+    cases = " ".join(
+        f"WHEN {state} = '{s}' AND {event} = '{e}' THEN '{'Initial' if t == 'Terminal' else t}'"
+        for (s, e), t in TRANSITIONS.items())
+    return f"CASE {cases} ELSE NULL END"
+
+
+@query("state_machine_alerts", sql=f"""
+WITH RECURSIVE ev AS (
+  SELECT user_id, event_id, {_letter_sql()} AS e,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+  FROM events),
+walk(user_id, rn, event_id, e, st, nxt) AS (
+  SELECT user_id, rn, event_id, e, 'Initial', {_sm_step_sql("'Initial'", 'e')} FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT ev.user_id, ev.rn, ev.event_id, ev.e, coalesce(w.nxt, w.st),
+         {_sm_step_sql('coalesce(w.nxt, w.st)', 'ev.e')}
+  FROM walk w JOIN ev ON ev.user_id = w.user_id AND ev.rn = w.rn + 1)
+SELECT user_id, event_id, st AS state, e AS event FROM walk WHERE nxt IS NULL
+""")
+def state_machine_alerts_q(spark, sf):
+    ev = _events(spark, sf)
+    letters = F.create_map(*[F.lit(x) for kv in EVENT_LETTERS.items() for x in kv])
+    ev = ev.select("user_id", "event_id", letters[F.col("event_type")].alias("letter"))
+    return state_machine_alerts(ev, "user_id", "event_id", "letter")
+
+
+@query("delta_trigger_top", sql=f"""
+WITH RECURSIVE x AS (
+  SELECT user_id, event_id, ts, value,
+         sum({_CENTS_SQL}) OVER (PARTITION BY user_id ORDER BY event_id
+                                 ROWS UNBOUNDED PRECEDING) AS dist,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+  FROM events),
+top AS (
+  SELECT a.user_id, a.event_id AS fire_id,
+         arg_max(b.event_id, struct_pack(v := b.value, o := -b.event_id)) AS top_id
+  FROM x a JOIN x b ON a.user_id = b.user_id AND b.event_id <= a.event_id
+                   AND b.ts > a.ts - INTERVAL 10 DAY
+  GROUP BY 1, 2),
+walk(user_id, rn, event_id, last_d, fired) AS (
+  SELECT user_id, rn, event_id, dist, false FROM x WHERE rn = 1
+  UNION ALL
+  SELECT x.user_id, x.rn, x.event_id,
+         CASE WHEN x.dist - w.last_d > 50000 THEN x.dist ELSE w.last_d END,
+         x.dist - w.last_d > 50000
+  FROM walk w JOIN x ON x.user_id = w.user_id AND x.rn = w.rn + 1)
+SELECT w.user_id, w.event_id AS fire_event_id, t.top_id AS event_id, b.value,
+       CAST(b.dist AS DOUBLE) AS distance, b.ts
+FROM walk w JOIN top t ON t.user_id = w.user_id AND t.fire_id = w.event_id
+JOIN x b ON b.event_id = t.top_id
+WHERE w.fired
+""")
+def delta_trigger_top_q(spark, sf):
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", "value", CENTS.alias("cents"))
+    withdist = W.running_sum(ev, "user_id", "event_id", "cents", "distance")
+    return delta_trigger_top(withdist, "user_id", "ts", "event_id", "value", "distance",
+                             threshold=50000, evict="10 days")
+
+
+@query("iterate_until_bound", sql="""
+WITH RECURSIVE s AS (
+  SELECT DISTINCT 1 + l_linenumber AS a, 1 + CAST(l_quantity AS INTEGER) AS b FROM lineitem),
+it(a, b, x, y, n) AS (
+  SELECT a, b, b, a + b, 1 FROM s
+  UNION ALL
+  SELECT a, b, y, x + y, n + 1 FROM it WHERE x < 100 AND y < 100)
+SELECT a, b, max(n) AS steps FROM it GROUP BY a, b
+""")
+def iterate_until_bound(spark, sf):
+    li = table(spark, sf, "lineitem")
+    pairs = li.select((F.col("l_linenumber") + 1).cast("int").alias("a"),
+                      (F.col("l_quantity").cast("int") + 1).alias("b")).distinct()
+    return fibonacci_steps(pairs, "a", "b", 100)
