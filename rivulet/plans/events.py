@@ -14,7 +14,12 @@ from rivulet.operators.trigger import delta_trigger_top
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
 
-CENTS = F.round(F.col("value") * 100).cast("long")
+
+def cents():
+    """Value in integer cents (exact sums)."""
+    return F.round(F.col("value") * 100).cast("long")
+
+
 _CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
 
 # Event type of the table -> letter of the state machine.
@@ -32,7 +37,7 @@ SELECT user_id, event_id,
 FROM events
 """)
 def running_total(spark, sf):
-    ev = _events(spark, sf).select("user_id", "event_id", CENTS.alias("cents"))
+    ev = _events(spark, sf).select("user_id", "event_id", cents().alias("cents"))
     return W.running_sum(ev, "user_id", "event_id", "cents", "running_cents").drop("cents")
 
 
@@ -45,7 +50,7 @@ SELECT event_type, event_id, rn, window_cents FROM (
 WHERE rn % 5 = 0
 """)
 def count_window(spark, sf):
-    ev = _events(spark, sf).select("event_type", "event_id", CENTS.alias("cents"))
+    ev = _events(spark, sf).select("event_type", "event_id", cents().alias("cents"))
     return W.count_window_sum(ev, "event_type", "event_id", "cents", size=10, slide=5,
                               out="window_cents").drop("cents")
 
@@ -70,7 +75,7 @@ FROM (SELECT user_id, {_CENTS_SQL} AS cents,
 GROUP BY 1, 2, 3
 """)
 def sliding_window_sum(spark, sf):
-    ev = _events(spark, sf).withColumn("cents", CENTS)
+    ev = _events(spark, sf).withColumn("cents", cents())
     return W.sliding(ev, "ts", "1 day", "6 hours", ["user_id"],
                      [F.sum("cents").alias("sum_cents"), F.count(F.lit(1)).alias("n")])
 
@@ -88,7 +93,7 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_e
 FROM n GROUP BY user_id, sid
 """)
 def session_window(spark, sf):
-    ev = _events(spark, sf).select("user_id", "event_id", "ts", CENTS.alias("cents"))
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", cents().alias("cents"))
     return W.sessions(ev, "user_id", "event_id", "ts", "1 hour",
                       [F.count(F.lit(1)).alias("n_events"), F.sum("cents").alias("sum_cents")])
 
@@ -241,7 +246,7 @@ JOIN x b ON b.event_id = t.top_id
 WHERE w.fired
 """)
 def delta_trigger_top_q(spark, sf):
-    ev = _events(spark, sf).select("user_id", "event_id", "ts", "value", CENTS.alias("cents"))
+    ev = _events(spark, sf).select("user_id", "event_id", "ts", "value", cents().alias("cents"))
     withdist = W.running_sum(ev, "user_id", "event_id", "cents", "distance")
     return delta_trigger_top(withdist, "user_id", "ts", "event_id", "value", "distance",
                              threshold=50000, evict="10 days")

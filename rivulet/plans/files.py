@@ -1 +1 @@
-"""(filled in below)"""
+"""File queries (filled below)."""
