@@ -11,6 +11,7 @@ the edges.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +19,13 @@ from rivulet.session import checkpoint_dir
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint without computing the plan twice: the rows are
+    persisted while the checkpoint files are written, then released."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
 
 
 def _partitions(df: DataFrame) -> int:

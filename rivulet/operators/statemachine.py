@@ -5,14 +5,21 @@ order) the state moves along its transition; an event without a transition
 raises an alert ``(key, state, event)`` and leaves the state unchanged; a
 move into ``Terminal`` clears the key back to ``Initial``.
 
-Plan: a key's sequence is cut into blocks (``seq // width``). Because the
-state set is tiny, each block is walked once from *every* possible start
-state (one vectorised numpy step per row for all states), giving per row
-the state it would see for each block-start state, and per block the end
-state for each start state (a JVM fold). A scan over the much smaller block table fixes
-each block's true start state; a join then picks, per row, the trajectory
-that actually happened and keeps the alerts. No key is ever processed as a
-whole in one task, and the result is exact.
+Plan. Each event is a function on the (tiny) state set. The state before an
+event is the composition of all earlier event functions of the key applied
+to ``Initial`` - a prefix scan with an associative operator, so it can be
+split:
+
+1. a key's sequence is cut into blocks (``seq // width``); rows are
+   hash-partitioned on ``(key, block)`` and sorted, and a vectorised
+   segmented scan (``mapInPandas``, log-depth doubling in numpy) gives every
+   row the composed function of the earlier rows of its block;
+2. the block totals form a table ``width`` times smaller; the same scan
+   over it, segmented by key, yields each block's true start state;
+3. a join on ``(key, block)`` evaluates each row's prefix function at its
+   block's start state; rows whose event has no transition are the alerts.
+
+No key is ever handled whole by one task, and the result is exact.
 """
 
 from __future__ import annotations
@@ -46,71 +53,104 @@ def _tables():
         si, ei = STATES.index(s), EVENT_TYPES.index(e)
         valid[si, ei] = True
         step[si, ei] = 0 if t == "Terminal" else STATES.index(t)
-    return step.astype(np.int32), valid
+    return step.astype(np.int8), valid
 
 
 STEP, VALID = _tables()
-
-
-def _walk_blocks(key: str, seq: str):
-    ns = len(STATES)
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq, kind="stable")
-        codes = pdf["_code"].to_numpy()
-        before = np.empty((len(codes), ns), dtype=np.int32)
-        cur = np.arange(ns, dtype=np.int32)
-        for i, e in enumerate(codes):
-            before[i] = cur
-            cur = STEP[cur, e]
-        out = pd.DataFrame({key: pdf[key].to_numpy(), BLK: pdf[BLK].to_numpy(),
-                            seq: pdf[seq].to_numpy(), "_code": codes})
-        out["_before"] = list(before)
-        return out
-
-    return walk
-
-
-def _scan_blocks(key: str):
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLK)
-        starts, cur = [], 0
-        for end in pdf["_end"]:
-            starts.append(cur)
-            cur = int(end[cur])
-        return pd.DataFrame({key: pdf[key].to_numpy(), BLK: pdf[BLK].to_numpy(),
-                             "_start": np.asarray(starts, dtype=np.int32)})
-    return scan
+NS = len(STATES)
+
+
+def segmented_compose(funcs: np.ndarray, seg_start: np.ndarray) -> np.ndarray:
+    """Inclusive prefix composition within segments.
+
+    ``funcs[i, s]`` is the state after row ``i`` from state ``s``; the
+    result ``P[i]`` is ``funcs[i] o ... o funcs[first row of i's segment]``.
+    Hillis-Steele doubling: O(n log n) vectorised work, no Python loop per row.
+    """
+    n = len(funcs)
+    p = funcs.copy()
+    idx = np.arange(n)
+    first = np.maximum.accumulate(np.where(seg_start, idx, 0))
+    k = 1
+    while k < n:
+        rows = np.nonzero(idx - k >= first)[0]
+        if len(rows) == 0:
+            break
+        nxt = p.copy()
+        nxt[rows] = np.take_along_axis(p[rows], p[rows - k].astype(np.intp), axis=1)
+        p = nxt
+        k *= 2
+    return p
+
+
+def _scan_partition(group_cols: list[str], func_cols: list[str], out_prefix: str):
+    """mapInPandas body: rows arrive sorted by ``group_cols`` (+ order);
+    emits, per row, the composition of the earlier rows of its group
+    (``out_prefix0..``) and of the rows up to and including it
+    (``out_prefix``-less ``_incl*``). Carries the open group across batches."""
+
+    def run(batches):
+        carry_key, carry_f = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            keys = pdf[group_cols].to_numpy()
+            funcs = pdf[func_cols].to_numpy().astype(np.int8)
+            starts = np.ones(len(pdf), dtype=bool)
+            starts[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+            incl = segmented_compose(funcs, starts)
+            ident = np.tile(np.arange(NS, dtype=np.int8), (len(pdf), 1))
+            excl = ident.copy()
+            cont = ~starts
+            excl[1:][cont[1:]] = incl[:-1][cont[1:]]
+            if carry_key is not None and tuple(keys[0]) == carry_key:
+                head = np.arange(len(pdf)) < (np.argmax(starts[1:]) + 1 if starts[1:].any() else len(pdf))
+                incl[head] = incl[head][:, carry_f.astype(np.intp)]
+                excl[head] = excl[head][:, carry_f.astype(np.intp)]
+            carry_key, carry_f = tuple(keys[-1]), incl[-1].copy()
+            out = pdf.copy()
+            for s in range(NS):
+                out[f"{out_prefix}{s}"] = excl[:, s].astype(np.int32)
+                out[f"_incl{s}"] = incl[:, s].astype(np.int32)
+            yield out
+
+    return run
 
 
 def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
-                         width: int = DEFAULT_WIDTH) -> DataFrame:
+                         width: int = DEFAULT_WIDTH, partitions: int | None = None) -> DataFrame:
     """Alerts ``(key, seq, state, event)`` for events with no transition.
     ``event`` holds letters ``a``..``g``; ``seq`` is unique per key."""
-    codes = F.array_position(F.array(*[F.lit(e) for e in EVENT_TYPES]), F.col(event)) - 1
-    b = with_block(events.select(key, seq, codes.cast("int").alias("_code")), seq, width)
-    key_type = dict(b.dtypes)[key]
-    seq_type = dict(b.dtypes)[seq]
-    walked = b.groupBy(key, BLK).applyInPandas(
-        _walk_blocks(key, seq),
-        f"{key} {key_type}, {BLK} long, {seq} {seq_type}, _code int, "
-        f"_before array<int>")
-    # Block end state for every start state, folded on the JVM (the
-    # accumulator has a fixed size, so the fold is linear in the block).
-    ne = len(EVENT_TYPES)
+    n = int(partitions or events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    letters = F.array(*[F.lit(e) for e in EVENT_TYPES])
+    code = (F.array_position(letters, F.col(event)) - 1).cast("int")
     step = F.array(*[F.lit(int(x)) for x in STEP.ravel()])
-    evs = F.array_sort(F.collect_list(F.struct(F.col(seq), F.col("_code"))))
-    fold = F.aggregate(evs, F.array(*[F.lit(i) for i in range(len(STATES))]),
-                       lambda acc, x: F.transform(
-                           acc, lambda s: F.element_at(step, s * ne + x["_code"] + 1)))
-    ends = b.groupBy(key, BLK).agg(fold.alias("_end"))
-    starts = ends.groupBy(key).applyInPandas(_scan_blocks(key), f"{key} {key_type}, {BLK} long, _start int")
-    state_names = F.array(*[F.lit(s) for s in STATES])
+    ne = len(EVENT_TYPES)
+    # the event's function on the state set, one column per start state
+    fcols = [F.element_at(step, F.lit(s * ne) + code + 1).alias(f"_f{s}") for s in range(NS)]
+    b = with_block(events.select(key, seq, code.alias("_code"), *fcols), seq, width)
+    dtypes = dict(b.dtypes)
+    func_cols = [f"_f{s}" for s in range(NS)]
+    schema_rows = (f"{key} {dtypes[key]}, {seq} {dtypes[seq]}, _code int, "
+                   + ", ".join(f"_f{s} int" for s in range(NS)) + f", {BLK} long, "
+                   + ", ".join(f"_b{s} int" for s in range(NS)) + ", "
+                   + ", ".join(f"_incl{s} int" for s in range(NS)))
+    walked = (b.repartition(n, key, BLK).sortWithinPartitions(key, BLK, seq)
+              .mapInPandas(_scan_partition([key, BLK], func_cols, "_b"), schema_rows))
+    # block totals: the inclusive composition at each block's last row
+    tot = F.max_by(F.struct(*[F.col(f"_incl{s}").alias(f"_f{s}") for s in range(NS)]), F.col(seq))
+    blocks = walked.groupBy(key, BLK).agg(tot.alias("_t")).select(key, BLK, "_t.*")
+    schema_blocks = (f"{key} {dtypes[key]}, {BLK} long, " + ", ".join(f"_f{s} int" for s in range(NS))
+                     + ", " + ", ".join(f"_s{s} int" for s in range(NS)) + ", "
+                     + ", ".join(f"_incl{s} int" for s in range(NS)))
+    starts = (blocks.repartition(n, key).sortWithinPartitions(key, BLK)
+              .mapInPandas(_scan_partition([key], func_cols, "_s"), schema_blocks)
+              .select(key, BLK, F.col("_s0").alias("_start")))      # from Initial (= 0)
+    before = F.array(*[F.col(f"_b{s}") for s in range(NS)])
+    j = walked.join(starts, [key, BLK]).withColumn(
+        "_state", F.element_at(before, F.col("_start") + 1))
     valid = F.array(*[F.lit(bool(v)) for v in VALID.ravel()])
-    actual = F.element_at(F.col("_before"), F.col("_start") + 1)
-    j = walked.join(starts, [key, BLK]).withColumn("_state", actual)
     alerts = j.where(~F.element_at(valid, F.col("_state") * ne + F.col("_code") + 1))
-    return alerts.select(key, seq,
-                         F.element_at(state_names, F.col("_state") + 1).alias("state"),
-                         F.element_at(F.array(*[F.lit(e) for e in EVENT_TYPES]),
-                                      F.col("_code") + 1).alias("event"))
+    names = F.array(*[F.lit(s) for s in STATES])
+    return alerts.select(key, seq, F.element_at(names, F.col("_state") + 1).alias("state"),
+                         F.element_at(letters, F.col("_code") + 1).alias("event"))
