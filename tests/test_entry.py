@@ -1,0 +1,18 @@
+import __spark_entry__ as E
+
+from conftest import SF001
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns == ["l_orderkey", "o_orderdate", "revenue"]
+    assert df.count() >= 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_all_queries_run_on_smallest_tables(spark):
+    for name, build in E.queries().items():
+        build(spark, SF001).write.format("noop").mode("overwrite").save()

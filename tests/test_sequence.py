@@ -1,0 +1,51 @@
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.operators.sequence import neighbour, prefix_sums
+
+
+def _data(spark, n=400, seed=7):
+    rnd = random.Random(seed)
+    rows = []
+    for q in range(n):
+        # key 0 holds about a third of all rows (a hot key)
+        k = 0 if rnd.random() < 0.34 else rnd.randint(1, 6)
+        rows.append((k, q * 3 + rnd.randint(0, 2), rnd.randint(-5, 20)))
+    return rows, spark.createDataFrame(rows, "k long, q long, v long")
+
+
+@pytest.mark.parametrize("width", [5, 37, 10_000])
+def test_prefix_sums_match_brute_force(spark, width):
+    rows, df = _data(spark)
+    got = {(r.k, r.q): (r.s, r.c) for r in
+           prefix_sums(df, "k", "q", {"s": F.col("v"), "c": F.lit(1).cast("long")}, width).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "q", "v"]).sort_values(["k", "q"])
+    pdf["s"] = pdf.groupby("k")["v"].cumsum()
+    pdf["c"] = pdf.groupby("k").cumcount() + 1
+    want = {(k, q): (s, c) for k, q, s, c in pdf[["k", "q", "s", "c"]].itertuples(index=False)}
+    assert got == want
+
+
+@pytest.mark.parametrize("width", [4, 50])
+def test_prefix_sums_exclusive(spark, width):
+    rows, df = _data(spark, 120)
+    got = {(r.k, r.q): r.s for r in prefix_sums(df, "k", "q", {"s": F.col("v")}, width, inclusive=False).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "q", "v"]).sort_values(["k", "q"])
+    pdf["s"] = pdf.groupby("k")["v"].cumsum() - pdf["v"]
+    assert got == {(k, q): s for k, q, s in pdf[["k", "q", "s"]].itertuples(index=False)}
+
+
+@pytest.mark.parametrize("direction", ["prev", "next"])
+@pytest.mark.parametrize("width", [3, 64])
+def test_neighbour_matches_lag_lead(spark, direction, width):
+    rows, df = _data(spark, 300)
+    got = {(r.k, r.q): (r._nb.v if r._nb else None) for r in
+           neighbour(df, "k", "q", ["v"], direction, "_nb", width).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "q", "v"]).sort_values(["k", "q"])
+    shift = 1 if direction == "prev" else -1
+    pdf["nb"] = pdf.groupby("k")["v"].shift(shift)
+    want = {(k, q): (None if pd.isna(nb) else int(nb)) for k, q, nb in pdf[["k", "q", "nb"]].itertuples(index=False)}
+    assert got == want
