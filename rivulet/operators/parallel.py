@@ -1,0 +1,18 @@
+"""Parallelism guard for CPU-heavy per-row work on small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism when its scan has
+    fewer partitions than that (e.g. one large row group feeding a regex
+    tokeniser). A large input already has many more partitions than cores,
+    so there the frame is returned unchanged and no shuffle is added.
+    The check only plans the scan; it runs no job."""
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

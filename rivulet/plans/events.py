@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.text import nonword_tokens
 from rivulet.operators import patterns as P
+from rivulet.operators.parallel import spread_if_narrow
 from rivulet.operators import windows as W
 from rivulet.operators.iterate import fibonacci_steps
 from rivulet.operators.statemachine import state_machine_alerts
@@ -116,7 +117,7 @@ def window_join(spark, sf):
 
 
 def _conv_tokens(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = spread_if_narrow(table(spark, sf, "conversations").select("conv_id", "turn", "text"))
     return conv.select("conv_id", "turn", F.explode(nonword_tokens("text")).alias("token"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.codecs import int_to_ipv4
 from rivulet.functions.text import delimiter_tokens
 from rivulet.operators import relational as R
+from rivulet.operators.parallel import spread_if_narrow
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
 
@@ -105,7 +106,8 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count(spark, sf):
-    return R.word_count(table(spark, sf, "documents"), text="text")
+    docs = spread_if_narrow(table(spark, sf, "documents").select("text"))
+    return R.word_count(docs, text="text")
 
 
 @query("group_having", sql="""
@@ -159,7 +161,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def json_lang_tokens(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_if_narrow(table(spark, sf, "documents").select("text", "lang"))
     # Re-aimed live feed: each document becomes one JSON record.
     records = docs.select(F.to_json(F.struct("text", F.struct("lang").alias("user"))).alias("value"))
     return json_word_counts(records)
