@@ -11,6 +11,8 @@ the edges.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,13 +77,16 @@ def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[D
     Semi-naive path doubling: new paths are compositions with at least one
     path found in the previous round, ``(delta . P) u (P . delta)``, minus
     known paths. Paths of length L are found within ceil(log2 L) + 1
-    rounds, so long chains do not cost one superstep per hop.
+    rounds, so long chains do not cost one superstep per hop. The known
+    paths are kept as the union of each round's checkpointed delta, so no
+    round rewrites the paths found before it.
     """
     n = _partitions(edges)
-    paths = _ckpt(edges.select("src", "dst").distinct().repartition(n, "src"))
-    delta = paths
+    delta = _ckpt(edges.select("src", "dst").distinct().repartition(n, "src"))
+    pieces = [delta]
     steps = 0
     while max_iter is None or steps < max_iter:
+        paths = reduce(DataFrame.union, pieces)
         d = delta.select(F.col("src").alias("a"), F.col("dst").alias("m"))
         p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"))
         d1 = d.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
@@ -93,9 +98,9 @@ def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[D
         steps += 1
         if fresh.isEmpty():
             break
-        paths = _ckpt(paths.union(fresh))
+        pieces.append(fresh)
         delta = fresh
-    return paths, steps
+    return reduce(DataFrame.union, pieces), steps
 
 
 def triangles(edges: DataFrame) -> DataFrame:

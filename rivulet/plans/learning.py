@@ -36,7 +36,7 @@ def kmeans(spark, sf):
     # Seeds: the parts with the lowest keys (a top-k by key is the feature).
     seeds = part.orderBy("p_partkey").limit(KMEANS_SEEDS).withColumnRenamed("p_partkey", "id")
     pts, _ = M.kmeans(part, seeds, KMEANS_STEPS)
-    return pts.select("p_partkey", "cluster")
+    return pts.select("p_partkey", F.col("cluster").cast("long").alias("cluster"))
 
 
 def _linreg_sql(steps=10, alpha=0.01):
