@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.enrich import async_enrich, modulo_key
 from rivulet.operators.files import manifest
+from rivulet.operators.parallel import spread_if_narrow
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
 
@@ -20,6 +21,6 @@ def file_manifest(spark, sf):
 SELECT 'key-' || CAST(user_id % 10 AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1
 """)
 def async_enrich_q(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "user_id")
+    ev = spread_if_narrow(table(spark, sf, "events").select("event_id", "user_id"))
     enriched = async_enrich(ev, "user_id", modulo_key, "key", capacity=20, timeout_s=10.0)
     return enriched.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
