@@ -98,3 +98,16 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts:
     l = left.withColumn("window_start", F.window(left_ts, size).start)
     r = right.withColumn("window_start", F.window(right_ts, size).start)
     return l.join(r, list(keys) + ["window_start"])
+
+
+def window_apply(df: DataFrame, ts: str, size: str, keys: Sequence[str], fn, schema: str,
+                 slide: str | None = None) -> DataFrame:
+    """Run ``fn(pandas.DataFrame) -> pandas.DataFrame`` on the full contents
+    of each (keys, window) group (``window_start``/``window_end`` columns
+    are added before the call). Use only when no aggregate expresses the
+    function: a group is materialised in one Python worker, so its size is
+    that of one key's window."""
+    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    framed = (df.withColumn("_w", w).withColumn("window_start", F.col("_w.start"))
+              .withColumn("window_end", F.col("_w.end")).drop("_w"))
+    return framed.groupBy(*keys, "window_start", "window_end").applyInPandas(fn, schema)

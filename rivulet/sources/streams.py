@@ -54,3 +54,13 @@ def socket_lines(spark: SparkSession, port: int, host: str = "localhost") -> Dat
     """Socket text source; one row per line, column ``line``."""
     return (spark.readStream.format("socket").option("host", host).option("port", port)
             .load().withColumnRenamed("value", "line"))
+
+
+def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, **options):
+    """Write a stream's ``value`` (and optional ``key``) column to Kafka;
+    the checkpoint keeps the sink's progress."""
+    w = (df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).option("checkpointLocation", checkpoint))
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w

@@ -110,3 +110,14 @@ def test_delta_trigger_matches_brute_force(spark):
     out = delta_trigger_top(df, "car", "ts", "q", "speed", "distance", 50, "10 seconds")
     got = sorted((r.car, r.fire_q, r.q) for r in out.collect())
     assert got == _brute_delta(rows, 50, 10_000)
+
+
+def test_window_apply_full_contents(spark):
+    df = spark.createDataFrame([(1, 0), (1, 1000), (1, 2600), (2, 100)], "k long, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms"))
+
+    def span(pdf):
+        return pd.DataFrame({"k": [pdf.k.iloc[0]], "n": [len(pdf)], "span": [int(pdf.ms.max() - pdf.ms.min())]})
+
+    out = W.window_apply(df, "ts", "2 seconds", ["k"], span, "k long, n long, span long")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 0), (1, 2, 1000), (2, 1, 0)]
