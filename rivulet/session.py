@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,8 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``; we only read it. When
-    it is unset (a local test run) a fresh folder under the system temp dir
-    is created and registered for this session only.
+    it is unset and the session runs in local mode (tests, a laptop), a
+    fresh folder is created for this session. On a cluster an unset folder
+    is an error: a machine-local folder would not survive losing the
+    executor that wrote it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
