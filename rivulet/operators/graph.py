@@ -34,6 +34,9 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+LABEL_CHECKPOINT_EVERY = 1
+
+
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Each edge plus its inverse."""
     return edges.select(F.inline(F.array(
@@ -65,8 +68,12 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int |
         steps += 1
         if improved.isEmpty():
             break
-        labels = _ckpt(labels.join(improved.withColumnRenamed("component", "_new"), "vertex", "left")
-                       .select("vertex", F.coalesce("_new", "component").alias("component")))
+        labels = (labels.join(improved.withColumnRenamed("component", "_new"), "vertex", "left")
+                  .select("vertex", F.coalesce("_new", "component").alias("component")))
+        if steps % LABEL_CHECKPOINT_EVERY == 0:
+            # the deltas are checkpointed every step, so between label
+            # checkpoints the lineage is a few joins with checkpointed data
+            labels = _ckpt(labels)
         frontier = improved
     return labels, steps
 

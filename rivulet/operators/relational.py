@@ -85,7 +85,7 @@ def weblog_analysis(documents: DataFrame, ranks: DataFrame, visits: DataFrame,
     docs = documents.where(cond).select(F.col(key).alias("_k"))
     rk = ranks.where(F.col(rank) > min_rank).select(rank, key, *rank_cols)
     hits = docs.join(rk, docs._k == rk[key]).drop("_k")
-    return hits.join(visits.select(key).distinct(), key, "left_anti")
+    return hits.join(visits.select(key), key, "left_anti")
 
 
 def blank_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
