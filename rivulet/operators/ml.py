@@ -45,16 +45,22 @@ def kmeans(points: DataFrame, seeds: DataFrame, iterations: int = 10,
     return points.withColumn("cluster", _nearest(F.col(x), F.col(y), cents)), cents
 
 
+def regression_step(data: DataFrame, t0: float, t1: float, x: str = "x", y: str = "y",
+                    alpha: float = 0.01) -> DataFrame:
+    """One batch-gradient step as a one-row aggregate ``(t0, t1)``: the
+    mean over all rows of the per-row update ``theta - alpha * grad``."""
+    err = (F.lit(t0) + F.lit(t1) * F.col(x)) - F.col(y)
+    return data.agg(F.avg(F.lit(t0) - F.lit(alpha) * err).alias("t0"),
+                    F.avg(F.lit(t1) - F.lit(alpha) * (err * F.col(x))).alias("t1"))
+
+
 def linear_regression(data: DataFrame, x: str = "x", y: str = "y", iterations: int = 10,
                       alpha: float = 0.01, theta: tuple[float, float] = (0.0, 0.0)):
-    """Batch gradient descent for ``y = theta0 + theta1 * x``: each step
-    sets theta to the mean over all rows of the per-row update
-    ``theta - alpha * grad`` computed from the previous theta."""
+    """Batch gradient descent for ``y = theta0 + theta1 * x``; both thetas
+    of a step use the previous step's values. Returns the final thetas."""
     t0, t1 = theta
     for _ in range(iterations):
-        err = (F.lit(t0) + F.lit(t1) * F.col(x)) - F.col(y)
-        row = data.agg(F.avg(F.lit(t0) - F.lit(alpha) * err).alias("t0"),
-                       F.avg(F.lit(t1) - F.lit(alpha) * (err * F.col(x))).alias("t1")).first()
+        row = regression_step(data, t0, t1, x, y, alpha).first()
         t0, t1 = float(row["t0"]), float(row["t1"])
     return t0, t1
 

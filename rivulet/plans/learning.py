@@ -54,9 +54,10 @@ t0 AS (SELECT 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1)"""]
 def linear_regression(spark, sf):
     li = table(spark, sf, "lineitem").select((F.col("l_quantity") / 50.0).alias("x"),
                                              (F.col("l_extendedprice") / 100000.0).alias("y"))
-    t0, t1 = M.linear_regression(li, "x", "y", iterations=10, alpha=0.01)
-    return spark.range(1).select(F.round(F.lit(t0), 10).alias("theta0"),
-                                 F.round(F.lit(t1), 10).alias("theta1"))
+    # nine steps on the driver loop; the tenth is the returned aggregate
+    t0, t1 = M.linear_regression(li, "x", "y", iterations=9, alpha=0.01)
+    last = M.regression_step(li, t0, t1, "x", "y", 0.01)
+    return last.select(F.round("t0", 10).alias("theta0"), F.round("t1", 10).alias("theta1"))
 
 
 _MODEL_SQL = """m AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
