@@ -67,3 +67,140 @@ def state_machine_alerts(stream: DataFrame, key: str, seq: str, event: str) -> D
     return stream.groupBy(key).applyInPandasWithState(
         fn, f"{key} {kt}, {seq} {st}, state string, event string", "state int", "append",
         GroupStateTimeout.NoTimeout)
+
+
+def count_window_sums(stream: DataFrame, key: str, seq: str, value: str, size: int, slide: int,
+                      out: str = "window_sum") -> DataFrame:
+    """Sliding count window per key: at every ``slide``-th row of a key,
+    the sum of its last ``size`` rows. State: the key's row count and its
+    last ``size - 1`` values (bounded by the window, not by the key)."""
+    kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        n, tail = (state.get[0], list(state.get[1])) if state.exists else (0, [])
+        pdf = pd.concat(list(pdfs)).sort_values(seq)
+        rows = []
+        for q, v in zip(pdf[seq], pdf[value]):
+            n += 1
+            tail.append(int(v))
+            tail = tail[-size:]
+            if n % slide == 0:
+                rows.append((k[0], q, n, sum(tail)))
+        state.update((n, tail[-(size - 1):] if size > 1 else []))
+        yield pd.DataFrame(rows, columns=[key, seq, "rn", out])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, f"{key} {kt}, {seq} {st}, rn long, {out} long", "n long, tail array<long>", "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then: str,
+                kind: str, within_us: int, carry: list[str]) -> DataFrame:
+    """Pattern ``(A B)``: a row of ``kind == first`` whose next row of the
+    same key has ``kind == then`` less than ``within_us`` later. State: the
+    key's last row (a pending A, or a marker that the last row was not A)."""
+    dt = dict(stream.dtypes)
+    kt, st = dt[key], dt[seq]
+    out_cols = [seq, ts, *carry]
+    schema = (f"{key} {kt}, " + ", ".join(f"{c} {dt[c]}" for c in out_cols) + f", next_{seq} {st}")
+    state_schema = "is_a boolean, " + ", ".join(f"p_{c} {dt[c]}" for c in out_cols)
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        prev = state.get if state.exists else None
+        pdf = pd.concat(list(pdfs)).sort_values(seq)
+        rows = []
+        for rec in pdf[[seq, ts, kind, *carry]].itertuples(index=False):
+            q, t, kd = rec[0], rec[1], rec[2]
+            if prev is not None and prev[0] and kd == then and \
+                    (pd.Timestamp(t) - pd.Timestamp(prev[2])) < pd.Timedelta(microseconds=within_us):
+                rows.append((k[0], *prev[1:], q))
+            prev = (kd == first, q, t, *rec[3:])
+        if prev is not None:
+            state.update(tuple(prev))
+        yield pd.DataFrame(rows, columns=[key, *out_cols, f"next_{seq}"])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str, distance: str,
+                      threshold: float, evict_us: int) -> DataFrame:
+    """Delta trigger + time evictor + argmax per key on a stream. State:
+    armed flag, distance of the last firing, and the monotonic deque of
+    candidate rows inside the eviction span (bounded by that span)."""
+    kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        if state.exists:
+            armed, last_d = state.get[0], state.get[1]
+            dq = [(int(x[0]), x[1], x[2], int(x[3])) for x in state.get[2]]
+        else:
+            armed, last_d, dq = False, 0.0, []
+        pdf = pd.concat(list(pdfs)).sort_values(seq)
+        micros = pdf[ts].astype("datetime64[us]").astype("int64")
+        rows = []
+        for q, v, d, t in zip(pdf[seq], pdf[speed], pdf[distance], micros):
+            while dq and dq[-1][1] < v:
+                dq.pop()
+            dq.append((int(q), float(v), float(d), int(t)))
+            if not armed:
+                armed, last_d = True, float(d)
+                continue
+            if d - last_d > threshold:
+                last_d = float(d)
+                cut = t - evict_us
+                while dq and dq[0][3] <= cut:
+                    dq.pop(0)
+                tq, tv, td, tt = dq[0]
+                rows.append((k[0], int(q), tq, tv, td))
+        # drop candidates that can no longer be inside any later span
+        if dq:
+            newest = dq[-1][3]
+            dq = [x for x in dq if x[3] > newest - evict_us]
+        state.update((armed, last_d, [[float(a) for a in x] for x in dq]))
+        yield pd.DataFrame(rows, columns=[key, f"fire_{seq}", seq, speed, distance])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, f"{key} {kt}, fire_{seq} {st}, {seq} {st}, {speed} double, {distance} double",
+        "armed boolean, last_d double, dq array<array<double>>", "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def connected_apply(data: DataFrame, model: DataFrame, key: str, order: str,
+                    model_value: str, buckets: int = 64) -> DataFrame:
+    """Two connected streams: model updates and data rows. Every data row
+    is answered with the latest model seen before it (in ``order``), and
+    every model update yields one ``update`` row.
+
+    The model stream is small; each update is copied to all ``buckets``
+    groups, data rows are spread over the groups by a hash of ``key``, and
+    each group keeps the latest model as its state, so the data side never
+    meets in one task."""
+    dt = dict(data.dtypes)
+    tagged_data = data.select(F.pmod(F.hash(key), F.lit(buckets)).alias("_bucket"),
+                              F.lit(0).alias("_tag"), F.col(key).cast("long").alias("_key"),
+                              F.col(order).cast("long").alias("_order"),
+                              F.lit(None).cast("double").alias("_model"))
+    tagged_model = model.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_bucket"),
+                                F.lit(1).alias("_tag"), F.lit(None).cast("long").alias("_key"),
+                                F.col(order).cast("long").alias("_order"),
+                                F.col(model_value).cast("double").alias("_model"))
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        cur = state.get[0] if state.exists else None
+        pdf = pd.concat(list(pdfs)).sort_values(["_order", "_tag"], ascending=[True, False])
+        kinds, keys, orders, models = [], [], [], []
+        for tag, kk, o, m in zip(pdf["_tag"], pdf["_key"], pdf["_order"], pdf["_model"]):
+            if tag == 1:
+                cur = float(m)
+                if k[0] == 0:                      # one update row per model, not per copy
+                    kinds.append("update"); keys.append(None); orders.append(int(o)); models.append(cur)
+            else:
+                kinds.append("prediction"); keys.append(int(kk)); orders.append(int(o)); models.append(cur)
+        state.update((cur,))
+        yield pd.DataFrame({"kind": kinds, key: pd.array(keys, dtype="Int64"),
+                            order: orders, "model": models})
+
+    return tagged_data.unionByName(tagged_model).groupBy("_bucket").applyInPandasWithState(
+        fn, f"kind string, {key} long, {order} long, model double", "model double", "append",
+        GroupStateTimeout.NoTimeout)

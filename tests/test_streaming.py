@@ -110,3 +110,49 @@ def test_side_outputs_foreach_batch(spark):
     q.awaitTermination()
     assert sorted(seen["kept"]) == ["a", "bb", "hello", "world"]
     assert sorted(seen["rejected"]) == ["rejected: extraordinary", "rejected: wonderful"]
+
+
+def test_count_window_pattern_trigger_streams_equal_batch(spark):
+    from rivulet.operators import patterns as P
+    from rivulet.operators import windows as W
+    from rivulet.operators.trigger import delta_trigger_top
+    rnd = random.Random(8)
+    n = 360
+    pdf = pd.DataFrame({"k": [rnd.randint(0, 3) for _ in range(n)], "q": list(range(n)),
+                        "v": [rnd.randint(0, 40) for _ in range(n)],
+                        "e": [rnd.choice(["A", "B", "C"]) for _ in range(n)],
+                        "ms": [i * 700 for i in range(n)]})
+    pdf["d"] = pdf.groupby("k")["v"].cumsum()
+    schema = "k long, q long, v long, e string, ms long, d long"
+    parts = [pdf.iloc[i:i + 50] for i in range(0, n, 50)]
+    batch = spark.createDataFrame(pdf, schema).withColumn("ts", F.timestamp_millis("ms"))
+
+    s1 = _stream_from(spark, parts, schema)
+    got = _run(ST.count_window_sums(s1, "k", "q", "v", 10, 5), "cw")
+    want = W.count_window_sum(batch, "k", "q", "v", 10, 5, width=16)
+    assert sorted(map(tuple, got.select("k", "q", "rn", "window_sum").collect())) == \
+        sorted(map(tuple, want.select("k", "q", "rn", "window_sum").collect()))
+
+    s2 = _stream_from(spark, parts, schema).withColumn("ts", F.timestamp_millis("ms"))
+    got = _run(ST.followed_by(s2, "k", "q", "ts", "A", "B", "e", 2_000_000, ["v"]), "ab")
+    want = P.followed_by(batch, "k", "q", "ts", F.col("e") == "A", F.col("e") == "B",
+                         "2 seconds", ["q"], width=16)
+    assert sorted((r.k, r.q, r.next_q) for r in got.collect()) == \
+        sorted((r.k, r.q, r.next_q) for r in want.collect())
+
+    s3 = _stream_from(spark, parts, schema).withColumn("ts", F.timestamp_millis("ms"))
+    got = _run(ST.delta_trigger_top(s3, "k", "q", "ts", "v", "d", 50.0, 5_000_000), "dt")
+    want = delta_trigger_top(batch, "k", "ts", "q", "v", "d", 50.0, "5 seconds")
+    assert sorted((r.k, r.fire_q, r.q) for r in got.collect()) == \
+        sorted((r.k, r.fire_q, r.q) for r in want.collect())
+
+
+def test_connected_model_and_data_streams(spark):
+    data = pd.DataFrame({"key": [1, 2, 3, 4, 5, 6], "t": [5, 12, 18, 25, 31, 40]})
+    model = pd.DataFrame({"t": [10, 20, 30], "m": [1.0, 2.0, 3.0]})
+    ds = _stream_from(spark, [data], "key long, t long")
+    ms = _stream_from(spark, [model], "t long, m double")
+    out = _run(ST.connected_apply(ds, ms, "key", "t", "m", buckets=4), "conn")
+    preds = sorted((r.key, r.model) for r in out.where("kind = 'prediction'").collect())
+    assert preds == [(1, None), (2, 1.0), (3, 1.0), (4, 2.0), (5, 3.0), (6, 3.0)]
+    assert out.where("kind = 'update'").count() == 3
