@@ -1,68 +1,239 @@
 """Global window per key with a delta trigger, a time evictor and an
 argmax output (the "top speed" job).
 
-Per key, in time order: the first row arms the trigger; a later row fires
-when its ``distance`` exceeds the distance of the last firing row (or the
-arming row) by more than ``threshold``. At a firing, rows at or older than
-``evict`` before the firing row are evicted, and the kept row with the
-highest ``speed`` is emitted (the earliest one on ties).
-
-The firing chain is sequential per key. Rows are hash-partitioned by key
-and sorted within partitions; ``mapInPandas`` then streams each partition
-batch by batch, carrying per-key state across batches, so memory stays
-bounded by the rows inside one eviction span (a monotonic deque), never by
-the size of a key.
+Semantics, per key in ``seq`` order: the first row arms the trigger; a
+later row fires when its ``distance`` exceeds the distance of the last
+firing row (or of the arming row) by more than ``threshold``. At a firing,
+rows at or older than ``evict`` before the firing row are evicted, and the
+kept row with the highest ``speed`` is emitted (the earliest one on ties).
+``distance`` and ``ts`` must be non-decreasing in ``seq`` within a key
+(cumulative distance, event time); this is checked.
+
+Plan - no key is ever processed whole by one task:
+
+1. Rows are cut into blocks (``seq // width``). Because distance is
+   monotone, the last firing distance ``L`` entering a block is at most the
+   largest distance before the block, so the block's first firing can only
+   be one of the rows within ``threshold`` of that bound. Each block
+   (in parallel) reports, for each such candidate, the distance of the
+   last firing of the chain that starts there (``next`` pointers by binary
+   search, chain ends by pointer doubling), plus its *staircase*: the rows
+   not beaten by a later, strictly faster row of the block.
+2. A fold over the block summaries of each key - a table ``width`` times
+   smaller - gives every block its entry state: armed flag, ``L``, and the
+   staircase of earlier rows that can still win an argmax.
+3. Every block replays itself from its entry state (in parallel): the
+   firing chain, then the argmax of each firing over its eviction span,
+   from an in-block range-max table and the entry staircase.
 """
 
 from __future__ import annotations
 
-from collections import deque
-
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, with_block
+
+
+def complete_groups(batches, cols):
+    """Yield ``(key tuple, pandas frame)`` per group from Arrow batches of a
+    partition sorted by ``cols``; a group split over batches is joined.
+    Memory: one group plus one batch."""
+    pending, pending_key = None, None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = pdf[cols].to_numpy()
+        change = np.ones(len(pdf), dtype=bool)
+        change[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+        starts = np.flatnonzero(change)
+        ends = np.append(starts[1:], len(pdf))
+        for a, b in zip(starts, ends):
+            g = pdf.iloc[a:b]
+            gk = tuple(keys[a])
+            if pending is not None and gk == pending_key:
+                pending = pd.concat([pending, g])
+                continue
+            if pending is not None:
+                yield pending_key, pending
+            pending, pending_key = g, gk
+    if pending is not None:
+        yield pending_key, pending
+
+
+def _next_and_end(d: np.ndarray, threshold: float):
+    """``nxt[i]``: first row after ``i`` whose distance exceeds
+    ``d[i] + threshold`` (``n`` if none); ``end[i]``: last row of the
+    firing chain i -> nxt[i] -> ... inside the block."""
+    n = len(d)
+    nxt = np.searchsorted(d, d + threshold, side="right")
+    ptr = np.where(nxt < n, nxt, np.arange(n))
+    while True:
+        nptr = ptr[ptr]
+        if np.array_equal(nptr, ptr):
+            return nxt, ptr
+        ptr = nptr
+
+
+def _staircase(speed: np.ndarray) -> np.ndarray:
+    """Indices of rows with no strictly faster row after them."""
+    later_max = np.maximum.accumulate(speed[::-1])[::-1]
+    later = np.append(later_max[1:], -np.inf)
+    return np.flatnonzero(speed >= later)
+
+
+def _check_monotone(g: pd.DataFrame) -> None:
+    if (np.diff(g["d"].to_numpy()) < 0).any() or (np.diff(g["t"].to_numpy()) < 0).any():
+        raise ValueError("distance and ts must be non-decreasing in seq within a key")
+
 
 def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                       distance: str, threshold: float, evict: str,
-                      partitions: int | None = None) -> DataFrame:
-    """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing.
-    ``ts`` must be non-decreasing in ``seq`` within a key."""
+                      width: int = DEFAULT_WIDTH, partitions: int | None = None) -> DataFrame:
+    """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing."""
+    n_parts = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     evict_us = F.expr(f"INTERVAL {evict}")
-    prepared = df.select(
-        F.col(key).alias("k"), F.col(seq).alias("q"), F.col(speed).cast("double").alias("v"),
-        F.col(distance).cast("double").alias("d"),
+    rows = df.select(
+        F.col(key).cast("long").alias("k"), F.col(seq).cast("long").alias("q"),
+        F.col(speed).cast("double").alias("v"), F.col(distance).cast("double").alias("d"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("t"),
-        F.unix_micros((F.col(ts) - evict_us).cast("timestamp")).alias("cut"))
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = prepared.repartition(int(n), "k").sortWithinPartitions("k", "q")
-
-    def run(batches):
-        cur_key, armed, last_d, window = None, False, 0.0, deque()
-        for pdf in batches:
-            rows = []
-            for k, q, v, d, t, cut in zip(pdf.k, pdf.q, pdf.v, pdf.d, pdf.t, pdf.cut):
-                if k != cur_key:
-                    cur_key, armed, window = k, False, deque()
-                # monotonic deque of candidates: speeds strictly decreasing,
-                # earlier row kept on ties
-                while window and window[-1][1] < v:
-                    window.pop()
-                window.append((q, v, d, t))
-                if not armed:
-                    armed, last_d = True, d
-                    continue
-                if d - last_d > threshold:
-                    last_d = d
-                    while window and window[0][3] <= cut:
-                        window.popleft()
-                    tq, tv, td, tt = window[0]
-                    rows.append((k, q, tq, tv, td, tt))
-            yield pd.DataFrame(rows, columns=["k", "fire_q", "q", "v", "d", "t"]).astype(
-                {"k": "int64", "fire_q": "int64", "q": "int64", "v": "float64",
-                 "d": "float64", "t": "int64"})
-
-    fired = ordered.mapInPandas(run, "k long, fire_q long, q long, v double, d double, t long")
+        (F.unix_micros(F.col(ts).cast("timestamp"))
+         - F.unix_micros((F.col(ts) - evict_us).cast("timestamp"))).alias("span"))
+    b = with_block(rows, "q", width)
+    thr = float(threshold)
+
+    # 0. largest distance before each block (null for a key's first block)
+    before = Window.partitionBy("k").orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    bounds = (b.groupBy("k", BLK).agg(F.max("d").alias("_dmax"))
+              .select("k", BLK, F.max("_dmax").over(before).alias("_hi")))
+
+    # 1. per-block summaries
+    def summarise(batches):
+        out = []
+        for (k, blk), g in complete_groups(batches, ["k", BLK]):
+            _check_monotone(g)
+            d, v, t, q = (g[c].to_numpy() for c in ("d", "v", "t", "q"))
+            nxt, end = _next_and_end(d, thr)
+            hi = g["_hi"].iloc[0]
+            if pd.isna(hi):
+                m = 1                                   # row 0 arms the trigger
+            else:
+                m = min(int(np.searchsorted(d, hi + thr, side="right")) + 1, len(d))
+            st = _staircase(v)
+            out.append((k, blk, bool(pd.isna(hi)), d[:m].tolist(), d[end[:m]].tolist(),
+                        int(t[0]), int(g["span"].iloc[0]), float(v.max()), q[st].tolist(),
+                        v[st].tolist(), d[st].tolist(), t[st].tolist()))
+            if len(out) >= 1024:
+                yield _summary_frame(out)
+                out = []
+        if out:
+            yield _summary_frame(out)
+
+    summary_schema = ("k long, _blk long, first boolean, cand_d array<double>, exit_d array<double>, "
+                      "t0 long, span long, vmax double, st_q array<long>, st_v array<double>, "
+                      "st_d array<double>, st_t array<long>")
+    summaries = (b.join(bounds, ["k", BLK]).repartition(n_parts, "k", BLK)
+                 .sortWithinPartitions("k", BLK, "q").mapInPandas(summarise, summary_schema))
+
+    # 2. per-key fold over block summaries -> entry state of every block
+    def fold(batches):
+        out = []
+        for (k,), g in complete_groups(batches, ["k"]):
+            armed, last = False, 0.0
+            sq, sv, sd, stt = [], [], [], []
+            cols = [g[c].tolist() for c in (BLK, "first", "cand_d", "exit_d", "t0", "span", "vmax",
+                                             "st_q", "st_v", "st_d", "st_t")]
+            for blk, first, cand_d, exit_d, t0, span, vmax, st_q, st_v, st_d, st_t in zip(*cols):
+                keep = [i for i, x in enumerate(stt) if x > t0 - span]
+                sq, sv, sd, stt = ([a[i] for i in keep] for a in (sq, sv, sd, stt))
+                out.append((k, blk, armed, last, list(sq), list(sv), list(sd), list(stt)))
+                if first:
+                    armed, last = True, float(exit_d[0])
+                else:
+                    f = int(np.searchsorted(np.asarray(cand_d), last + thr, side="right"))
+                    if f < len(cand_d):
+                        last = float(exit_d[f])
+                alive = [i for i, x in enumerate(sv) if x >= vmax]
+                sq = [sq[i] for i in alive] + list(st_q)
+                sv = [sv[i] for i in alive] + list(st_v)
+                sd = [sd[i] for i in alive] + list(st_d)
+                stt = [stt[i] for i in alive] + list(st_t)
+            if len(out) >= 1024:
+                yield _entry_frame(out)
+                out = []
+        if out:
+            yield _entry_frame(out)
+
+    entry_schema = ("k long, _blk long, armed boolean, last double, e_q array<long>, "
+                    "e_v array<double>, e_d array<double>, e_t array<long>")
+    entries = (summaries.repartition(n_parts, "k").sortWithinPartitions("k", BLK)
+               .mapInPandas(fold, entry_schema))
+
+    # 3. replay every block from its entry state
+    def replay(batches):
+        out = []
+        for (k, blk), g in complete_groups(batches, ["k", BLK]):
+            d, v, t, q = (g[c].to_numpy() for c in ("d", "v", "t", "q"))
+            span = int(g["span"].iloc[0])
+            nxt, _ = _next_and_end(d, thr)
+            n = len(d)
+            if not g["armed"].iloc[0]:
+                i = int(nxt[0])                         # row 0 only arms
+            else:
+                i = int(np.searchsorted(d, g["last"].iloc[0] + thr, side="right"))
+            fires = []
+            while i < n:
+                fires.append(i)
+                i = int(nxt[i])
+            if not fires:
+                continue
+            table = _range_argmax_table(v)
+            e_t = np.asarray(g["e_t"].iloc[0], dtype=np.int64)
+            e_q, e_v, e_d = g["e_q"].iloc[0], g["e_v"].iloc[0], g["e_d"].iloc[0]
+            for i in fires:
+                cut = t[i] - span
+                s = int(np.searchsorted(t, cut, side="right"))
+                j = _range_argmax(table, v, s, i)
+                e = int(np.searchsorted(e_t, cut, side="right"))
+                if e < len(e_t) and e_v[e] >= v[j]:
+                    out.append((k, int(q[i]), int(e_q[e]), float(e_v[e]), float(e_d[e]), int(e_t[e])))
+                else:
+                    out.append((k, int(q[i]), int(q[j]), float(v[j]), float(d[j]), int(t[j])))
+        yield pd.DataFrame(out, columns=["k", "fire_q", "q", "v", "d", "t"]).astype(
+            {"k": "int64", "fire_q": "int64", "q": "int64", "v": "float64", "d": "float64", "t": "int64"})
+
+    fired = (b.join(entries, ["k", BLK]).repartition(n_parts, "k", BLK)
+             .sortWithinPartitions("k", BLK, "q")
+             .mapInPandas(replay, "k long, fire_q long, q long, v double, d double, t long"))
     return fired.select(F.col("k").alias(key), F.col("fire_q").alias(f"fire_{seq}"),
                         F.col("q").alias(seq), F.col("v").alias(speed), F.col("d").alias(distance),
                         F.timestamp_micros("t").cast("timestamp_ntz").alias(ts))
+
+
+def _summary_frame(rows):
+    cols = ["k", BLK, "first", "cand_d", "exit_d", "t0", "span", "vmax", "st_q", "st_v", "st_d", "st_t"]
+    return pd.DataFrame(rows, columns=cols)
+
+
+def _entry_frame(rows):
+    return pd.DataFrame(rows, columns=["k", BLK, "armed", "last", "e_q", "e_v", "e_d", "e_t"])
+
+
+def _range_argmax_table(v: np.ndarray) -> list[np.ndarray]:
+    """Sparse table of argmax indices; ties resolve to the earlier row."""
+    levels = [np.arange(len(v))]
+    k = 1
+    while 2 * k <= len(v):
+        prev = levels[-1]
+        a, b = prev[:len(v) - 2 * k + 1], prev[k:len(v) - k + 1]
+        levels.append(np.where(v[a] >= v[b], a, b))
+        k *= 2
+    return levels
+
+
+def _range_argmax(levels, v, lo: int, hi: int) -> int:
+    k = (hi - lo + 1).bit_length() - 1
+    a, b = levels[k][lo], levels[k][hi - (1 << k) + 1]
+    return int(a if v[a] >= v[b] else b)

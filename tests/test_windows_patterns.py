@@ -121,3 +121,20 @@ def test_window_apply_full_contents(spark):
 
     out = W.window_apply(df, "ts", "2 seconds", ["k"], span, "k long, n long, span long")
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1, 0), (1, 2, 1000), (2, 1, 0)]
+
+
+@pytest.mark.parametrize("width", [3, 17, 64])
+def test_delta_trigger_blocked_hot_key(spark, width):
+    rnd = random.Random(width)
+    rows, dist = [], {}
+    ms = 0
+    for q in range(400):
+        k = 0 if rnd.random() < 0.5 else rnd.randint(1, 3)       # key 0 is hot
+        ms += rnd.choice([200, 700, 1500, 4000])
+        dist[k] = dist.get(k, 0.0) + rnd.choice([0, 5, 20, 45, 60])
+        rows.append((k, q, float(rnd.randint(40, 100)), dist[k], ms))
+    df = spark.createDataFrame(rows, "car long, q long, speed double, distance double, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms"))
+    out = delta_trigger_top(df, "car", "ts", "q", "speed", "distance", 50, "10 seconds", width=width)
+    got = sorted((r.car, r.fire_q, r.q) for r in out.collect())
+    assert got == _brute_delta(rows, 50, 10_000)
