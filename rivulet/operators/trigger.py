@@ -13,8 +13,8 @@ Plan - no key is ever processed whole by one task:
 
 1. Rows are cut into blocks (``seq // width``). Because distance is
    monotone, the last firing distance ``L`` entering a block is at most the
-   largest distance before the block, so the block's first firing can only
-   be one of the rows within ``threshold`` of that bound. Each block
+   block's first distance, so the block's first firing can only be one of
+   the rows within ``threshold`` of it (or the row just after them). Each block
    (in parallel) reports, for each such candidate, the distance of the
    last firing of the chain that starts there (``next`` pointers by binary
    search, chain ends by pointer doubling), plus its *staircase*: the rows
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, with_block
@@ -104,38 +104,33 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
     b = with_block(rows, "q", width)
     thr = float(threshold)
 
-    # 0. largest distance before each block (null for a key's first block)
-    before = Window.partitionBy("k").orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    bounds = (b.groupBy("k", BLK).agg(F.max("d").alias("_dmax"))
-              .select("k", BLK, F.max("_dmax").over(before).alias("_hi")))
-
-    # 1. per-block summaries
+    # 1. per-block summaries. L entering a block is at most the block's own
+    #    first distance (monotone), so the first firing is among the rows
+    #    with d <= d[0] + threshold, or the row just after them.
     def summarise(batches):
         out = []
         for (k, blk), g in complete_groups(batches, ["k", BLK]):
             _check_monotone(g)
             d, v, t, q = (g[c].to_numpy() for c in ("d", "v", "t", "q"))
-            nxt, end = _next_and_end(d, thr)
-            hi = g["_hi"].iloc[0]
-            if pd.isna(hi):
-                m = 1                                   # row 0 arms the trigger
-            else:
-                m = min(int(np.searchsorted(d, hi + thr, side="right")) + 1, len(d))
+            _, end = _next_and_end(d, thr)
+            m = min(int(np.searchsorted(d, d[0] + thr, side="right")) + 1, len(d))
             st = _staircase(v)
-            out.append((k, blk, bool(pd.isna(hi)), d[:m].tolist(), d[end[:m]].tolist(),
-                        int(t[0]), int(g["span"].iloc[0]), float(v.max()), q[st].tolist(),
-                        v[st].tolist(), d[st].tolist(), t[st].tolist()))
+            out.append((int(k), int(blk), d[:m].tolist(), d[end[:m]].tolist(), int(t[0]),
+                        int(g["span"].iloc[0]), float(v.max()), q[st].tolist(), v[st].tolist(),
+                        d[st].tolist(), t[st].tolist()))
             if len(out) >= 1024:
                 yield _summary_frame(out)
                 out = []
         if out:
             yield _summary_frame(out)
 
-    summary_schema = ("k long, _blk long, first boolean, cand_d array<double>, exit_d array<double>, "
+    summary_schema = ("k long, _blk long, cand_d array<double>, exit_d array<double>, "
                       "t0 long, span long, vmax double, st_q array<long>, st_v array<double>, "
                       "st_d array<double>, st_t array<long>")
-    summaries = (b.join(bounds, ["k", BLK]).repartition(n_parts, "k", BLK)
-                 .sortWithinPartitions("k", BLK, "q").mapInPandas(summarise, summary_schema))
+    # Many small groups: stream sorted partitions through one mapInPandas
+    # call instead of one pandas call per group.
+    summaries = (b.repartition(n_parts, "k", BLK).sortWithinPartitions("k", BLK, "q")
+                 .mapInPandas(summarise, summary_schema))
 
     # 2. per-key fold over block summaries -> entry state of every block
     def fold(batches):
@@ -143,13 +138,13 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
         for (k,), g in complete_groups(batches, ["k"]):
             armed, last = False, 0.0
             sq, sv, sd, stt = [], [], [], []
-            cols = [g[c].tolist() for c in (BLK, "first", "cand_d", "exit_d", "t0", "span", "vmax",
+            cols = [g[c].tolist() for c in (BLK, "cand_d", "exit_d", "t0", "span", "vmax",
                                              "st_q", "st_v", "st_d", "st_t")]
-            for blk, first, cand_d, exit_d, t0, span, vmax, st_q, st_v, st_d, st_t in zip(*cols):
+            for blk, cand_d, exit_d, t0, span, vmax, st_q, st_v, st_d, st_t in zip(*cols):
                 keep = [i for i, x in enumerate(stt) if x > t0 - span]
                 sq, sv, sd, stt = ([a[i] for i in keep] for a in (sq, sv, sd, stt))
                 out.append((k, blk, armed, last, list(sq), list(sv), list(sd), list(stt)))
-                if first:
+                if not armed:                               # the key's first row arms
                     armed, last = True, float(exit_d[0])
                 else:
                     f = int(np.searchsorted(np.asarray(cand_d), last + thr, side="right"))
@@ -180,7 +175,7 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
             nxt, _ = _next_and_end(d, thr)
             n = len(d)
             if not g["armed"].iloc[0]:
-                i = int(nxt[0])                         # row 0 only arms
+                i = int(nxt[0])                             # row 0 only arms
             else:
                 i = int(np.searchsorted(d, g["last"].iloc[0] + thr, side="right"))
             fires = []
@@ -196,11 +191,11 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                 cut = t[i] - span
                 s = int(np.searchsorted(t, cut, side="right"))
                 j = _range_argmax(table, v, s, i)
-                e = int(np.searchsorted(e_t, cut, side="right"))
-                if e < len(e_t) and e_v[e] >= v[j]:
-                    out.append((k, int(q[i]), int(e_q[e]), float(e_v[e]), float(e_d[e]), int(e_t[e])))
+                x = int(np.searchsorted(e_t, cut, side="right"))
+                if x < len(e_t) and e_v[x] >= v[j]:
+                    out.append((int(k), int(q[i]), int(e_q[x]), float(e_v[x]), float(e_d[x]), int(e_t[x])))
                 else:
-                    out.append((k, int(q[i]), int(q[j]), float(v[j]), float(d[j]), int(t[j])))
+                    out.append((int(k), int(q[i]), int(q[j]), float(v[j]), float(d[j]), int(t[j])))
         yield pd.DataFrame(out, columns=["k", "fire_q", "q", "v", "d", "t"]).astype(
             {"k": "int64", "fire_q": "int64", "q": "int64", "v": "float64", "d": "float64", "t": "int64"})
 
@@ -213,7 +208,7 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
 
 
 def _summary_frame(rows):
-    cols = ["k", BLK, "first", "cand_d", "exit_d", "t0", "span", "vmax", "st_q", "st_v", "st_d", "st_t"]
+    cols = ["k", BLK, "cand_d", "exit_d", "t0", "span", "vmax", "st_q", "st_v", "st_d", "st_t"]
     return pd.DataFrame(rows, columns=cols)
 
 
