@@ -21,13 +21,19 @@ from rivulet.session import checkpoint_dir
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
+    return _ckpt_count(df)[0]
+
+
+def _ckpt_count(df: DataFrame) -> tuple[DataFrame, int]:
     """Reliable checkpoint without computing the plan twice: the rows are
-    persisted while the checkpoint files are written, then released."""
+    persisted (and counted, which the loops use as their stop test) while
+    the checkpoint files are written, then released."""
     checkpoint_dir(df.sparkSession)
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
     out = kept.checkpoint(eager=True)
     kept.unpersist()
-    return out
+    return out, n
 
 
 def _partitions(df: DataFrame) -> int:
@@ -62,11 +68,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int |
         offers = (frontier.join(und, frontier.vertex == und.src)
                   .groupBy(F.col("dst").alias("vertex"))
                   .agg(F.min("component").alias("offer")))
-        improved = _ckpt(offers.join(labels, "vertex")
-                         .where(F.col("offer") < F.col("component"))
-                         .select("vertex", F.col("offer").alias("component")))
+        improved, changed = _ckpt_count(offers.join(labels, "vertex")
+                                        .where(F.col("offer") < F.col("component"))
+                                        .select("vertex", F.col("offer").alias("component")))
         steps += 1
-        if improved.isEmpty():
+        if changed == 0:
             break
         labels = (labels.join(improved.withColumnRenamed("component", "_new"), "vertex", "left")
                   .select("vertex", F.coalesce("_new", "component").alias("component")))
@@ -81,12 +87,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int |
 def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[DataFrame, int]:
     """All pairs ``(src, dst)`` joined by a directed path.
 
-    Semi-naive path doubling: new paths are compositions with at least one
-    path found in the previous round, ``(delta . P) u (P . delta)``, minus
-    known paths. Paths of length L are found within ceil(log2 L) + 1
-    rounds, so long chains do not cost one superstep per hop. The known
-    paths are kept as the union of each round's checkpointed delta, so no
-    round rewrites the paths found before it.
+    Semi-naive path doubling: after round k the known paths P hold every
+    pair whose shortest path has at most 2^k edges, and delta holds the
+    pairs first found in round k (shortest length in (2^(k-1), 2^k]). A
+    pair at shortest distance L in (2^k, 2^(k+1)] splits at the node 2^k
+    steps along its path into a delta pair and a known pair, so
+    ``delta . P`` minus P is exactly the next delta. Rounds: ceil(log2 of
+    the longest shortest path) + 1. Known paths are the union of each
+    round's checkpointed delta, so no round rewrites earlier results.
     """
     n = _partitions(edges)
     delta = _ckpt(edges.select("src", "dst").distinct().repartition(n, "src"))
@@ -96,14 +104,11 @@ def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[D
         paths = reduce(DataFrame.union, pieces)
         d = delta.select(F.col("src").alias("a"), F.col("dst").alias("m"))
         p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"))
-        d1 = d.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        p2 = paths.select(F.col("src").alias("a"), F.col("dst").alias("m"))
-        d2_ = delta.select(F.col("src").alias("m"), F.col("dst").alias("b"))
-        d2 = p2.join(d2_, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        fresh = _ckpt(d1.union(d2).distinct().join(paths, ["src", "dst"], "left_anti")
-                      .repartition(n, "src"))
+        longer = d.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        fresh, found = _ckpt_count(longer.distinct().join(paths, ["src", "dst"], "left_anti")
+                                   .repartition(n, "src"))
         steps += 1
-        if fresh.isEmpty():
+        if found == 0:
             break
         pieces.append(fresh)
         delta = fresh
