@@ -105,8 +105,10 @@ def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[D
         d = delta.select(F.col("src").alias("a"), F.col("dst").alias("m"))
         p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"))
         longer = d.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        fresh, found = _ckpt_count(longer.distinct().join(paths, ["src", "dst"], "left_anti")
-                                   .repartition(n, "src"))
+        # hash-partition the candidates by src once: distinct and the anti
+        # join against the (src-partitioned) known paths reuse it
+        fresh, found = _ckpt_count(longer.repartition(n, "src").distinct()
+                                   .join(paths, ["src", "dst"], "left_anti"))
         steps += 1
         if found == 0:
             break
