@@ -34,21 +34,30 @@ def count_window_sum(df: DataFrame, keys: str | Sequence[str], seq: str, value:
     the sum of its last ``size`` rows (fewer at the start). Rows after the
     last complete slide are never emitted.
 
-    Built from two running sums (row number and value): the window sum at
-    row ``n`` is ``S(n) - S(n - size)``, and ``S(n - size)`` is looked up
-    with an equi-join on ``(key, n)``, which has no hot keys. Exact for
-    integral values.
+    Built from two running sums (row number ``n`` and value ``S``): the
+    window sum at row ``n`` is ``S(n) - S(n - size)``. Each row sends its
+    ``S`` to the group ``(key, n)`` when it fires and to ``(key, n + size)``
+    when that row fires; one aggregation over those groups (at most two
+    rows each, so no hot group) takes the difference. The running sums are
+    computed once. Exact for integral values.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
     v = F.col(value) if isinstance(value, str) else value
     acc = prefix_sums(df, ks, seq, {"_rn": F.lit(1).cast("long"), "_s": v}, width)
-    fire = acc.where(F.col("_rn") % slide == 0)
-    back = (acc.where((F.col("_rn") + size) % slide == 0)
-            .select(*ks, (F.col("_rn") + size).alias("_rn"), F.col("_s").alias("_s_old")))
-    return (fire.join(back, ks + ["_rn"], "left")
-            .withColumn(out, F.col("_s") - F.coalesce("_s_old", F.lit(0)))
-            .withColumnRenamed("_rn", "rn")
-            .drop("_s", "_s_old"))
+    fire = (F.col("_rn") % slide == 0)
+    feeds = (F.col("_rn") + size) % slide == 0
+    sends = F.filter(F.array(
+        F.struct(fire.alias("ok"), F.col("_rn").alias("_t"), F.col("_s").alias("now"),
+                 F.lit(None).cast("long").alias("old"), F.col(seq).alias("q")),
+        F.struct(feeds.alias("ok"), (F.col("_rn") + size).alias("_t"),
+                 F.lit(None).cast("long").alias("now"), F.col("_s").cast("long").alias("old"),
+                 F.lit(None).cast(dict(acc.dtypes)[seq]).alias("q"))), lambda x: x["ok"])
+    msgs = acc.where(fire | feeds).select(*ks, F.inline(sends))
+    g = msgs.groupBy(*ks, "_t").agg(F.max("now").alias("now"), F.max("old").alias("old"),
+                                     F.max("q").alias(seq))
+    return (g.where(F.col("now").isNotNull())
+            .select(*ks, F.col(seq), F.col("_t").alias("rn"),
+                    (F.col("now") - F.coalesce("old", F.lit(0))).alias(out)))
 
 
 def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str],
