@@ -52,3 +52,8 @@ def tuple_text(df: DataFrame, column: str, names: Sequence[str], types: Sequence
 def integer_range(spark: SparkSession, first: int, last: int) -> DataFrame:
     """``first..last`` inclusive, column ``id``."""
     return spark.range(first, last + 1)
+
+
+def from_rows(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """In-memory source (small literal collections only)."""
+    return spark.createDataFrame(list(rows), schema)

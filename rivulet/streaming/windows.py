@@ -55,3 +55,12 @@ def split_outputs(stream: DataFrame, outputs: dict[str, Callable[[DataFrame], Da
         finally:
             batch.unpersist()
     return stream.writeStream.foreachBatch(each)
+
+
+def clock_from_sequence(df: DataFrame, seq: str, step_ms: int = 10, out: str = "event_time",
+                        delay: str = "0 seconds") -> DataFrame:
+    """Synthetic event time ``seq * step_ms`` with a watermark on it - the
+    punctuated clock that advances a fixed step per element (``seq`` must
+    count elements, e.g. an offset or a per-source sequence number)."""
+    ts = F.timestamp_millis(F.col(seq).cast("long") * F.lit(step_ms))
+    return df.withColumn(out, ts).withWatermark(out, delay)

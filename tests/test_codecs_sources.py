@@ -74,3 +74,10 @@ def test_sinks_and_file_copy(spark, tmpdir_fresh):
     for rel, n in files.items():
         assert os.path.getsize(os.path.join(dst, rel)) == n
     assert not os.path.exists(os.path.join(dst, "empty_dir"))
+
+
+def test_in_memory_rows_and_clock(spark):
+    from rivulet.streaming.windows import clock_from_sequence
+    df = S.from_rows(spark, [(0, "a"), (1, "b"), (2, "c")], "n long, w string")
+    out = clock_from_sequence(df, "n", 10).select(F.unix_millis("event_time").alias("ms")).collect()
+    assert [r.ms for r in out] == [0, 10, 20]
