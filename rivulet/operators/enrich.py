@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait, FIRST_COMPLETED
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
 

@@ -25,7 +25,6 @@ No key is ever handled whole by one task, and the result is exact.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -1,7 +1,5 @@
 import time
 
-from pyspark.sql import functions as F
-
 from rivulet.operators.enrich import async_enrich, modulo_key
 from rivulet.operators.joins import bounded_broadcast
 from rivulet.operators.parallel import spread_if_narrow

@@ -3,9 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from rivulet.functions.codecs import EVENT_TYPES
-from rivulet.operators.statemachine import (STATES, TRANSITIONS, segmented_compose,
-                                            state_machine_alerts)
+from rivulet.operators.statemachine import TRANSITIONS, segmented_compose, state_machine_alerts
 
 
 def _brute(rows):
