@@ -156,3 +156,34 @@ def test_connected_model_and_data_streams(spark):
     preds = sorted((r.key, r.model) for r in out.where("kind = 'prediction'").collect())
     assert preds == [(1, None), (2, 1.0), (3, 1.0), (4, 2.0), (5, 3.0), (6, 3.0)]
     assert out.where("kind = 'update'").count() == 3
+
+
+def test_json_token_counts_stream(spark):
+    import json
+    from rivulet.plans.relational import json_word_counts
+    recs = [json.dumps({"id": i, "text": "Apache Flink", "user": {"lang": "en"}}) for i in range(3)]
+    recs.append(json.dumps({"id": 9, "text": "Apache Spark", "user": {"lang": "de"}}))
+    pdf = pd.DataFrame({"value": recs})
+    stream = _stream_from(spark, [pdf.iloc[i:i + 1] for i in range(4)], "value string")
+    counts = _run(json_word_counts(stream), "tw", mode="complete")
+    assert sorted(map(tuple, counts.collect())) == [("apache", 3), ("flink", 3)]
+    # one running count per token, as the keyed running sum emits them
+    stream2 = _stream_from(spark, [pdf.iloc[i:i + 1] for i in range(4)], "value string")
+    from rivulet.functions.text import delimiter_tokens
+    parsed = stream2.select(F.from_json("value", "id long, text string, user struct<lang string>").alias("j"))
+    toks = parsed.where(F.col("j.user.lang") == "en").select(
+        F.col("j.id").alias("id"), F.posexplode(delimiter_tokens(F.col("j.text"))).alias("pos", "word"))
+    toks = toks.select("word", (F.col("id") * 100 + F.col("pos")).alias("q"), F.lit(1).cast("long").alias("one"))
+    running = _run(ST.running_totals(toks, "word", "q", "one", "n"), "tw2")
+    assert sorted((r.word, r.n) for r in running.collect()) == \
+        [("apache", 1), ("apache", 2), ("apache", 3), ("flink", 1), ("flink", 2), ("flink", 3)]
+
+
+def test_binary_events_decoded_on_a_stream(spark):
+    from rivulet.sources.streams import decode_state_events, encode_state_events
+    rows = spark.createDataFrame([(1, "a"), (-7, "g"), (3, "c")], "address int, type string")
+    d = tempfile.mkdtemp(prefix="rivulet-stream-bin-")
+    encode_state_events(rows).coalesce(1).write.parquet(os.path.join(d, "b000"))
+    stream = spark.readStream.schema("value binary").option("recursiveFileLookup", "true").parquet(d)
+    got = _run(decode_state_events(stream), "bin")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
