@@ -94,13 +94,17 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                       width: int = DEFAULT_WIDTH, partitions: int | None = None) -> DataFrame:
     """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing."""
     n_parts = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    evict_us = F.expr(f"INTERVAL {evict}")
+    ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
+    # epoch microseconds without a time zone for wall-clock (NTZ) input
+    if ntz:
+        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    else:
+        micros = F.unix_micros(F.col(ts))
+    span = F.expr(f"timestampdiff(MICROSECOND, `{ts}` - INTERVAL {evict}, `{ts}`)")
     rows = df.select(
         F.col(key).cast("long").alias("k"), F.col(seq).cast("long").alias("q"),
         F.col(speed).cast("double").alias("v"), F.col(distance).cast("double").alias("d"),
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("t"),
-        (F.unix_micros(F.col(ts).cast("timestamp"))
-         - F.unix_micros((F.col(ts) - evict_us).cast("timestamp"))).alias("span"))
+        micros.alias("t"), span.alias("span"))
     b = with_block(rows, "q", width)
     thr = float(threshold)
 
@@ -204,7 +208,8 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
              .mapInPandas(replay, "k long, fire_q long, q long, v double, d double, t long"))
     return fired.select(F.col("k").alias(key), F.col("fire_q").alias(f"fire_{seq}"),
                         F.col("q").alias(seq), F.col("v").alias(speed), F.col("d").alias(distance),
-                        F.timestamp_micros("t").cast("timestamp_ntz").alias(ts))
+                        (F.expr("timestampadd(MICROSECOND, t, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+                         if ntz else F.timestamp_micros("t")).alias(ts))
 
 
 def _summary_frame(rows):
