@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sequence import DEFAULT_WIDTH, neighbour, prefix_sums
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, prefix_sums, with_block
 
 
 def _interval(spec: str) -> Column:
@@ -84,18 +84,46 @@ def sessions(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str, gap: s
     ``gap``; rows exactly ``gap`` apart stay in one session. The session
     ends ``gap`` after its last row (as Spark's ``session_window``).
 
-    ``seq`` must order rows like ``ts``. Previous-row lookup and session
-    numbering are blocked scans; the final grouping pre-aggregates per task.
+    ``seq`` must order rows like ``ts``. One blocked pass:
+
+    * block summary (per ``(key, seq // width)``): first and last time and
+      the number of sessions opened inside the block, counted by a JVM fold
+      over the block's sorted times (at most ``width`` of them);
+    * across blocks of a key (a table ``width`` times smaller): whether the
+      block's first row opens a session, and how many sessions opened
+      before the block;
+    * rows: session number = sessions before the block + in-block running
+      count of openings; then one grouping, pre-aggregated per task.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
-    withprev = neighbour(df, ks, seq, [ts], "prev", "_prev", width)
-    starts = withprev.withColumn(
-        "_start", (F.col("_prev").isNull() | (F.col(ts) > F.col(f"_prev.{ts}") + _interval(gap)))
-        .cast("long")).drop("_prev")
-    numbered = prefix_sums(starts, ks, seq, {"_sid": F.col("_start")}, width)
+    kb = ks + [BLK]
+    g = _interval(gap)
+    b = with_block(df, seq, width)
+    times = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col(ts).alias("t"))))
+    opened_inside = F.aggregate(
+        times, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast(dict(b.dtypes)[ts]).alias("p")),
+        lambda acc, x: F.struct(
+            (acc["n"] + F.when(acc["p"].isNotNull() & (x["t"] > acc["p"] + g), 1).otherwise(0))
+            .cast("long").alias("n"),
+            x["t"].alias("p")))["n"]
+    summary = b.groupBy(*kb).agg(F.min_by(ts, seq).alias("_first"), F.max_by(ts, seq).alias("_last"),
+                                 opened_inside.alias("_inside"))
+    per_key = Window.partitionBy(*ks).orderBy(BLK)
+    prev_last = F.lag("_last").over(per_key)
+    first_opens = (prev_last.isNull() | (F.col("_first") > prev_last + g)).cast("long")
+    opened = summary.withColumn("_fo", first_opens).withColumn("_n", F.col("_inside") + F.col("_fo"))
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    carry = opened.select(*kb, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_fo"))
+                          .alias("_base"))
+    inblock = Window.partitionBy(*kb).orderBy(seq)
+    rows = b.join(carry, kb)
+    prev = F.lag(ts).over(inblock)
+    opens = (prev.isNotNull() & (F.col(ts) > prev + g)).cast("long")
+    numbered = (rows.withColumn("_o", opens)
+                .withColumn("_sid", F.col("_base") + F.sum("_o").over(
+                    inblock.rowsBetween(Window.unboundedPreceding, 0))))
     return (numbered.groupBy(*ks, "_sid")
-            .agg(F.min(ts).alias("session_start"),
-                 (F.max(ts) + _interval(gap)).alias("session_end"), *aggs)
+            .agg(F.min(ts).alias("session_start"), (F.max(ts) + g).alias("session_end"), *aggs)
             .drop("_sid"))
 
 
