@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sequence import DEFAULT_WIDTH, neighbour, prefix_sums
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, neighbour, with_block
 
 
 def followed_by(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str,
@@ -40,14 +40,44 @@ def start_then_run(df: DataFrame, keys: str | Sequence[str], seq: str, is_a: Col
     A row serves as STRT and the match needs at least two rows. Output:
     keys, ``start_<c>`` for ``start_cols`` of the STRT row, ``last_a`` (the
     ``seq`` of the run's last row) and ``run_length`` (A rows matched).
+
+    One blocked pass (as :func:`rivulet.operators.windows.sessions`): a
+    block summary (last row, runs opened inside the block by a JVM fold over
+    its sorted A flags), a carry across the key's blocks, then per row the
+    previous row and the run number; A rows are grouped by run.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
-    flagged = df.withColumn("_isa", is_a)
+    kb = ks + [BLK]
     cols = list(dict.fromkeys(["_isa", *start_cols]))
-    nb = neighbour(flagged, ks, seq, cols, "prev", "_p", width)
-    opens = nb.withColumn("_open", (F.col("_isa") & ~F.coalesce(F.col("_p._isa"), F.lit(False)))
-                          .cast("long"))
-    runs = prefix_sums(opens, ks, seq, {"_run": F.col("_open")}, width).where(F.col("_isa"))
+    b = with_block(df.withColumn("_isa", is_a.cast("boolean")), seq, width)
+    payload = F.struct(*[F.col(c) for c in cols])
+    flags = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col("_isa").alias("a"))))
+    opened_inside = F.aggregate(
+        flags, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("boolean").alias("p")),
+        lambda acc, x: F.struct(
+            (acc["n"] + F.when(acc["p"].isNotNull() & x["a"] & ~acc["p"], 1).otherwise(0))
+            .cast("long").alias("n"),
+            x["a"].alias("p")))["n"]
+    summary = b.groupBy(*kb).agg(F.min_by("_isa", seq).alias("_first_a"),
+                                 F.max_by(payload, F.col(seq)).alias("_last"),
+                                 opened_inside.alias("_inside"))
+    per_key = Window.partitionBy(*ks).orderBy(BLK)
+    prev_last = F.lag("_last").over(per_key)
+    first_opens = (F.col("_first_a") & (prev_last.isNull() | ~prev_last["_isa"])).cast("long")
+    opened = (summary.withColumn("_carry", prev_last).withColumn("_fo", first_opens)
+              .withColumn("_n", F.col("_inside") + F.col("_fo")))
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    carry = opened.select(*kb, "_carry",
+                          (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_fo")).alias("_base"))
+    inblock = Window.partitionBy(*kb).orderBy(seq)
+    rows = b.join(carry, kb)
+    lagged = F.lag(payload).over(inblock)
+    opens = (lagged.isNotNull() & F.col("_isa") & ~lagged["_isa"]).cast("long")
+    runs = (rows.withColumn("_p", F.coalesce(lagged, F.col("_carry")))
+            .withColumn("_o", opens)
+            .withColumn("_run", F.col("_base") + F.sum("_o").over(
+                inblock.rowsBetween(Window.unboundedPreceding, 0)))
+            .where(F.col("_isa")))
     first = F.min_by(F.struct(F.col("_p").alias("p"), *[F.col(c) for c in start_cols]), F.col(seq))
     g = runs.groupBy(*ks, "_run").agg(first.alias("_f"), F.max(seq).alias("last_a"),
                                       F.count(F.lit(1)).alias("_len"))
