@@ -136,9 +136,15 @@ def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
                    + ", ".join(f"_incl{s} int" for s in range(NS)))
     walked = (b.repartition(n, key, BLK).sortWithinPartitions(key, BLK, seq)
               .mapInPandas(_scan_partition([key, BLK], func_cols, "_b"), schema_rows))
-    # block totals: the inclusive composition at each block's last row
-    tot = F.max_by(F.struct(*[F.col(f"_incl{s}").alias(f"_f{s}") for s in range(NS)]), F.col(seq))
-    blocks = walked.groupBy(key, BLK).agg(tot.alias("_t")).select(key, BLK, "_t.*")
+    # block totals: the composition of a block's event functions, folded on
+    # the JVM from its sorted codes (fixed-size accumulator, linear in the
+    # block), so the Python scan above runs once
+    evs = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), code.alias("c"))))
+    fold = F.aggregate(evs, F.array(*[F.lit(s) for s in range(NS)]),
+                       lambda acc, x: F.transform(acc, lambda st: F.element_at(step, st * ne + x["c"] + 1)))
+    blocks = (with_block(events.select(key, seq, event), seq, width).groupBy(key, BLK)
+              .agg(fold.alias("_t"))
+              .select(key, BLK, *[F.col("_t")[s].alias(f"_f{s}") for s in range(NS)]))
     schema_blocks = (f"{key} {dtypes[key]}, {BLK} long, " + ", ".join(f"_f{s} int" for s in range(NS))
                      + ", " + ", ".join(f"_s{s} int" for s in range(NS)) + ", "
                      + ", ".join(f"_incl{s} int" for s in range(NS)))
