@@ -87,34 +87,42 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int |
 def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[DataFrame, int]:
     """All pairs ``(src, dst)`` joined by a directed path.
 
-    Semi-naive path doubling: after round k the known paths P hold every
-    pair whose shortest path has at most 2^k edges, and delta holds the
-    pairs first found in round k (shortest length in (2^(k-1), 2^k]). A
-    pair at shortest distance L in (2^k, 2^(k+1)] splits at the node 2^k
-    steps along its path into a delta pair and a known pair, so
-    ``delta . P`` minus P is exactly the next delta. Rounds: ceil(log2 of
-    the longest shortest path) + 1. Known paths are the union of each
-    round's checkpointed delta, so no round rewrites earlier results.
+    Path doubling over shortest lengths: after round k the known paths P
+    hold every pair whose shortest path has at most 2^k edges, with that
+    length, and X holds the pairs at exactly 2^k. A pair at shortest length
+    L in (2^k, 2^(k+1)] splits at the node 2^k steps along a shortest path
+    into an X pair and a P pair, so ``X . P`` (lengths added, minimum per
+    pair, known pairs removed) yields exactly the next round's new pairs.
+    Only exact-2^k prefixes are extended, so each new pair is derived
+    through one split point per shortest path instead of up to 2^(k-1) of
+    them. Rounds: ceil(log2 of the longest shortest path) + 1. Stops when
+    no pair sits at exactly 2^(k+1): a longer shortest path would have a
+    prefix of that length.
     """
     n = _partitions(edges)
-    delta = _ckpt(edges.select("src", "dst").distinct().repartition(n, "src"))
-    pieces = [delta]
+    first = _ckpt(edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+                  .select("src", "dst").distinct()
+                  .withColumn("len", F.lit(1).cast("long")).repartition(n, "src"))
+    pieces = [first]
+    exact = first
+    span = 1
     steps = 0
     while max_iter is None or steps < max_iter:
         paths = reduce(DataFrame.union, pieces)
-        d = delta.select(F.col("src").alias("a"), F.col("dst").alias("m"))
-        p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"))
-        longer = d.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        # hash-partition the candidates by src once: distinct and the anti
-        # join against the (src-partitioned) known paths reuse it
-        fresh, found = _ckpt_count(longer.repartition(n, "src").distinct()
-                                   .join(paths, ["src", "dst"], "left_anti"))
+        x = exact.select(F.col("src").alias("a"), F.col("dst").alias("m"))
+        p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"), F.col("len").alias("l"))
+        cand = (x.join(p, "m").groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
+                .agg((F.min("l") + span).alias("len")))
+        fresh, found = _ckpt_count(cand.join(paths.select("src", "dst"), ["src", "dst"], "left_anti"))
         steps += 1
         if found == 0:
             break
         pieces.append(fresh)
-        delta = fresh
-    return reduce(DataFrame.union, pieces), steps
+        span *= 2
+        exact = fresh.where(F.col("len") == span)
+        if exact.isEmpty():
+            break
+    return reduce(DataFrame.union, pieces).select("src", "dst"), steps
 
 
 def triangles(edges: DataFrame) -> DataFrame:
