@@ -127,8 +127,10 @@ FROM customer GROUP BY c_mktsegment HAVING sum(c_acctbal) > 0
 
 @query("sql_group_by", sql=_SEGMENT_SQL)
 def sql_group_by(spark, sf):
-    table(spark, sf, "customer").createOrReplaceTempView("customer")
-    return spark.sql(_SEGMENT_SQL)
+    # the same SQL text, with the table bound as a DataFrame argument (no
+    # session-wide temp view is registered)
+    return spark.sql(_SEGMENT_SQL.replace("FROM customer", "FROM {customer}"),
+                     customer=table(spark, sf, "customer"))
 
 
 @query("object_join", sql="""
