@@ -138,3 +138,18 @@ def test_delta_trigger_blocked_hot_key(spark, width):
     out = delta_trigger_top(df, "car", "ts", "q", "speed", "distance", 50, "10 seconds", width=width)
     got = sorted((r.car, r.fire_q, r.q) for r in out.collect())
     assert got == _brute_delta(rows, 50, 10_000)
+
+
+@pytest.mark.parametrize("size,slide", [(7, 3), (4, 4), (5, 7), (1, 1)])
+def test_count_window_other_shapes(spark, size, slide):
+    rnd = random.Random(size * 10 + slide)
+    rows = [(rnd.choice("abc"), i, rnd.randint(-3, 9)) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, q long, v long")
+    out = W.count_window_sum(df, "k", "q", "v", size, slide, width=6)
+    got = sorted((r.k, r.q, r.rn, r.window_sum) for r in out.collect())
+    want = []
+    for k in "abc":
+        seq = [r for r in rows if r[0] == k]
+        for i in range(slide, len(seq) + 1, slide):
+            want.append((k, seq[i - 1][1], i, sum(r[2] for r in seq[max(0, i - size):i])))
+    assert got == sorted(want)
