@@ -82,9 +82,13 @@ def weblog_analysis(documents: DataFrame, ranks: DataFrame, visits: DataFrame,
     cond = F.lit(True)
     for k in keywords:
         cond = cond & F.col(text).contains(k)
-    docs = documents.where(cond).select(F.col(key).alias("_k"))
-    rk = ranks.where(F.col(rank) > min_rank).select(rank, key, *rank_cols)
-    hits = docs.join(rk, docs._k == rk[key]).drop("_k")
+    if ranks is documents:
+        # one table in both roles: both predicates on one scan, no self-join
+        hits = documents.where(cond & (F.col(rank) > min_rank)).select(rank, key, *rank_cols)
+    else:
+        docs = documents.where(cond).select(F.col(key).alias("_k"))
+        rk = ranks.where(F.col(rank) > min_rank).select(rank, key, *rank_cols)
+        hits = docs.join(rk, docs._k == rk[key]).drop("_k")
     return hits.join(visits.select(key), key, "left_anti")
 
 
