@@ -83,7 +83,8 @@ def weblog_analysis(documents: DataFrame, ranks: DataFrame, visits: DataFrame,
     for k in keywords:
         cond = cond & F.col(text).contains(k)
     if ranks is documents:
-        # one table in both roles: both predicates on one scan, no self-join
+        # one table in both roles (``key`` unique in it): both predicates
+        # on one scan instead of a self-join on the key
         hits = documents.where(cond & (F.col(rank) > min_rank)).select(rank, key, *rank_cols)
     else:
         docs = documents.where(cond).select(F.col(key).alias("_k"))
