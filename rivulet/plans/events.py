@@ -10,7 +10,7 @@ from rivulet.operators import patterns as P
 from rivulet.operators.parallel import spread_if_narrow
 from rivulet.operators import windows as W
 from rivulet.operators.iterate import fibonacci_steps
-from rivulet.operators.statemachine import state_machine_alerts
+from rivulet.operators.statemachine import TRANSITIONS, state_machine_alerts
 from rivulet.operators.trigger import delta_trigger_top
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
@@ -193,7 +193,6 @@ def _letter_sql():
 
 
 def _sm_step_sql(state, event):
-    from rivulet.operators.statemachine import TRANSITIONS
     cases = " ".join(
         f"WHEN {state} = '{s}' AND {event} = '{e}' THEN '{'Initial' if t == 'Terminal' else t}'"
         for (s, e), t in TRANSITIONS.items())
