@@ -22,6 +22,11 @@ from rivulet.functions.codecs import EVENT_TYPES
 from rivulet.operators.statemachine import STATES, STEP, VALID
 
 
+def _micros(span: int | str) -> int:
+    """Microseconds of an interval given as an int or as text ("1 hour")."""
+    return span if isinstance(span, int) else int(pd.Timedelta(span) / pd.Timedelta(microseconds=1))
+
+
 def running_totals(stream: DataFrame, key: str, seq: str, value: str,
                    out: str = "running") -> DataFrame:
     """One output row per input row: the key's running sum of ``value``
@@ -94,10 +99,12 @@ def count_window_sums(stream: DataFrame, key: str, seq: str, value: str, size: i
 
 
 def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then: str,
-                kind: str, within_us: int, carry: list[str]) -> DataFrame:
+                kind: str, within: int | str, carry: list[str]) -> DataFrame:
     """Pattern ``(A B)``: a row of ``kind == first`` whose next row of the
     same key has ``kind == then`` less than ``within_us`` later. State: the
-    key's last row (a pending A, or a marker that the last row was not A)."""
+    key's last row (a pending A, or a marker that the last row was not A).
+    ``within`` is microseconds or interval text such as ``"1 hour"``."""
+    within_us = _micros(within)
     dt = dict(stream.dtypes)
     kt, st = dt[key], dt[seq]
     out_cols = [seq, ts, *carry]
@@ -123,10 +130,12 @@ def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then
 
 
 def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str, distance: str,
-                      threshold: float, evict_us: int) -> DataFrame:
+                      threshold: float, evict: int | str) -> DataFrame:
     """Delta trigger + time evictor + argmax per key on a stream. State:
     armed flag, distance of the last firing, and the monotonic deque of
-    candidate rows inside the eviction span (bounded by that span)."""
+    candidate rows inside the eviction span (bounded by that span).
+    ``evict`` is microseconds or interval text such as ``"10 seconds"``."""
+    evict_us = _micros(evict)
     kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):

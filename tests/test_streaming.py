@@ -134,7 +134,7 @@ def test_count_window_pattern_trigger_streams_equal_batch(spark):
         sorted(map(tuple, want.select("k", "q", "rn", "window_sum").collect()))
 
     s2 = _stream_from(spark, parts, schema).withColumn("ts", F.timestamp_millis("ms"))
-    got = _run(ST.followed_by(s2, "k", "q", "ts", "A", "B", "e", 2_000_000, ["v"]), "ab")
+    got = _run(ST.followed_by(s2, "k", "q", "ts", "A", "B", "e", "2 seconds", ["v"]), "ab")
     want = P.followed_by(batch, "k", "q", "ts", F.col("e") == "A", F.col("e") == "B",
                          "2 seconds", ["q"], width=16)
     assert sorted((r.k, r.q, r.next_q) for r in got.collect()) == \
