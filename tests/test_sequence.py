@@ -49,3 +49,23 @@ def test_neighbour_matches_lag_lead(spark, direction, width):
     pdf["nb"] = pdf.groupby("k")["v"].shift(shift)
     want = {(k, q): (None if pd.isna(nb) else int(nb)) for k, q, nb in pdf[["k", "q", "nb"]].itertuples(index=False)}
     assert got == want
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-9, 9)), min_size=1, max_size=80),
+       st.integers(1, 40))
+def test_blocked_scans_property(spark, rows, width):
+    data = [(k, q * 2 + 1, v) for q, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, q long, v long")
+    pdf = pd.DataFrame(data, columns=["k", "q", "v"]).sort_values(["k", "q"])
+    pdf["s"] = pdf.groupby("k")["v"].cumsum()
+    pdf["p"] = pdf.groupby("k")["v"].shift(1)
+    got = prefix_sums(neighbour(df, "k", "q", ["v"], "prev", "_nb", width), "k", "q",
+                      {"s": F.col("v")}, width).collect()
+    want = {(k, q): (s, None if pd.isna(p) else int(p))
+            for k, q, s, p in pdf[["k", "q", "s", "p"]].itertuples(index=False)}
+    assert {(r.k, r.q): (r.s, r._nb.v if r._nb else None) for r in got} == want
