@@ -82,11 +82,12 @@ def segmented_compose(funcs: np.ndarray, seg_start: np.ndarray) -> np.ndarray:
     return p
 
 
-def _scan_partition(group_cols: list[str], func_cols: list[str], out_prefix: str):
+def _scan_partition(group_cols: list[str], func_cols: list[str], out_prefix: str,
+                    inclusive: bool = False):
     """mapInPandas body: rows arrive sorted by ``group_cols`` (+ order);
     emits, per row, the composition of the earlier rows of its group
-    (``out_prefix0..``) and of the rows up to and including it
-    (``out_prefix``-less ``_incl*``). Carries the open group across batches."""
+    (``out_prefix0..``) and, with ``inclusive``, of the rows up to and
+    including it (``_incl*``). Carries the open group across batches."""
 
     def run(batches):
         carry_key, carry_f = None, None
@@ -110,7 +111,8 @@ def _scan_partition(group_cols: list[str], func_cols: list[str], out_prefix: str
             out = pdf.copy()
             for s in range(NS):
                 out[f"{out_prefix}{s}"] = excl[:, s].astype(np.int32)
-                out[f"_incl{s}"] = incl[:, s].astype(np.int32)
+                if inclusive:
+                    out[f"_incl{s}"] = incl[:, s].astype(np.int32)
             yield out
 
     return run
@@ -132,8 +134,7 @@ def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
     func_cols = [f"_f{s}" for s in range(NS)]
     schema_rows = (f"{key} {dtypes[key]}, {seq} {dtypes[seq]}, _code int, "
                    + ", ".join(f"_f{s} int" for s in range(NS)) + f", {BLK} long, "
-                   + ", ".join(f"_b{s} int" for s in range(NS)) + ", "
-                   + ", ".join(f"_incl{s} int" for s in range(NS)))
+                   + ", ".join(f"_b{s} int" for s in range(NS)))
     walked = (b.repartition(n, key, BLK).sortWithinPartitions(key, BLK, seq)
               .mapInPandas(_scan_partition([key, BLK], func_cols, "_b"), schema_rows))
     # block totals: the composition of a block's event functions, folded on
@@ -146,8 +147,7 @@ def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
               .agg(fold.alias("_t"))
               .select(key, BLK, *[F.col("_t")[s].alias(f"_f{s}") for s in range(NS)]))
     schema_blocks = (f"{key} {dtypes[key]}, {BLK} long, " + ", ".join(f"_f{s} int" for s in range(NS))
-                     + ", " + ", ".join(f"_s{s} int" for s in range(NS)) + ", "
-                     + ", ".join(f"_incl{s} int" for s in range(NS)))
+                     + ", " + ", ".join(f"_s{s} int" for s in range(NS)))
     starts = (blocks.repartition(n, key).sortWithinPartitions(key, BLK)
               .mapInPandas(_scan_partition([key], func_cols, "_s"), schema_blocks)
               .select(key, BLK, F.col("_s0").alias("_start")))      # from Initial (= 0)
