@@ -194,6 +194,8 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
             for i in fires:
                 cut = t[i] - span
                 s = int(np.searchsorted(t, cut, side="right"))
+                if s > i:                                   # everything evicted: empty window
+                    continue
                 j = _range_argmax(table, v, s, i)
                 x = int(np.searchsorted(e_t, cut, side="right"))
                 if x < len(e_t) and e_v[x] >= v[j]:

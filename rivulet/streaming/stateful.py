@@ -159,6 +159,8 @@ def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str
                 cut = t - evict_us
                 while dq and dq[0][3] <= cut:
                     dq.pop(0)
+                if not dq:                                  # everything evicted: empty window
+                    continue
                 tq, tv, td, tt = dq[0]
                 rows.append((k[0], int(q), tq, tv, td))
         # drop candidates that can no longer be inside any later span

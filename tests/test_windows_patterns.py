@@ -153,3 +153,10 @@ def test_count_window_other_shapes(spark, size, slide):
         for i in range(slide, len(seq) + 1, slide):
             want.append((k, seq[i - 1][1], i, sum(r[2] for r in seq[max(0, i - size):i])))
     assert got == sorted(want)
+
+
+def test_delta_trigger_zero_eviction_emits_nothing(spark):
+    rows = [(1, q, 50.0, float(q * 60), q * 1000) for q in range(5)]
+    df = spark.createDataFrame(rows, "car long, q long, speed double, distance double, ms long") \
+        .withColumn("ts", F.timestamp_millis("ms"))
+    assert delta_trigger_top(df, "car", "ts", "q", "speed", "distance", 50, "0 seconds").count() == 0
