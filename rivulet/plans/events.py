@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rivulet.functions.codecs import alert_text
 from rivulet.functions.text import nonword_tokens
 from rivulet.operators import patterns as P
 from rivulet.operators.parallel import spread_if_narrow
@@ -210,13 +211,19 @@ walk(user_id, rn, event_id, e, st, nxt) AS (
   SELECT ev.user_id, ev.rn, ev.event_id, ev.e, coalesce(w.nxt, w.st),
          {_sm_step_sql('coalesce(w.nxt, w.st)', 'ev.e')}
   FROM walk w JOIN ev ON ev.user_id = w.user_id AND ev.rn = w.rn + 1)
-SELECT user_id, event_id, st AS state, e AS event FROM walk WHERE nxt IS NULL
+SELECT user_id, event_id, st AS state, e AS event,
+       'ALERT ' || concat_ws('.', (user_id >> 24) & 255, (user_id >> 16) & 255,
+                             (user_id >> 8) & 255, user_id & 255)
+       || ' : ' || st || ' -> ' || e AS alert
+FROM walk WHERE nxt IS NULL
 """)
 def state_machine_alerts_q(spark, sf):
     ev = _events(spark, sf)
     letters = F.create_map(*[F.lit(x) for kv in EVENT_LETTERS.items() for x in kv])
     ev = ev.select("user_id", "event_id", letters[F.col("event_type")].alias("letter"))
-    return state_machine_alerts(ev, "user_id", "event_id", "letter")
+    alerts = state_machine_alerts(ev, "user_id", "event_id", "letter")
+    # the alert's text form; the key plays the source address
+    return alerts.withColumn("alert", alert_text(F.col("user_id").cast("int"), "state", "event"))
 
 
 @query("delta_trigger_top", sql=f"""
