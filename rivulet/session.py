@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,9 +42,28 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once a context, so
+    that a job does not depend on the folder or path its driver started with."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rivulet_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="rivulet-src-"), "rivulet_src.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    sc._rivulet_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 

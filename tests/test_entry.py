@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from rivulet.plans.catalog import entries
 
 from conftest import SF001
 
@@ -14,5 +15,5 @@ def test_every_oracle_has_a_query():
 
 
 def test_all_queries_run_on_smallest_tables(spark):
-    for name, build in E.queries().items():
-        build(spark, SF001).write.format("noop").mode("overwrite").save()
+    for name in entries():
+        E.queries()[name](spark, SF001).write.format("noop").mode("overwrite").save()
