@@ -53,6 +53,17 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def digest(text: Column) -> Column:
+    """128 bits of a text's SHA-256: equal for equal texts only."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a saved table of narrow rows for broadcast if it has at most
+    ``rows`` (counted from its file footers); else leave the join to Spark."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def gapless_rank(df: DataFrame, group: str, order: list[str], rank: str,
                  rows_per_part: int = 100_000, least_parts: int = 64) -> DataFrame:
     """Add ``rank``: 0, 1, 2, ... without gaps within each value of ``group``.

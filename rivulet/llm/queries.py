@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import decontaminate, packing, pii, simhash, toxicity
+from rivulet.llm import (decontaminate, packing, pii, resample, sharding, simhash, topk, toxicity,
+                         urlfilter, warc)
 from rivulet.sources.tables import table
 
 
@@ -16,10 +17,34 @@ def vocabulary() -> tuple[str, str]:
     return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = [urlfilter.rule(*r) for r in (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+    ("allow", "com/fr/"), ("block", "com/de/"))]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *vocabulary())
 
@@ -33,12 +58,70 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=0.8)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_toxicity, op6_best_fit_packing, op7_pii_pseudonyms, op8_simhash_near_dedup,
-    op10_decontamination)}
-
-ORACLE_SQL: dict[str, str] = {}
+    op1_exact_top_k, op2_toxicity, op3_warc, op4_url_filter, op5_sharding, op6_best_fit_packing,
+    op7_pii_pseudonyms, op8_simhash_near_dedup, op9_importance_resampling, op10_decontamination)}
+
+# What SQL can express, by plain search over all rows; the rest is held
+# against brute force, exact round trips or held-out labels in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_top_k": """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op3_warc": """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS digest FROM pages),
+m AS (
+  SELECT digest, max(page_id) AS kept FROM p WHERE octet_length(body) >= 1000
+  GROUP BY digest HAVING count(*) > 1)
+SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN kept IS NULL OR kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM p LEFT JOIN m USING (digest)
+""",
+    "op10_decontamination": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+d AS (SELECT row_number() OVER () AS r, * FROM w),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[k:k + n - 1], ' ') AS win
+  FROM (SELECT item_id, ws, least(13, len(ws)) AS n,
+               unnest(generate_series(1, len(ws) - least(13, len(ws)) + 1)) AS k FROM i WHERE len(ws) > 0)),
+dw AS (
+  SELECT r, n, k, array_to_string(ws[k:k + n - 1], ' ') AS win
+  FROM (SELECT r, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS k
+        FROM d, (SELECT DISTINCT n FROM iw) WHERE len(ws) >= n)),
+o AS (SELECT r, k, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(k, k + n - 1)) AS p FROM o) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM o) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+""",
+}

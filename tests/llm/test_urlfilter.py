@@ -1,0 +1,117 @@
+"""URL filter: hosts, paths and rules by brute force; segmentation and naive
+Bayes against plain versions."""
+
+import itertools
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from conftest import SF001
+from rivulet.llm import urlfilter
+from rivulet.llm.queries import URL_RULES, op4_url_filter
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(host, path):
+    best = None
+    for r in URL_RULES:
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path):
+            if best is None or len(r.name) > len(best.name):
+                best = r
+    return best
+
+
+def test_query_rules_and_parts(spark):
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{SF001}/pages.parquet").collect()}
+    out = op4_url_filter(spark, SF001).collect()
+    assert len(out) == len(urls)
+    for r in out:
+        host, path = parts(urls[r.page_id])
+        best = rule_of(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, best.name if best else None)
+        assert r.verdict == best.verdict if best else r.verdict in ("allow", "block")
+
+
+def test_odd_urls(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.org/en/1x", "http://x.example.org/en/10?q", "http://org/",
+            "http://org", "http://a.org?x/", "http://notorg/", "ftp://a.b.com/fr/#x", "://com/de/", "x://a://b.org/y",
+            "http://É.COM/fr/", "http://a.com/fr", "http://u@h.org:80/", "http://a.com/\n/fr/", "http://a\n.org/z", "http://a.org/" + "p" * 50_000]
+    rows = [(i, u, "<p>free bets</p>") for i, u in enumerate(urls)] + [(0, urls[5], None), (None, urls[5], "x")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, host int")
+    out = urlfilter.judge(df, URL_RULES).collect()
+    want = sorted(((i, *parts(u), (r := rule_of(*parts(u))) and r.name) for i, u, _ in rows), key=str)
+    assert sorted(((r.page_id, r.host, r.path, r.rule) for r in out), key=str) == want
+    assert urlfilter.judge(df.limit(0), URL_RULES).count() == 0
+
+
+def brute_split(run, found, total):
+    best = None
+    for cuts in itertools.product([0, 1], repeat=len(run) - 1):
+        words, start = [], 0
+        for i, c in enumerate(cuts, 1):
+            if c:
+                words.append(run[start:i])
+                start = i
+        words.append(run[start:])
+        score = sum((math.log(found[w]) if w in found else math.log(10) * (1 - len(w))) - math.log(total) for w in words)
+        if best is None or score > best[0] + 1e-9:
+            best = (score, words)
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_viterbi_is_optimal(seed):
+    rnd = random.Random(seed)
+    run = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 9)))
+    found = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4))): rnd.randint(1, 50) for _ in range(8)}
+    total = sum(found.values())
+    words = urlfilter.viterbi(run, found, total)
+    assert "".join(words) == run
+    score = sum((math.log(found[w]) if w in found else math.log(10) * (1 - len(w))) - math.log(total) for w in words)
+    assert score == pytest.approx(brute_split(run, found, total))
+
+
+def test_words_and_bayes(spark):
+    """Segments concatenated names by the corpus and scores like a plain
+    naive Bayes over the rule-decided pages."""
+    html = "<b>free bets</b> farm news daily the the the bets free news &nbsp; <i class='x'>daily</i>"
+    rows = ([(i, f"http://dailynews.com/fr/{i}", html) for i in range(30)]
+            + [(100 + i, f"http://freebets.com/de/{i}", html) for i in range(30)]
+            + [(200, "http://freebetsnews.net/de/7", html), (201, "http://dailynews.net/fr/7", html),
+               (202, "http://freebetsfarm.net/x", html)])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = urlfilter.word_counts(df, "html")
+    hosts = spark.createDataFrame([("freebetsnews.net",), ("a1dailynews.com",)], "host string")
+    split = {r.host: r.words for r in urlfilter.host_words(hosts, words).collect()}
+    assert split["freebetsnews.net"][:3] == ["free", "bets", "news"]
+    assert split["a1dailynews.com"][1:3] == ["daily", "news"]
+    out = {r.page_id: r for r in urlfilter.judge(df, URL_RULES).collect()}
+    net = split["freebetsnews.net"][3:]
+    com = split["a1dailynews.com"][3:]
+    block, allow = Counter(), Counter()
+    for w in urlfilter.BLOCK_SEEDS:
+        block[w] += urlfilter.SEED_WEIGHT
+    for w in urlfilter.ALLOW_SEEDS:
+        allow[w] += urlfilter.SEED_WEIGHT
+    for _ in range(30):
+        allow.update(["daily", "news", *com, "fr", "0"])
+        block.update(["free", "bets", *com, "de", "0"])
+    kinds = len(set(block) | set(allow)) + 1
+    def odds(tokens):
+        return math.log(31 / 31) + sum(
+            math.log((block[t] + 1) / (sum(block.values()) + kinds)) - math.log((allow[t] + 1) / (sum(allow.values()) + kinds))
+            for t in tokens)
+    want = odds(["free", "bets", "news", *net, "de", "0"])
+    assert out[200].block_odds == pytest.approx(want, abs=1e-6)
+    assert (out[200].verdict, out[201].verdict, out[202].verdict) == ("block", "allow", "block")
