@@ -58,10 +58,11 @@ def test_query_equals_brute_force(spark):
     assert got(op10_decontamination(spark, SF001)) == want
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_small_alphabet_and_short_items(spark, seed):
+@pytest.mark.parametrize("seed, bound", [(1, 1_000_000), (2, 0)])
+def test_small_alphabet_and_short_items(spark, monkeypatch, seed, bound):
     """Few distinct words: repeats, overlaps and ties everywhere; items of
-    1, 4 and 12 words beside long ones."""
+    1, 4 and 12 words beside long ones; hashes broadcast and joined."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_HASHES", bound)
     rnd = random.Random(seed)
     text = lambda n, k: " ".join(rnd.choice("abcdefgh"[:k]) for _ in range(n))
     items = [(i, text(n, k)) for i, (n, k) in enumerate(
