@@ -8,29 +8,56 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, neighbour, with_block
+from rivulet.operators.windows import micros
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, KEY, neighbour, prefix_sums, with_block
 
 
 def followed_by(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str,
                 first: Column, then: Column, within: str, carry: Sequence[str],
-                width: int = DEFAULT_WIDTH) -> DataFrame:
+                width: int = DEFAULT_WIDTH, at: Column | None = None) -> DataFrame:
     """Pattern ``(A B)`` with strict adjacency: an A row whose very next
     row of the same key is a B row, less than ``within`` later. Returns the
     A rows plus ``next_<c>`` for each ``carry`` column of the B row.
-    Matches cannot overlap (a row cannot be both A and B of one match
-    unless A and B predicates both hold; the scan skips past the B row)."""
+    Matches do not overlap: the scan goes on after the B row, so of rows
+    that are A and B at once every other one starts a match."""
     ks = [keys] if isinstance(keys, str) else list(keys)
     flagged = df.withColumn("_a", first).withColumn("_b", then)
-    cols = list(dict.fromkeys([ts, "_b", *carry]))
-    nb = neighbour(flagged, ks, seq, cols, "next", "_n", width)
-    hit = (F.col("_a") & F.col("_n._b") &
-           (F.col(f"_n.{ts}") < F.col(ts) + F.expr(f"INTERVAL {within}")))
-    out = nb.where(hit)
+    cols = list(dict.fromkeys([ts, seq, "_a", "_b", *carry]))
+    nb = neighbour(flagged, ks, seq, cols, "next", "_n", width, at)
+    hits = nb.where(F.col("_a") & F.col("_n._b") &
+                    (F.col(f"_n.{ts}") < F.col(ts) + F.expr(f"INTERVAL {within}")))
+    # a match can only meet another one through a row that is both A and B
+    linked = F.coalesce(F.col("_b"), F.lit(False)) | F.coalesce(F.col("_n._a"), F.lit(False))
+    alone = hits.where(~linked)
+    chains = (hits.where(linked).withColumn("_to", F.col(f"_n.{seq}")))
+    prev = neighbour(chains, ks, seq, ["_to"], "prev", "_p", width, at)
+    starts = (~F.coalesce(F.col("_p._to") == F.col(seq), F.lit(False))).cast("long")
+    numbered = prefix_sums(prev.withColumn("_start", starts), ks, seq,
+                           {"_chain": F.col("_start"), "_rn": F.lit(1).cast("long")}, width, at=at)
+    firsts = numbered.where("_start = 1").select(F.struct(*ks).alias("_ck"), F.col("_chain").alias("_cc"),
+                                                 F.col("_rn").alias("_from"))
+    every_other = numbered.join(firsts, (F.struct(*[numbered[k] for k in ks]) == firsts["_ck"])
+                                & (numbered["_chain"] == firsts["_cc"])) \
+        .where((F.col("_rn") - F.col("_from")) % 2 == 0)
+    out = alone.unionByName(every_other.select(*alone.columns))
     for c in carry:
         out = out.withColumn(f"next_{c}", F.col(f"_n.{c}"))
     return out.drop("_a", "_b", "_n")
 
 
+def followed_by_in_time(df: DataFrame, ts: str, tie: str, first: Column, then: Column, within: str,
+                        carry: Sequence[str], block_seconds: int = 3600) -> DataFrame:
+    """Pattern ``(A B)`` over all rows in order of ``ts`` (``tie`` orders
+    equal times). Time is cut into blocks that are ordered in parallel; only
+    the first row of each block crosses them. Rows without a time take no
+    part."""
+    timed = df.where(F.col(ts).isNotNull()).withColumn("_all", F.lit(0)) \
+        .withColumn("_at", F.struct(ts, tie))
+    out = followed_by(timed, "_all", "_at", ts, first, then, within, carry,
+                      block_seconds * 1_000_000, at=micros(timed, ts))
+    return out.drop("_all", "_at")
+
+
 def start_then_run(df: DataFrame, keys: str | Sequence[str], seq: str, is_a: Column,
                    start_cols: Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
     """Pattern ``(STRT A+)``, greedy, skip past last row, per key.
@@ -41,27 +68,23 @@ def start_then_run(df: DataFrame, keys: str | Sequence[str], seq: str, is_a: Col
     keys, ``start_<c>`` for ``start_cols`` of the STRT row, ``last_a`` (the
     ``seq`` of the run's last row) and ``run_length`` (A rows matched).
 
-    One blocked pass (as :func:`rivulet.operators.windows.sessions`): a
-    block summary (last row, runs opened inside the block by a JVM fold over
-    its sorted A flags), a carry across the key's blocks, then per row the
-    previous row and the run number; A rows are grouped by run.
+    Blocked as :func:`rivulet.operators.windows.sessions`: the previous row
+    and the run openings inside each block, a block summary, a carry across
+    the key's blocks, then the run number; A rows are grouped by run.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
-    kb = ks + [BLK]
+    kb = [KEY, BLK]
     cols = list(dict.fromkeys(["_isa", *start_cols]))
-    b = with_block(df.withColumn("_isa", is_a.cast("boolean")), seq, width)
+    b = with_block(df.withColumn("_isa", F.coalesce(is_a.cast("boolean"), F.lit(False))), ks, seq, width)
     payload = F.struct(*[F.col(c) for c in cols])
-    flags = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col("_isa").alias("a"))))
-    opened_inside = F.aggregate(
-        flags, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("boolean").alias("p")),
-        lambda acc, x: F.struct(
-            (acc["n"] + F.when(acc["p"].isNotNull() & x["a"] & ~acc["p"], 1).otherwise(0))
-            .cast("long").alias("n"),
-            x["a"].alias("p")))["n"]
-    summary = b.groupBy(*kb).agg(F.min_by("_isa", seq).alias("_first_a"),
-                                 F.max_by(payload, F.col(seq)).alias("_last"),
-                                 opened_inside.alias("_inside"))
-    per_key = Window.partitionBy(*ks).orderBy(BLK)
+    inblock = Window.partitionBy(*kb).orderBy(seq)
+    lagged = F.lag(payload).over(inblock)
+    rows = b.withColumn("_p", lagged).withColumn(
+        "_o", (F.col("_p").isNotNull() & F.col("_isa") & ~F.col("_p._isa")).cast("long"))
+    summary = rows.groupBy(*kb).agg(F.min_by("_isa", seq).alias("_first_a"),
+                                    F.max_by(payload, F.col(seq)).alias("_last"),
+                                    F.sum("_o").alias("_inside"))
+    per_key = Window.partitionBy(KEY).orderBy(BLK)
     prev_last = F.lag("_last").over(per_key)
     first_opens = (F.col("_first_a") & (prev_last.isNull() | ~prev_last["_isa"])).cast("long")
     opened = (summary.withColumn("_carry", prev_last).withColumn("_fo", first_opens)
@@ -69,12 +92,8 @@ def start_then_run(df: DataFrame, keys: str | Sequence[str], seq: str, is_a: Col
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
     carry = opened.select(*kb, "_carry",
                           (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_fo")).alias("_base"))
-    inblock = Window.partitionBy(*kb).orderBy(seq)
-    rows = b.join(carry, kb)
-    lagged = F.lag(payload).over(inblock)
-    opens = (lagged.isNotNull() & F.col("_isa") & ~lagged["_isa"]).cast("long")
-    runs = (rows.withColumn("_p", F.coalesce(lagged, F.col("_carry")))
-            .withColumn("_o", opens)
+    runs = (rows.join(carry, kb)
+            .withColumn("_p", F.coalesce("_p", F.col("_carry")))
             .withColumn("_run", F.col("_base") + F.sum("_o").over(
                 inblock.rowsBetween(Window.unboundedPreceding, 0)))
             .where(F.col("_isa")))

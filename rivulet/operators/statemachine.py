@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.codecs import EVENT_TYPES
-from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, with_block
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, KEY, with_block
 
 # The states and transitions of the reference state machine.
 STATES = ["Initial", "W", "X", "Y", "Z"]
@@ -119,40 +119,43 @@ def _scan_partition(group_cols: list[str], func_cols: list[str], out_prefix: str
 
 
 def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
-                         width: int = DEFAULT_WIDTH, partitions: int | None = None) -> DataFrame:
+                         width: int = DEFAULT_WIDTH) -> DataFrame:
     """Alerts ``(key, seq, state, event)`` for events with no transition.
     ``event`` holds letters ``a``..``g``; ``seq`` is unique per key."""
-    n = int(partitions or events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     letters = F.array(*[F.lit(e) for e in EVENT_TYPES])
     code = (F.array_position(letters, F.col(event)) - 1).cast("int")
     step = F.array(*[F.lit(int(x)) for x in STEP.ravel()])
     ne = len(EVENT_TYPES)
     # the event's function on the state set, one column per start state
     fcols = [F.element_at(step, F.lit(s * ne) + code + 1).alias(f"_f{s}") for s in range(NS)]
-    b = with_block(events.select(key, seq, code.alias("_code"), *fcols), seq, width)
+    # the key as text, which tells null keys from each other's blocks and
+    # compares alike on the JVM and in Python
+    named = F.to_json(F.struct(F.col(key)), {"ignoreNullFields": "false"})
+    b = (with_block(events.select(key, seq, code.alias("_code"), *fcols), key, seq, width)
+         .withColumn(KEY, named))
     dtypes = dict(b.dtypes)
     func_cols = [f"_f{s}" for s in range(NS)]
     schema_rows = (f"{key} {dtypes[key]}, {seq} {dtypes[seq]}, _code int, "
-                   + ", ".join(f"_f{s} int" for s in range(NS)) + f", {BLK} long, "
+                   + ", ".join(f"_f{s} int" for s in range(NS)) + f", {KEY} string, {BLK} long, "
                    + ", ".join(f"_b{s} int" for s in range(NS)))
-    walked = (b.repartition(n, key, BLK).sortWithinPartitions(key, BLK, seq)
-              .mapInPandas(_scan_partition([key, BLK], func_cols, "_b"), schema_rows))
+    walked = (b.repartition(KEY, BLK).sortWithinPartitions(KEY, BLK, seq)
+              .mapInPandas(_scan_partition([KEY, BLK], func_cols, "_b"), schema_rows))
     # block totals: the composition of a block's event functions, folded on
     # the JVM from its sorted codes (fixed-size accumulator, linear in the
     # block), so the Python scan above runs once
     evs = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), code.alias("c"))))
     fold = F.aggregate(evs, F.array(*[F.lit(s) for s in range(NS)]),
                        lambda acc, x: F.transform(acc, lambda st: F.element_at(step, st * ne + x["c"] + 1)))
-    blocks = (with_block(events.select(key, seq, event), seq, width).groupBy(key, BLK)
-              .agg(fold.alias("_t"))
-              .select(key, BLK, *[F.col("_t")[s].alias(f"_f{s}") for s in range(NS)]))
-    schema_blocks = (f"{key} {dtypes[key]}, {BLK} long, " + ", ".join(f"_f{s} int" for s in range(NS))
+    blocks = (with_block(events.select(key, seq, event), key, seq, width).withColumn(KEY, named)
+              .groupBy(KEY, BLK).agg(fold.alias("_t"))
+              .select(KEY, BLK, *[F.col("_t")[s].alias(f"_f{s}") for s in range(NS)]))
+    schema_blocks = (f"{KEY} string, {BLK} long, " + ", ".join(f"_f{s} int" for s in range(NS))
                      + ", " + ", ".join(f"_s{s} int" for s in range(NS)))
-    starts = (blocks.repartition(n, key).sortWithinPartitions(key, BLK)
-              .mapInPandas(_scan_partition([key], func_cols, "_s"), schema_blocks)
-              .select(key, BLK, F.col("_s0").alias("_start")))      # from Initial (= 0)
+    starts = (blocks.repartition(KEY).sortWithinPartitions(KEY, BLK)
+              .mapInPandas(_scan_partition([KEY], func_cols, "_s"), schema_blocks)
+              .select(KEY, BLK, F.col("_s0").alias("_start")))      # from Initial (= 0)
     before = F.array(*[F.col(f"_b{s}") for s in range(NS)])
-    j = walked.join(starts, [key, BLK]).withColumn(
+    j = walked.join(starts, [KEY, BLK]).withColumn(
         "_state", F.element_at(before, F.col("_start") + 1))
     valid = F.array(*[F.lit(bool(v)) for v in VALID.ravel()])
     alerts = j.where(~F.element_at(valid, F.col("_state") * ne + F.col("_code") + 1))

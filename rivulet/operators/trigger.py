@@ -2,12 +2,13 @@
 argmax output (the "top speed" job).
 
 Semantics, per key in ``seq`` order: the first row arms the trigger; a
-later row fires when its ``distance`` exceeds the distance of the last
-firing row (or of the arming row) by more than ``threshold``. At a firing,
+later row fires when its ``distance`` minus the distance of the last firing
+row (or of the arming row) is more than ``threshold``. At a firing,
 rows at or older than ``evict`` before the firing row are evicted, and the
 kept row with the highest ``speed`` is emitted (the earliest one on ties).
 ``distance`` and ``ts`` must be non-decreasing in ``seq`` within a key
-(cumulative distance, event time); this is checked.
+(cumulative distance, event time); this is checked, inside blocks and from
+one block to the next.
 
 Plan - no key is ever processed whole by one task:
 
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, with_block
+from rivulet.operators.windows import micros
 
 
 def complete_groups(batches, cols):
@@ -63,12 +65,25 @@ def complete_groups(batches, cols):
         yield pending_key, pending
 
 
+def _first_over(d: np.ndarray, last: np.ndarray, threshold: float) -> np.ndarray:
+    """For each value of ``last`` the first index with ``d - last > threshold``
+    (``len(d)`` if none), by the subtraction itself: the binary search on the
+    sum may be off by rounding and is corrected."""
+    at = np.searchsorted(d, last + threshold, side="right")
+    while True:
+        high = (at < len(d)) & (d[np.minimum(at, len(d) - 1)] - last <= threshold)
+        low = (at > 0) & (d[np.maximum(at - 1, 0)] - last > threshold)
+        if not (high.any() or low.any()):
+            return at
+        at = at + high - (low & ~high)
+
+
 def _next_and_end(d: np.ndarray, threshold: float):
-    """``nxt[i]``: first row after ``i`` whose distance exceeds
-    ``d[i] + threshold`` (``n`` if none); ``end[i]``: last row of the
-    firing chain i -> nxt[i] -> ... inside the block."""
+    """``nxt[i]``: first row after ``i`` that fires if ``i`` was the last to
+    fire (``n`` if none); ``end[i]``: last row of the firing chain
+    i -> nxt[i] -> ... inside the block."""
     n = len(d)
-    nxt = np.searchsorted(d, d + threshold, side="right")
+    nxt = _first_over(d, d, threshold)
     ptr = np.where(nxt < n, nxt, np.arange(n))
     while True:
         nptr = ptr[ptr]
@@ -84,28 +99,26 @@ def _staircase(speed: np.ndarray) -> np.ndarray:
     return np.flatnonzero(speed >= later)
 
 
+_NOT_MONOTONE = "distance and ts must be non-decreasing in seq within a key"
+
+
 def _check_monotone(g: pd.DataFrame) -> None:
     if (np.diff(g["d"].to_numpy()) < 0).any() or (np.diff(g["t"].to_numpy()) < 0).any():
-        raise ValueError("distance and ts must be non-decreasing in seq within a key")
+        raise ValueError(_NOT_MONOTONE)
 
 
 def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                       distance: str, threshold: float, evict: str,
-                      width: int = DEFAULT_WIDTH, partitions: int | None = None) -> DataFrame:
-    """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing."""
-    n_parts = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                      width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing. The
+    key may be null or of any simple type."""
     ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
-    # epoch microseconds without a time zone for wall-clock (NTZ) input
-    if ntz:
-        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-    else:
-        micros = F.unix_micros(F.col(ts))
     span = F.expr(f"timestampdiff(MICROSECOND, `{ts}` - INTERVAL {evict}, `{ts}`)")
     rows = df.select(
-        F.col(key).cast("long").alias("k"), F.col(seq).cast("long").alias("q"),
+        F.to_json(F.struct(F.col(key).alias("k")), {"ignoreNullFields": "false"}).alias("k"), F.col(seq).cast("long").alias("q"),
         F.col(speed).cast("double").alias("v"), F.col(distance).cast("double").alias("d"),
-        micros.alias("t"), span.alias("span"))
-    b = with_block(rows, "q", width)
+        micros(df, ts).alias("t"), span.alias("span"))
+    b = with_block(rows, "k", "q", width).drop("_key")
     thr = float(threshold)
 
     # 1. per-block summaries. L entering a block is at most the block's own
@@ -116,11 +129,11 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
         for (k, blk), g in complete_groups(batches, ["k", BLK]):
             _check_monotone(g)
             d, v, t, q = (g[c].to_numpy() for c in ("d", "v", "t", "q"))
-            _, end = _next_and_end(d, thr)
-            m = min(int(np.searchsorted(d, d[0] + thr, side="right")) + 1, len(d))
+            nxt, end = _next_and_end(d, thr)
+            m = min(int(nxt[0]) + 1, len(d))
             st = _staircase(v)
-            out.append((int(k), int(blk), d[:m].tolist(), d[end[:m]].tolist(), int(t[0]),
-                        int(g["span"].iloc[0]), float(v.max()), q[st].tolist(), v[st].tolist(),
+            out.append((k, int(blk), d[:m].tolist(), d[end[:m]].tolist(), int(t[0]), int(t[-1]),
+                        float(d[-1]), int(g["span"].iloc[0]), float(v.max()), q[st].tolist(), v[st].tolist(),
                         d[st].tolist(), t[st].tolist()))
             if len(out) >= 1024:
                 yield _summary_frame(out)
@@ -128,12 +141,12 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
         if out:
             yield _summary_frame(out)
 
-    summary_schema = ("k long, _blk long, cand_d array<double>, exit_d array<double>, "
-                      "t0 long, span long, vmax double, st_q array<long>, st_v array<double>, "
+    summary_schema = ("k string, _blk long, cand_d array<double>, exit_d array<double>, "
+                      "t0 long, t1 long, d1 double, span long, vmax double, st_q array<long>, st_v array<double>, "
                       "st_d array<double>, st_t array<long>")
     # Many small groups: stream sorted partitions through one mapInPandas
     # call instead of one pandas call per group.
-    summaries = (b.repartition(n_parts, "k", BLK).sortWithinPartitions("k", BLK, "q")
+    summaries = (b.repartition("k", BLK).sortWithinPartitions("k", BLK, "q")
                  .mapInPandas(summarise, summary_schema))
 
     # 2. per-key fold over block summaries -> entry state of every block
@@ -141,17 +154,21 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
         out = []
         for (k,), g in complete_groups(batches, ["k"]):
             armed, last = False, 0.0
+            before_t = before_d = None
             sq, sv, sd, stt = [], [], [], []
-            cols = [g[c].tolist() for c in (BLK, "cand_d", "exit_d", "t0", "span", "vmax",
+            cols = [g[c].tolist() for c in (BLK, "cand_d", "exit_d", "t0", "t1", "d1", "span", "vmax",
                                              "st_q", "st_v", "st_d", "st_t")]
-            for blk, cand_d, exit_d, t0, span, vmax, st_q, st_v, st_d, st_t in zip(*cols):
+            for blk, cand_d, exit_d, t0, t1, d1, span, vmax, st_q, st_v, st_d, st_t in zip(*cols):
+                if before_t is not None and (t0 < before_t or cand_d[0] < before_d):
+                    raise ValueError(_NOT_MONOTONE)
+                before_t, before_d = t1, d1
                 keep = [i for i, x in enumerate(stt) if x > t0 - span]
                 sq, sv, sd, stt = ([a[i] for i in keep] for a in (sq, sv, sd, stt))
                 out.append((k, blk, armed, last, list(sq), list(sv), list(sd), list(stt)))
                 if not armed:                               # the key's first row arms
                     armed, last = True, float(exit_d[0])
                 else:
-                    f = int(np.searchsorted(np.asarray(cand_d), last + thr, side="right"))
+                    f = int(_first_over(np.asarray(cand_d), np.array([last]), thr)[0])
                     if f < len(cand_d):
                         last = float(exit_d[f])
                 alive = [i for i, x in enumerate(sv) if x >= vmax]
@@ -165,9 +182,9 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
         if out:
             yield _entry_frame(out)
 
-    entry_schema = ("k long, _blk long, armed boolean, last double, e_q array<long>, "
+    entry_schema = ("k string, _blk long, armed boolean, last double, e_q array<long>, "
                     "e_v array<double>, e_d array<double>, e_t array<long>")
-    entries = (summaries.repartition(n_parts, "k").sortWithinPartitions("k", BLK)
+    entries = (summaries.repartition("k").sortWithinPartitions("k", BLK)
                .mapInPandas(fold, entry_schema))
 
     # 3. replay every block from its entry state
@@ -181,7 +198,7 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
             if not g["armed"].iloc[0]:
                 i = int(nxt[0])                             # row 0 only arms
             else:
-                i = int(np.searchsorted(d, g["last"].iloc[0] + thr, side="right"))
+                i = int(_first_over(d, g["last"].to_numpy()[:1], thr)[0])
             fires = []
             while i < n:
                 fires.append(i)
@@ -199,23 +216,24 @@ def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                 j = _range_argmax(table, v, s, i)
                 x = int(np.searchsorted(e_t, cut, side="right"))
                 if x < len(e_t) and e_v[x] >= v[j]:
-                    out.append((int(k), int(q[i]), int(e_q[x]), float(e_v[x]), float(e_d[x]), int(e_t[x])))
+                    out.append((k, int(q[i]), int(e_q[x]), float(e_v[x]), float(e_d[x]), int(e_t[x])))
                 else:
-                    out.append((int(k), int(q[i]), int(q[j]), float(v[j]), float(d[j]), int(t[j])))
+                    out.append((k, int(q[i]), int(q[j]), float(v[j]), float(d[j]), int(t[j])))
         yield pd.DataFrame(out, columns=["k", "fire_q", "q", "v", "d", "t"]).astype(
-            {"k": "int64", "fire_q": "int64", "q": "int64", "v": "float64", "d": "float64", "t": "int64"})
+            {"k": "object", "fire_q": "int64", "q": "int64", "v": "float64", "d": "float64", "t": "int64"})
 
-    fired = (b.join(entries, ["k", BLK]).repartition(n_parts, "k", BLK)
+    fired = (b.join(entries, ["k", BLK]).repartition("k", BLK)
              .sortWithinPartitions("k", BLK, "q")
-             .mapInPandas(replay, "k long, fire_q long, q long, v double, d double, t long"))
-    return fired.select(F.col("k").alias(key), F.col("fire_q").alias(f"fire_{seq}"),
+             .mapInPandas(replay, "k string, fire_q long, q long, v double, d double, t long"))
+    back = F.from_json("k", f"k {dict(df.dtypes)[key]}")["k"]
+    return fired.select(back.alias(key), F.col("fire_q").alias(f"fire_{seq}"),
                         F.col("q").alias(seq), F.col("v").alias(speed), F.col("d").alias(distance),
                         (F.expr("timestampadd(MICROSECOND, t, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
                          if ntz else F.timestamp_micros("t")).alias(ts))
 
 
 def _summary_frame(rows):
-    cols = ["k", BLK, "cand_d", "exit_d", "t0", "span", "vmax", "st_q", "st_v", "st_d", "st_t"]
+    cols = ["k", BLK, "cand_d", "exit_d", "t0", "t1", "d1", "span", "vmax", "st_q", "st_v", "st_d", "st_t"]
     return pd.DataFrame(rows, columns=cols)
 
 

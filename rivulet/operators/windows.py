@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, prefix_sums, with_block
+from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, KEY, prefix_sums, with_block
 
 
 def _interval(spec: str) -> Column:
@@ -39,18 +39,20 @@ def count_window_sum(df: DataFrame, keys: str | Sequence[str], seq: str, value:
     ``S`` to the group ``(key, n)`` when it fires and to ``(key, n + size)``
     when that row fires; one aggregation over those groups (at most two
     rows each, so no hot group) takes the difference. The running sums are
-    computed once. Exact for integral values.
+    computed once, in the type of the value's sum (exact for integers and
+    decimals; doubles carry the rounding of their running sums).
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
     v = F.col(value) if isinstance(value, str) else value
     acc = prefix_sums(df, ks, seq, {"_rn": F.lit(1).cast("long"), "_s": v}, width)
     fire = (F.col("_rn") % slide == 0)
     feeds = (F.col("_rn") + size) % slide == 0
+    kind = dict(acc.dtypes)["_s"]
     sends = F.filter(F.array(
         F.struct(fire.alias("ok"), F.col("_rn").alias("_t"), F.col("_s").alias("now"),
-                 F.lit(None).cast("long").alias("old"), F.col(seq).alias("q")),
+                 F.lit(None).cast(kind).alias("old"), F.col(seq).alias("q")),
         F.struct(feeds.alias("ok"), (F.col("_rn") + size).alias("_t"),
-                 F.lit(None).cast("long").alias("now"), F.col("_s").cast("long").alias("old"),
+                 F.lit(None).cast(kind).alias("now"), F.col("_s").alias("old"),
                  F.lit(None).cast(dict(acc.dtypes)[seq]).alias("q"))), lambda x: x["ok"])
     msgs = acc.where(fire | feeds).select(*ks, F.inline(sends))
     g = msgs.groupBy(*ks, "_t").agg(F.max("now").alias("now"), F.max("old").alias("old"),
@@ -77,51 +79,49 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
                     *keys, *[c for c in g.columns if c not in ("w", *keys)])
 
 
+def micros(df: DataFrame, ts: str) -> Column:
+    """Epoch microseconds of a timestamp with or without time zone."""
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    return F.unix_micros(F.col(ts))
+
+
 def sessions(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str, gap: str,
-             aggs: Sequence[Column], width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Gap sessions per key. A row opens a new session when it is the key's
-    first row or its time exceeds the previous row's time by more than
-    ``gap``; rows exactly ``gap`` apart stay in one session. The session
-    ends ``gap`` after its last row (as Spark's ``session_window``).
-
-    ``seq`` must order rows like ``ts``. One blocked pass:
-
-    * block summary (per ``(key, seq // width)``): first and last time and
-      the number of sessions opened inside the block, counted by a JVM fold
-      over the block's sorted times (at most ``width`` of them);
-    * across blocks of a key (a table ``width`` times smaller): whether the
-      block's first row opens a session, and how many sessions opened
-      before the block;
+             aggs: Sequence[Column], block_seconds: float = 86_400) -> DataFrame:
+    """Gap sessions per key in time order (``seq`` breaks ties). A row opens
+    a new session when it is the key's first row or its time exceeds the
+    previous row's time by more than ``gap``; rows exactly ``gap`` apart stay
+    in one session. The session ends ``gap`` after its last row (as Spark's
+    ``session_window``). Rows without a time belong to no session.
+
+    A key's time line is cut into blocks of ``block_seconds``:
+
+    * rows: previous time inside the block and whether the row opens a session;
+    * block summary: first and last time, sessions opened inside;
+    * across the blocks of a key: whether the block's first row opens a
+      session, and how many sessions opened before the block;
     * rows: session number = sessions before the block + in-block running
       count of openings; then one grouping, pre-aggregated per task.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
-    kb = ks + [BLK]
+    kb = [KEY, BLK]
     g = _interval(gap)
-    b = with_block(df, seq, width)
-    times = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col(ts).alias("t"))))
-    opened_inside = F.aggregate(
-        times, F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast(dict(b.dtypes)[ts]).alias("p")),
-        lambda acc, x: F.struct(
-            (acc["n"] + F.when(acc["p"].isNotNull() & (x["t"] > acc["p"] + g), 1).otherwise(0))
-            .cast("long").alias("n"),
-            x["t"].alias("p")))["n"]
-    summary = b.groupBy(*kb).agg(F.min_by(ts, seq).alias("_first"), F.max_by(ts, seq).alias("_last"),
-                                 opened_inside.alias("_inside"))
-    per_key = Window.partitionBy(*ks).orderBy(BLK)
+    timed = df.where(F.col(ts).isNotNull())
+    b = with_block(timed, ks, micros(timed, ts), int(block_seconds * 1_000_000))
+    inblock = Window.partitionBy(*kb).orderBy(ts, seq)
+    prev = F.lag(ts).over(inblock)
+    rows = b.withColumn("_o", (prev.isNotNull() & (F.col(ts) > prev + g)).cast("long"))
+    summary = rows.groupBy(*kb).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+                                    F.sum("_o").alias("_inside"))
+    per_key = Window.partitionBy(KEY).orderBy(BLK)
     prev_last = F.lag("_last").over(per_key)
     first_opens = (prev_last.isNull() | (F.col("_first") > prev_last + g)).cast("long")
     opened = summary.withColumn("_fo", first_opens).withColumn("_n", F.col("_inside") + F.col("_fo"))
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
     carry = opened.select(*kb, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.col("_fo"))
                           .alias("_base"))
-    inblock = Window.partitionBy(*kb).orderBy(seq)
-    rows = b.join(carry, kb)
-    prev = F.lag(ts).over(inblock)
-    opens = (prev.isNotNull() & (F.col(ts) > prev + g)).cast("long")
-    numbered = (rows.withColumn("_o", opens)
-                .withColumn("_sid", F.col("_base") + F.sum("_o").over(
-                    inblock.rowsBetween(Window.unboundedPreceding, 0))))
+    numbered = rows.join(carry, kb).withColumn("_sid", F.col("_base") + F.sum("_o").over(
+        inblock.rowsBetween(Window.unboundedPreceding, 0)))
     return (numbered.groupBy(*ks, "_sid")
             .agg(F.min(ts).alias("session_start"), (F.max(ts) + g).alias("session_end"), *aggs)
             .drop("_sid"))

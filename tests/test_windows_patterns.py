@@ -29,7 +29,7 @@ def test_session_fixture(spark):
     df = spark.createDataFrame(rows, "key string, ms long, n int") \
         .withColumn("ts", F.timestamp_millis("ms"))
     out = W.sessions(df, "key", "ms", "ts", "3 milliseconds",
-                     [F.min("ms").alias("first"), F.sum("n").alias("n")], width=2)
+                     [F.min("ms").alias("first"), F.sum("n").alias("n")], block_seconds=0.002)
     got = sorted((r.key, r.first, r.n) for r in out.collect())
     assert got == sorted([("a", 1, 1), ("c", 6, 1), ("c", 11, 1), ("b", 1, 3), ("a", 10, 1)])
 
