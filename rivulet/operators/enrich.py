@@ -3,15 +3,17 @@
 When the lookup side is a table, enrichment is a join. When it is a
 service, each task runs the calls through a bounded thread pool inside
 ``mapInPandas``: at most ``capacity`` calls in flight per task, each with a
-timeout, and output in input order (the "ordered wait" mode) or completion
-order ("unordered"). A failed or timed-out call fails the task, and Spark
+deadline counted from its start, and output in input order (the "ordered
+wait" mode) or completion order ("unordered"). A failed or late call fails
+the task at once, without waiting for the calls still running, and Spark
 retries it, as the reference passes the failure on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, wait, FIRST_COMPLETED
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from time import monotonic
 
 from pyspark.sql import DataFrame
 
@@ -23,46 +25,42 @@ def async_enrich(df: DataFrame, column: str, lookup: Callable[[object], object],
     schema = f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, `{out}` {out_type}"
 
     def run(batches):
-        with ThreadPoolExecutor(max_workers=capacity) as pool:
+        pool = ThreadPoolExecutor(max_workers=capacity)
+        try:
             for pdf in batches:
-                values = pdf[column].tolist()
+                rows, values = _answers(pool, lookup, pdf[column].tolist(), capacity, timeout_s)
                 if ordered:
-                    results = []
-                    pending = []
-                    for v in values:
-                        if len(pending) >= capacity:
-                            results.append(pending.pop(0).result(timeout=timeout_s))
-                        pending.append(pool.submit(lookup, v))
-                    results.extend(f.result(timeout=timeout_s) for f in pending)
-                    yield pdf.assign(**{out: results})
+                    answer = dict(zip(rows, values))
+                    yield pdf.assign(**{out: [answer[i] for i in range(len(pdf))]})
                 else:
-                    index = {}
-                    done_rows, done_vals = [], []
-                    inflight = set()
-                    for i, v in enumerate(values):
-                        if len(inflight) >= capacity:
-                            finished, inflight = wait(inflight, timeout=timeout_s,
-                                                      return_when=FIRST_COMPLETED)
-                            if not finished:
-                                raise TimeoutError("lookup timed out")
-                            for f in finished:
-                                done_rows.append(index.pop(f))
-                                done_vals.append(f.result())
-                        f = pool.submit(lookup, v)
-                        index[f] = i
-                        inflight.add(f)
-                    finished, _ = wait(inflight, timeout=timeout_s)
-                    if len(finished) != len(inflight):
-                        raise TimeoutError("lookup timed out")
-                    for f in finished:
-                        done_rows.append(index.pop(f))
-                        done_vals.append(f.result())
-                    part = pdf.iloc[done_rows].reset_index(drop=True)
-                    yield part.assign(**{out: done_vals})
+                    yield pdf.iloc[rows].reset_index(drop=True).assign(**{out: values})
+        finally:  # a call that hangs must not hold the task
+            pool.shutdown(wait=False, cancel_futures=True)
 
     return df.mapInPandas(run, schema)
 
 
+def _answers(pool: ThreadPoolExecutor, lookup, values: list, capacity: int,
+             timeout_s: float) -> tuple[list[int], list]:
+    """Row numbers and answers in completion order. As many calls run as the
+    pool has threads, so a call starts when it is submitted."""
+    running: dict[Future, tuple[int, float]] = {}
+    rows, answers, todo = [], [], iter(enumerate(values))
+    while True:
+        while len(running) < capacity and (item := next(todo, None)) is not None:
+            running[pool.submit(lookup, item[1])] = (item[0], monotonic() + timeout_s)
+        if not running:
+            return rows, answers
+        soonest = min(deadline for _, deadline in running.values())
+        done, _ = wait(running, timeout=max(0.0, soonest - monotonic()), return_when=FIRST_COMPLETED)
+        for f in done:
+            row, _ = running.pop(f)
+            rows.append(row)
+            answers.append(f.result())
+        if any(deadline <= monotonic() and not f.done() for f, (_, deadline) in running.items()):
+            raise TimeoutError("lookup timed out")
+
+
 def modulo_key(n: object, buckets: int = 10) -> str:
     """The sample lookup of the reference job: ``"key-" + n % buckets``."""
     return f"key-{int(n) % buckets}"

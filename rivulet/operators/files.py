@@ -15,32 +15,41 @@ import os
 import shutil
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def relative_to(path: Column | str, root: str) -> Column:
+    """``path`` below ``root`` (both with their scheme); an error for a path
+    that is not below it, so that two files never get one name."""
+    p = F.col(path) if isinstance(path, str) else path
+    prefix = root.rstrip("/") + "/"
+    return F.when(p.startswith(prefix), F.substr(p, F.lit(len(prefix) + 1))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below {root}: "), p)).cast("string"))
+
+
 def manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """``(path, relative_path, length)`` of every file below ``root``
-    (recursive; folders are not rows)."""
+    """``(path, relative_path, length)`` of every file below ``root``, a
+    folder of any file system Spark reads (recursive; folders are not rows)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root).select("path", "length")
-    prefix = "file:" + os.path.abspath(root).rstrip("/") + "/"
-    rel = F.when(F.col("path").startswith(prefix), F.substring(F.col("path"), len(prefix) + 1, 1 << 30)) \
-        .otherwise(F.regexp_extract("path", r"[^/]+$", 0))
-    return files.select("path", rel.alias("relative_path"), "length")
+    # the root with the scheme and authority that the listed paths carry
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return files.select("path", relative_to("path", full).alias("relative_path"), "length")
 
 
 def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def copy_files(files: DataFrame, target: str, tasks: int | None = None) -> DataFrame:
+def copy_files(files: DataFrame, target: str) -> DataFrame:
     """Copy every manifest row to ``target/relative_path`` on the executors.
-    Returns ``(relative_path, bytes)`` per copied file."""
-    n = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    target = os.path.abspath(target)
+    Returns ``(relative_path, bytes)`` per copied file. Source and target are
+    paths that every executor has mounted (plain or ``file:``)."""
+    target = os.path.abspath(_local(target))
 
     def run(batches):
         for pdf in batches:
@@ -54,10 +63,12 @@ def copy_files(files: DataFrame, target: str, tasks: int | None = None) -> DataF
                 out_bytes.append(os.path.getsize(dst))
             yield pd.DataFrame({"relative_path": out_rel, "bytes": out_bytes}).astype({"bytes": "int64"})
 
-    return (files.select("path", "relative_path").repartition(n)
+    return (files.select("path", "relative_path").repartition("relative_path")
             .mapInPandas(run, "relative_path string, bytes long"))
 
 
-def copy_totals(copied: DataFrame) -> DataFrame:
-    """``(files_copied, bytes_copied)`` counters of a copy."""
-    return copied.agg(F.count(F.lit(1)).alias("files_copied"), F.sum("bytes").alias("bytes_copied"))
+def copy_totals(copied: DataFrame, *by: str) -> DataFrame:
+    """``(files_copied, bytes_copied)`` counters of a copy, in all or per
+    group of columns."""
+    return copied.groupBy(*by).agg(F.count(F.lit(1)).alias("files_copied"),
+                                   F.sum("bytes").alias("bytes_copied"))

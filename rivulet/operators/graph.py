@@ -3,10 +3,9 @@
 Each superstep is declarative (joins, grouped min / sum); the driver only
 decides whether to continue, from one ``isEmpty`` / aggregate per step.
 Loop state is written with reliable ``checkpoint()`` into the session's
-checkpoint folder, which cuts the lineage and survives executor loss. The
-static edge table is hash-partitioned on its join key and checkpointed
-once, so later supersteps reuse that partitioning instead of re-shuffling
-the edges.
+checkpoint folder, which cuts the lineage and survives executor loss; Spark
+removes the files of a step once nothing refers to it. Joins and groupings
+are left to Spark's planning, which splits the partitions of hub vertices.
 """
 
 from __future__ import annotations
@@ -36,13 +35,6 @@ def _ckpt_count(df: DataFrame) -> tuple[DataFrame, int]:
     return out, n
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-LABEL_CHECKPOINT_EVERY = 1
-
-
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Each edge plus its inverse."""
     return edges.select(F.inline(F.array(
@@ -52,36 +44,38 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int | None = None,
                          vid: str = "id") -> tuple[DataFrame, int]:
-    """Minimum-label propagation over undirected ``edges(src, dst)``.
-
-    Delta iteration: only vertices whose label dropped in the last step
-    send their label on. Returns ``(vertex, component)`` and the number of
-    supersteps run; ``max_iter=None`` runs to convergence.
+    """``(vertex, component)``, the least vertex connected to each vertex, and
+    the number of rounds run; ``max_iter=None`` runs to convergence.
+
+    Star contraction: in a round every vertex links its larger neighbours to
+    the least vertex it knows (large star), then itself and its smaller
+    neighbours to the least of those (small star). The edges turn into stars
+    around the least vertices in a number of rounds that grows with the
+    logarithm of the component's size, not with its diameter. A round is two
+    grouped minima and their joins over the edges left; there is no join
+    with all vertices before the end.
     """
-    n = _partitions(vertices)
-    und = _ckpt(undirected(edges).distinct().repartition(n, "src"))
-    labels = _ckpt(vertices.select(F.col(vid).alias("vertex"), F.col(vid).alias("component"))
-                   .repartition(n, "vertex"))
-    frontier = labels
-    steps = 0
+    links = _ckpt(edges.where(F.col("src") != F.col("dst")).select(
+        F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    steps, before = 0, None
     while max_iter is None or steps < max_iter:
-        offers = (frontier.join(und, frontier.vertex == und.src)
-                  .groupBy(F.col("dst").alias("vertex"))
-                  .agg(F.min("component").alias("offer")))
-        improved, changed = _ckpt_count(offers.join(labels, "vertex")
-                                        .where(F.col("offer") < F.col("component"))
-                                        .select("vertex", F.col("offer").alias("component")))
+        both = undirected(links, "u", "v").select(F.col("src").alias("u"), F.col("dst").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("u"), F.min("v")).alias("m"))
+        large = (both.join(least, "u").where(F.col("v") > F.col("u"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        links = _ckpt(large.join(least, "u").select(F.inline(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+            F.struct(F.col("u"), F.col("m").alias("v")))))
+            .where(F.col("u") != F.col("v")).distinct())
         steps += 1
-        if changed == 0:
+        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == before:
             break
-        labels = (labels.join(improved.withColumnRenamed("component", "_new"), "vertex", "left")
-                  .select("vertex", F.coalesce("_new", "component").alias("component")))
-        if steps % LABEL_CHECKPOINT_EVERY == 0:
-            # the deltas are checkpointed every step, so between label
-            # checkpoints the lineage is a few joins with checkpointed data
-            labels = _ckpt(labels)
-        frontier = improved
-    return labels, steps
+        before = now
+    roots = links.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("root"))
+    return (vertices.select(F.col(vid).alias("vertex")).join(roots, "vertex", "left")
+            .select("vertex", F.coalesce("root", "vertex").alias("component"))), steps
 
 
 def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[DataFrame, int]:
@@ -98,22 +92,31 @@ def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> tuple[D
     them. Rounds: ceil(log2 of the longest shortest path) + 1. Stops when
     no pair sits at exactly 2^(k+1): a longer shortest path would have a
     prefix of that length.
+
+    ``max_iter`` counts supersteps that each lengthen paths by one edge: the
+    pairs joined by at most ``max_iter + 1`` edges are returned, with the
+    number of doubling rounds run.
     """
-    n = _partitions(edges)
+    longest = None if max_iter is None else max_iter + 1
     first = _ckpt(edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
                   .select("src", "dst").distinct()
-                  .withColumn("len", F.lit(1).cast("long")).repartition(n, "src"))
+                  .withColumn("len", F.lit(1).cast("long")))
     pieces = [first]
     exact = first
     span = 1
     steps = 0
-    while max_iter is None or steps < max_iter:
+    while longest is None or span < longest:
         paths = reduce(DataFrame.union, pieces)
         x = exact.select(F.col("src").alias("a"), F.col("dst").alias("m"))
         p = paths.select(F.col("src").alias("m"), F.col("dst").alias("b"), F.col("len").alias("l"))
-        cand = (x.join(p, "m").groupBy(F.col("a").alias("src"), F.col("b").alias("dst"))
-                .agg((F.min("l") + span).alias("len")))
-        fresh, found = _ckpt_count(cand.join(paths.select("src", "dst"), ["src", "dst"], "left_anti"))
+        # new pairs and known ones in one grouping: a known pair's least
+        # length is at most span, and every candidate's is longer
+        cand = x.join(p, "m").select(F.col("a").alias("src"), F.col("b").alias("dst"),
+                                     (F.col("l") + span).alias("len"))
+        if longest is not None:
+            cand = cand.where(F.col("len") <= longest)
+        fresh, found = _ckpt_count(cand.unionByName(paths).groupBy("src", "dst")
+                                   .agg(F.min("len").alias("len")).where(F.col("len") > span))
         steps += 1
         if found == 0:
             break
@@ -168,12 +171,10 @@ def pagerank(pages: DataFrame, links: DataFrame, num_pages: int, damping: float
     Out-link weights replace the adjacency list: each link carries
     ``1 / out_degree`` of its source, so a hub never becomes one array.
     """
-    n = _partitions(links)
     deg = links.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    wlinks = _ckpt(links.join(deg, "src").select("src", "dst", "_deg").repartition(n, "src"))
+    wlinks = _ckpt(links.join(deg, "src").select("src", "dst", "_deg"))
     jump = (1 - damping) / num_pages
-    ranks = _ckpt(pages.select(F.col(vid).alias("id"), F.lit(1.0 / num_pages).alias("rank"))
-                  .repartition(n, "id"))
+    ranks = _ckpt(pages.select(F.col(vid).alias("id"), F.lit(1.0 / num_pages).alias("rank")))
     steps = 0
     while steps < max_iter:
         contrib = (ranks.join(wlinks, ranks.id == wlinks.src)

@@ -5,15 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.functions.codecs import alert_text
-from rivulet.functions.text import nonword_tokens
+from rivulet.functions.codecs import alert_text, decode_event, parse_tuple_text
+from rivulet.functions.text import nonword_tokens, token_route
 from rivulet.operators import patterns as P
-from rivulet.operators.parallel import spread_if_narrow
 from rivulet.operators import windows as W
-from rivulet.operators.iterate import fibonacci_steps
+from rivulet.operators.iterate import fibonacci_steps, route
 from rivulet.operators.statemachine import TRANSITIONS, state_machine_alerts
 from rivulet.operators.trigger import delta_trigger_top
 from rivulet.plans.catalog import query
+from rivulet.sinks import tuple_line
+from rivulet.sources.streams import decode_word_events, encode_state_events, encode_word_events
 from rivulet.sources.tables import table
 
 
@@ -87,8 +88,8 @@ WITH s AS (
   SELECT user_id, event_id, ts, {_CENTS_SQL} AS cents,
          CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 1 HOUR
               THEN 1 ELSE 0 END AS st
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
-n AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY event_id
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+n AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY ts, event_id
                               ROWS UNBOUNDED PRECEDING) AS sid FROM s)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end,
        count(*) AS n_events, CAST(sum(cents) AS BIGINT) AS sum_cents
@@ -118,7 +119,7 @@ def window_join(spark, sf):
 
 
 def _conv_tokens(spark, sf):
-    conv = spread_if_narrow(table(spark, sf, "conversations").select("conv_id", "turn", "text"))
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return conv.select("conv_id", "turn", F.explode(nonword_tokens("text")).alias("token"))
 
 
@@ -260,16 +261,130 @@ def delta_trigger_top_q(spark, sf):
 
 
 @query("iterate_until_bound", sql="""
-WITH RECURSIVE s AS (
-  SELECT DISTINCT 1 + l_linenumber AS a, 1 + CAST(l_quantity AS INTEGER) AS b FROM lineitem),
+WITH RECURSIVE r AS (
+  SELECT l_orderkey, l_linenumber, 1 + l_linenumber AS a, 1 + CAST(l_quantity AS INTEGER) AS b FROM lineitem),
+s AS (
+  SELECT DISTINCT a, b FROM r),
 it(a, b, x, y, n) AS (
   SELECT a, b, b, a + b, 1 FROM s
   UNION ALL
-  SELECT a, b, y, x + y, n + 1 FROM it WHERE x < 100 AND y < 100)
-SELECT a, b, max(n) AS steps FROM it GROUP BY a, b
+  SELECT a, b, y, x + y, n + 1 FROM it WHERE x < 100 AND y < 100),
+m AS (SELECT a, b, max(n) AS steps FROM it GROUP BY a, b)
+SELECT l_orderkey, l_linenumber, a, b, steps FROM r JOIN m USING (a, b)
 """)
 def iterate_until_bound(spark, sf):
     li = table(spark, sf, "lineitem")
-    pairs = li.select((F.col("l_linenumber") + 1).cast("int").alias("a"),
-                      (F.col("l_quantity").cast("int") + 1).alias("b")).distinct()
+    pairs = li.select("l_orderkey", "l_linenumber", (F.col("l_linenumber") + 1).cast("int").alias("a"),
+                      (F.col("l_quantity").cast("int") + 1).alias("b"))
     return fibonacci_steps(pairs, "a", "b", 100)
+
+
+@query("count_window_value", sql="""
+SELECT event_type, event_id, rn, round(window_value, 6) AS window_value FROM (
+  SELECT event_type, event_id, row_number() OVER w AS rn,
+         sum(value) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS window_value
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+WHERE rn % 3 = 0
+""")
+def count_window_value(spark, sf):
+    ev = _events(spark, sf).select("event_type", "event_id", "value")
+    out = W.count_window_sum(ev, "event_type", "event_id", "value", size=7, slide=3, out="window_value")
+    return out.withColumn("window_value", F.round("window_value", 6))
+
+
+@query("side_output_windows", sql="""
+SELECT time_bucket(INTERVAL 5 SECOND, ts) AS window_start,
+       time_bucket(INTERVAL 5 SECOND, ts) + INTERVAL 5 SECOND AS window_end,
+       event_type AS word, count(*) AS n
+FROM events WHERE length(event_type) BETWEEN 1 AND 5 GROUP BY 1, 2, 3
+""")
+def side_output_windows(spark, sf):
+    """The tokens that the length router keeps, counted in 5 s windows."""
+    words = _events(spark, sf).select("ts", F.col("event_type").alias("word"))
+    kept = words.where(token_route("word") == "kept")
+    return W.tumbling(kept, "ts", "5 seconds", ["word"], [F.count(F.lit(1)).alias("n")])
+
+
+@query("window_contents", sql="""
+SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
+       max(value) - min(value) AS spread
+FROM events GROUP BY 1, 2
+""")
+def window_contents(spark, sf):
+    """A function of a window's whole contents."""
+    def spread(rows):
+        return rows.iloc[:1][["event_type", "window_start"]].assign(
+            n=len(rows), spread=rows["value"].max() - rows["value"].min())
+    ev = _events(spark, sf).select("event_type", "ts", "value")
+    return W.window_apply(ev, "ts", "1 day", ["event_type"], spread,
+                          "event_type string, window_start timestamp_ntz, n long, spread double")
+
+
+@query("split_select", sql="""
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS output FROM events
+""")
+def split_select(spark, sf):
+    even, odd = route(_events(spark, sf).select("event_id"), F.col("event_id") % 2 == 0)
+    return (even.withColumn("output", F.lit("even"))
+            .unionByName(odd.withColumn("output", F.lit("odd"))))
+
+
+@query("state_event_codec", sql=f"""
+SELECT CAST(user_id AS INT) AS address, {_letter_sql()} AS type, 8 AS n_bytes FROM events
+""")
+def state_event_codec(spark, sf):
+    """Events to 8-byte records and back."""
+    letters = F.create_map(*[F.lit(x) for kv in EVENT_LETTERS.items() for x in kv])
+    ev = _events(spark, sf).select(F.col("user_id").cast("int").alias("address"),
+                                   letters[F.col("event_type")].alias("type"))
+    raw = encode_state_events(ev)
+    return raw.select(F.octet_length("value").alias("n_bytes"), decode_event("value").alias("e")) \
+        .select("e.*", "n_bytes")
+
+
+@query("word_event_codec", sql=f"""
+SELECT event_type || ',' || CAST(CAST({_CENTS_SQL} AS INT) AS VARCHAR) || ',' || CAST(event_id AS VARCHAR) AS value
+FROM events
+""")
+def word_event_codec(spark, sf):
+    """Events as JSON records, decoded, and written as delimited text."""
+    ev = _events(spark, sf).select(F.to_json(F.struct(
+        F.col("event_type").alias("word"), cents().cast("int").alias("frequency"),
+        F.col("event_id").alias("timestamp"))).alias("value"))
+    return encode_word_events(decode_word_events(ev))
+
+
+@query("tuple_text", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity, l_shipmode FROM (
+  SELECT *, 'mode ' || (l_linenumber % 3) AS l_shipmode FROM lineitem)
+""")
+def tuple_text(spark, sf):
+    """Rows written as "(a,b,c,d)" and parsed back."""
+    li = table(spark, sf, "lineitem").withColumn(
+        "l_shipmode", F.concat(F.lit("mode "), (F.col("l_linenumber") % 3).cast("string")))
+    names = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipmode"]
+    text = li.select(tuple_line(names).alias("line"))
+    kinds = [dict(li.dtypes)[n] for n in names]
+    return text.select(parse_tuple_text("line", kinds).alias("t")).select(
+        *[F.col(f"t._{i + 1}").alias(n) for i, n in enumerate(names)])
+
+
+@query("pattern_global", sql=f"""
+WITH r AS (
+  SELECT event_id, event_type, ts,
+         CAST(sum({_CENTS_SQL}) OVER (PARTITION BY event_type ORDER BY event_id
+              ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+  FROM events),
+n AS (SELECT *, lead(event_type) OVER w AS nt, lead(ts) OVER w AS nts, lead(event_id) OVER w AS next_event_id,
+             lead(total) OVER w AS next_total
+      FROM r WINDOW w AS (ORDER BY ts, event_id))
+SELECT event_id, total, next_event_id, next_total FROM n
+WHERE event_type = 'click' AND nt = 'purchase' AND nts < ts + INTERVAL 1 HOUR
+""")
+def pattern_global(spark, sf):
+    """The pattern over the running totals of all keys, in event time."""
+    ev = _events(spark, sf).select("event_id", "event_type", "ts", cents().alias("cents"))
+    totals = W.running_sum(ev, "event_type", "event_id", "cents", "total").drop("cents")
+    hits = P.followed_by_in_time(totals, "ts", "event_id", F.col("event_type") == "click",
+                                 F.col("event_type") == "purchase", "1 hour", ["event_id", "total"])
+    return hits.select("event_id", "total", "next_event_id", "next_total")

@@ -1,26 +1,33 @@
-"""File listing and service-enrichment queries."""
+"""File-copy counters and service-enrichment queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from rivulet.operators.enrich import async_enrich, modulo_key
-from rivulet.operators.files import manifest
-from rivulet.operators.parallel import spread_if_narrow
+from rivulet.operators.files import copy_totals, relative_to
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
 
 
-@query("file_manifest")
-def file_manifest(spark, sf):
-    """Files of the table folder with their sizes (rows-only check)."""
-    return manifest(spark, sf).select("relative_path", "length")
+@query("copy_counters", sql="""
+SELECT host, count(*) AS files_copied, CAST(sum(bytes) AS BIGINT) AS bytes_copied
+FROM (SELECT regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host,
+             octet_length(encode(html)) AS bytes FROM pages)
+GROUP BY host
+""")
+def copy_counters(spark, sf):
+    """Files and bytes per top folder, with pages as the files of a copy."""
+    pages = table(spark, sf, "pages")
+    rel = relative_to(F.regexp_replace("url", "^[a-z]+://", "store:/"), "store:/")
+    copied = pages.select(F.split(rel, "/")[0].alias("host"), F.octet_length("html").alias("bytes"))
+    return copy_totals(copied, "host")
 
 
 @query("async_enrich", sql="""
 SELECT 'key-' || CAST(user_id % 10 AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1
 """)
 def async_enrich_q(spark, sf):
-    ev = spread_if_narrow(table(spark, sf, "events").select("event_id", "user_id"))
+    ev = table(spark, sf, "events").select("event_id", "user_id")
     enriched = async_enrich(ev, "user_id", modulo_key, "key", capacity=20, timeout_s=10.0)
     return enriched.groupBy("key").agg(F.count(F.lit(1)).alias("n"))

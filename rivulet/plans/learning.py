@@ -54,10 +54,7 @@ t0 AS (SELECT 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1)"""]
 def linear_regression(spark, sf):
     li = table(spark, sf, "lineitem").select((F.col("l_quantity") / 50.0).alias("x"),
                                              (F.col("l_extendedprice") / 100000.0).alias("y"))
-    # nine steps on the driver loop; the tenth is the returned aggregate
-    t0, t1 = M.linear_regression(li, "x", "y", iterations=9, alpha=0.01)
-    last = M.regression_step(li, t0, t1, "x", "y", 0.01)
-    return last.select(F.round("t0", 10).alias("theta0"), F.round("t1", 10).alias("theta1"))
+    return M.linear_regression(li, "x", "y", iterations=10, alpha=0.01).select(F.round("t0", 10).alias("theta0"), F.round("t1", 10).alias("theta1"))
 
 
 _MODEL_SQL = """m AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
@@ -85,8 +82,23 @@ FROM events e ASOF LEFT JOIN m ON e.ts >= m.window_end
 def latest_model_apply(spark, sf):
     ev = table(spark, sf, "events")
     m = M.window_model(ev, "ts", "1 day", _cents())
-    out = M.apply_latest_model(ev.select("event_id", "ts"), "ts", m)
+    out = M.apply_latest_model(ev.select("event_id", "ts"), "ts", m, "1 day")
     # No closed window yet: an empty model (count 0, sum 0, mean null).
     return out.select("event_id", F.coalesce("model_n", F.lit(0)).alias("model_n"),
                       F.coalesce("model_sum", F.lit(0)).alias("model_sum"),
                       (F.col("model_sum") / F.col("model_n") / 100).alias("model_mean"))
+
+
+@query("latest_model_gaps", sql="""WITH m AS (
+  SELECT time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end, count(*) AS model_n,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS model_sum
+  FROM events WHERE event_type = 'purchase' AND event_id % 97 = 0 GROUP BY 1)
+SELECT e.event_id, coalesce(m.model_n, 0) AS model_n, coalesce(m.model_sum, 0) AS model_sum
+FROM events e ASOF LEFT JOIN m ON time_bucket(INTERVAL 6 HOUR, e.ts) >= m.window_end
+""")
+def latest_model_gaps(spark, sf):
+    """Models of 6-hour windows with gaps, applied to rows long after them."""
+    ev = table(spark, sf, "events")
+    some = ev.where((F.col("event_type") == "purchase") & (F.col("event_id") % 97 == 0))
+    m = M.window_model(some, "ts", "6 hours", _cents())
+    return M.apply_latest_model(ev.select("event_id", "ts"), "ts", m, "6 hours").drop("ts").fillna(0)

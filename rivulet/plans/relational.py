@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rivulet.functions.codecs import int_to_ipv4
-from rivulet.functions.text import delimiter_tokens
+from rivulet.functions.text import delimiter_tokens, whitespace_tokens
 from rivulet.operators import relational as R
-from rivulet.operators.parallel import spread_if_narrow
 from rivulet.plans.catalog import query
 from rivulet.sources.tables import table
 
@@ -106,7 +105,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def word_count(spark, sf):
-    docs = spread_if_narrow(table(spark, sf, "documents").select("text"))
+    docs = table(spark, sf, "documents").select("text")
     return R.word_count(docs, text="text")
 
 
@@ -163,7 +162,7 @@ WHERE word <> ''
 GROUP BY word
 """)
 def json_lang_tokens(spark, sf):
-    docs = spread_if_narrow(table(spark, sf, "documents").select("text", "lang"))
+    docs = table(spark, sf, "documents").select("text", "lang")
     # Re-aimed live feed: each document becomes one JSON record.
     records = docs.select(F.to_json(F.struct("text", F.struct("lang").alias("user"))).alias("value"))
     return json_word_counts(records)
@@ -190,3 +189,20 @@ FROM (SELECT event_id, CAST(user_id % 127 * 16777259 AS BIGINT) & 4294967295 AS
 def ip_format(spark, sf):
     ev = table(spark, sf, "events")
     return ev.select("event_id", int_to_ipv4((F.col("user_id") % 127 * 16777259).cast("int")).alias("ip"))
+
+
+@query("group_reduce_xor", sql="""
+SELECT l_orderkey, CAST(bit_xor(CAST(l_partkey AS BIGINT)) AS BIGINT) AS parts FROM lineitem GROUP BY l_orderkey
+""")
+def group_reduce_xor(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").cast("long").alias("parts"))
+    return R.group_reduce(li, ["l_orderkey"], "parts", lambda a, b: a.bitwiseXOR(b))
+
+
+@query("whitespace_token_count", sql="""
+SELECT conv_id, turn, len(regexp_split_to_array(regexp_replace(text, '\\s+$', ''), '\\s'))::INT AS n_tokens
+FROM conversations WHERE text IS NOT NULL
+""")
+def whitespace_token_count(spark, sf):
+    conv = table(spark, sf, "conversations").where(F.col("text").isNotNull())
+    return conv.select("conv_id", "turn", F.size(whitespace_tokens("text")).alias("n_tokens"))

@@ -20,23 +20,26 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # loops checkpoint every step: delete a step's files with its last reference
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rivulet", extra: dict | None = None) -> SparkSession:
     """Return a session with rivulet's base settings.
 
     On a cluster ``master`` is left to spark-submit; locally pass
-    ``local[N]``. ``shuffle_partitions`` should be sized so one shuffle
-    partition stays around 128-256 MB at the target scale; AQE coalesces
-    small ones at runtime.
+    ``local[N]``. ``shuffle_partitions`` is left to the cluster's own setting
+    unless given; size it so that one shuffle partition stays around
+    128-256 MB, AQE coalesces small ones at runtime.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,12 +11,16 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overw
     df.write.mode(mode).option("sep", sep).csv(path)
 
 
+def tuple_line(columns: list[str]) -> Column:
+    """``(f1,f2,...)`` of a row, a null field as ``null``."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
+    return F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
+
+
 def write_text(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
-    """Each row as text ``(f1,f2,...)``; ``single_file`` writes one part
-    (only for small results)."""
-    line = F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]),
-                    F.lit(")"))
-    out = df.select(line.alias("value"))
+    """Each row as text ``(f1,f2,...)``, a null field as ``null``;
+    ``single_file`` writes one part (only for small results)."""
+    out = df.select(tuple_line(df.columns).alias("value"))
     if single_file:
         out = out.coalesce(1)
     out.write.mode(mode).text(path)

@@ -27,18 +27,24 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
 
 
 def decode_word_events(raw: DataFrame) -> DataFrame:
-    """JSON value -> ``word, frequency, timestamp1`` (a missing or bad
-    record fails the query, as FAILFAST)."""
+    """JSON value -> ``word, frequency, timestamp1``. A bad record fails the
+    query (FAILFAST), and so does one without a key or with a null in it."""
     j = F.from_json(F.col("value").cast("string"), WORD_EVENT_SCHEMA, {"mode": "FAILFAST"})
-    return raw.select(j.alias("j")).select(
-        F.col("j.word").alias("word"), F.col("j.frequency").alias("frequency"),
-        F.col("j.timestamp").alias("timestamp1"))
+
+    def field(name: str):
+        return F.coalesce(F.col(f"j.{name}"), F.raise_error(
+            F.concat(F.lit(f"record without {name}: "), F.coalesce(F.col("value").cast("string"), F.lit("null"))))
+            .cast({"word": "string", "frequency": "int", "timestamp": "long"}[name]))
+    return raw.select("value", j.alias("j")).select(
+        field("word").alias("word"), field("frequency").alias("frequency"),
+        field("timestamp").alias("timestamp1"))
 
 
 def encode_word_events(df: DataFrame) -> DataFrame:
-    """``word,frequency,timestamp1`` as CSV text in ``value``."""
-    return df.select(F.concat_ws(",", "word", F.col("frequency").cast("string"),
-                                 F.col("timestamp1").cast("string")).alias("value"))
+    """``word,frequency,timestamp1`` as CSV text in ``value``; a null field
+    is empty, so every line has three."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("word", "frequency", "timestamp1")]
+    return df.select(F.concat_ws(",", *fields).alias("value"))
 
 
 def decode_state_events(raw: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,24 +28,31 @@ def _micros(span: int | str) -> int:
     return span if isinstance(span, int) else int(pd.Timedelta(span) / pd.Timedelta(microseconds=1))
 
 
+def _sum_type(stream: DataFrame, value: str) -> tuple[str, str, type]:
+    """Spark type, numpy type and Python type of sums of a column."""
+    whole = dict(stream.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+    return ("long", "int64", int) if whole else ("double", "float64", float)
+
+
 def running_totals(stream: DataFrame, key: str, seq: str, value: str,
                    out: str = "running") -> DataFrame:
     """One output row per input row: the key's running sum of ``value``
-    (integral) across all micro-batches so far."""
+    across all micro-batches so far (a long for integers, else a double)."""
     kt = dict(stream.dtypes)[key]
     st = dict(stream.dtypes)[seq]
+    kind, number, py = _sum_type(stream, value)
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         total = state.get[0] if state.exists else 0
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        sums = total + pdf[value].astype("int64").cumsum()
+        sums = total + pdf[value].astype(number).cumsum()
         if len(sums):
-            state.update((int(sums.iloc[-1]),))
+            state.update((py(sums.iloc[-1]),))
         yield pd.DataFrame({key: pdf[key].to_numpy(), seq: pdf[seq].to_numpy(),
                             out: sums.to_numpy()})
 
     return stream.groupBy(key).applyInPandasWithState(
-        fn, f"{key} {kt}, {seq} {st}, {out} long", "total long", "append",
+        fn, f"{key} {kt}, {seq} {st}, {out} {kind}", f"total {kind}", "append",
         GroupStateTimeout.NoTimeout)
 
 
@@ -79,22 +87,24 @@ def count_window_sums(stream: DataFrame, key: str, seq: str, value: str, size: i
     the sum of its last ``size`` rows. State: the key's row count and its
     last ``size - 1`` values (bounded by the window, not by the key)."""
     kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
+    kind, number, py = _sum_type(stream, value)
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         n, tail = (state.get[0], list(state.get[1])) if state.exists else (0, [])
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        rows = []
-        for q, v in zip(pdf[seq], pdf[value]):
-            n += 1
-            tail.append(int(v))
-            tail = tail[-size:]
-            if n % slide == 0:
-                rows.append((k[0], q, n, sum(tail)))
-        state.update((n, tail[-(size - 1):] if size > 1 else []))
-        yield pd.DataFrame(rows, columns=[key, seq, "rn", out])
+        # a window's sum is a difference of running sums over tail and rows
+        values = np.concatenate([np.array(tail, number), pdf[value].to_numpy(number)])
+        sums = np.concatenate([[0], values.cumsum()]).astype(number)
+        rn = n + np.arange(1, len(pdf) + 1)
+        end = len(tail) + np.arange(1, len(pdf) + 1)
+        window = sums[end] - sums[np.maximum(end - size, 0)]
+        fires = rn % slide == 0
+        state.update((int(n + len(pdf)), [py(v) for v in values[-(size - 1):]] if size > 1 else []))
+        yield pd.DataFrame({key: pdf[key].to_numpy()[fires], seq: pdf[seq].to_numpy()[fires],
+                            "rn": rn[fires], out: window[fires]})
 
     return stream.groupBy(key).applyInPandasWithState(
-        fn, f"{key} {kt}, {seq} {st}, rn long, {out} long", "n long, tail array<long>", "append",
+        fn, f"{key} {kt}, {seq} {st}, rn long, {out} {kind}", f"n long, tail array<{kind}>", "append",
         GroupStateTimeout.NoTimeout)
 
 
@@ -117,10 +127,12 @@ def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then
         rows = []
         for rec in pdf[[seq, ts, kind, *carry]].itertuples(index=False):
             q, t, kd = rec[0], rec[1], rec[2]
-            if prev is not None and prev[0] and kd == then and \
-                    (pd.Timestamp(t) - pd.Timestamp(prev[2])) < pd.Timedelta(microseconds=within_us):
+            hit = prev is not None and prev[0] and kd == then and \
+                (pd.Timestamp(t) - pd.Timestamp(prev[2])) < pd.Timedelta(microseconds=within_us)
+            if hit:
                 rows.append((k[0], *prev[1:], q))
-            prev = (kd == first, q, t, *rec[3:])
+            # the B row of a match cannot be the A row of the next one
+            prev = (kd == first and not hit, q, t, *rec[3:])
         if prev is not None:
             state.update(tuple(prev))
         yield pd.DataFrame(rows, columns=[key, *out_cols, f"next_{seq}"])
@@ -141,7 +153,7 @@ def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.exists:
             armed, last_d = state.get[0], state.get[1]
-            dq = [(int(x[0]), x[1], x[2], int(x[3])) for x in state.get[2]]
+            dq = [tuple(x) for x in zip(*state.get[2:])]
         else:
             armed, last_d, dq = False, 0.0, []
         pdf = pd.concat(list(pdfs)).sort_values(seq)
@@ -167,12 +179,13 @@ def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str
         if dq:
             newest = dq[-1][3]
             dq = [x for x in dq if x[3] > newest - evict_us]
-        state.update((armed, last_d, [[float(a) for a in x] for x in dq]))
+        state.update((armed, last_d, *([x[i] for x in dq] for i in range(4))))
         yield pd.DataFrame(rows, columns=[key, f"fire_{seq}", seq, speed, distance])
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, f"{key} {kt}, fire_{seq} {st}, {seq} {st}, {speed} double, {distance} double",
-        "armed boolean, last_d double, dq array<array<double>>", "append",
+        "armed boolean, last_d double, q array<long>, v array<double>, d array<double>, t array<long>",
+        "append",
         GroupStateTimeout.NoTimeout)
 
 

@@ -68,7 +68,7 @@ def test_sinks_and_file_copy(spark, tmpdir_fresh):
     files = {r.relative_path: r.length for r in man.collect()}
     assert any(k.startswith("txt/part-") for k in files)
     dst = os.path.join(tmpdir_fresh, "dst")
-    copied = copy_files(man, dst, tasks=3)
+    copied = copy_files(man, dst)
     tot = copy_totals(copied).first()
     assert tot.files_copied == len(files) and tot.bytes_copied == sum(files.values())
     for rel, n in files.items():

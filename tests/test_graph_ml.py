@@ -99,7 +99,7 @@ def test_linear_regression_matches_numpy(spark):
         err = (t0 + t1 * x) - y
         t0, t1 = np.mean(t0 - 0.01 * err), np.mean(t1 - 0.01 * err * x)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    g0, g1 = M.linear_regression(df, iterations=10)
+    g0, g1 = M.linear_regression(df, iterations=10).first()
     assert abs(g0 - t0) < 1e-12 and abs(g1 - t1) < 1e-12
 
 

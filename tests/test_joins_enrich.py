@@ -1,26 +1,8 @@
 import time
 
-from rivulet.operators.enrich import async_enrich, modulo_key
-from rivulet.operators.joins import bounded_broadcast
-from rivulet.operators.parallel import spread_if_narrow
-
-
-def _has_broadcast_hint(df):
-    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert _has_broadcast_hint(bounded_broadcast(small, 100))
-    assert not _has_broadcast_hint(bounded_broadcast(big, 100))
-
+import pytest
 
-def test_spread_if_narrow(spark):
-    one = spark.range(0, 100, 1, 1)
-    assert spread_if_narrow(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, spark.sparkContext.defaultParallelism * 2)
-    assert spread_if_narrow(wide) is wide
+from rivulet.operators.enrich import async_enrich, modulo_key
 
 
 def test_async_enrich_ordered_and_unordered(spark):
@@ -39,3 +21,21 @@ def test_async_enrich_ordered_and_unordered(spark):
     assert got == [(n, f"key-{n % 10}") for n in range(200)]
     counts = {r.key: r["count"] for r in unordered.groupBy("key").count().collect()}
     assert counts == {f"key-{i}": 20 for i in range(10)}
+
+
+def test_a_late_call_fails_without_waiting_for_it(spark):
+    for ordered in (True, False):
+        df = spark.range(0, 4, 1, 1).withColumnRenamed("id", "n")
+        late = async_enrich(df, "n", lambda n: time.sleep(20 * (n == 2)), "key", timeout_s=0.2, ordered=ordered)
+        began = time.monotonic()
+        with pytest.raises(Exception, match="lookup timed out"):
+            late.collect()
+        assert time.monotonic() - began < 10
+
+
+def test_a_slow_call_is_not_excused_by_others(spark):
+    """The deadline counts from a call's own start."""
+    df = spark.range(0, 40, 1, 1).withColumnRenamed("id", "n")
+    late = async_enrich(df, "n", lambda n: time.sleep(15 if n == 0 else 0.05), "key", capacity=2, timeout_s=0.5, ordered=False)
+    with pytest.raises(Exception, match="lookup timed out"):
+        late.collect()
