@@ -10,20 +10,29 @@ from pyspark.sql import functions as F
 from rivulet.functions.codecs import parse_tuple_text
 
 
-def text_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+# Files a stream takes into one micro-batch: bounds the groups of keyed state.
+MAX_FILES = 1000
+
+
+def _reader(spark: SparkSession, stream: bool, max_files: int):
+    return spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
+
+
+def text_lines(spark: SparkSession, path: str, stream: bool = False,
+               max_files: int = MAX_FILES) -> DataFrame:
     """One row per line, column ``line``."""
-    reader = spark.readStream if stream else spark.read
+    reader = _reader(spark, stream, max_files)
     return reader.text(path).withColumnRenamed("value", "line")
 
 
 def delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
               columns: Sequence[int] | None = None, names: Sequence[str] | None = None,
-              stream: bool = False) -> DataFrame:
+              stream: bool = False, max_files: int = MAX_FILES) -> DataFrame:
     """Delimited file with a full positional ``schema`` (DDL string); keep
     only the 0-based ``columns`` (the reader's column pruning then skips
     the rest while parsing) and optionally rename them. Trailing separators
     are tolerated (PERMISSIVE mode drops the extra empty field)."""
-    reader = (spark.readStream if stream else spark.read).schema(schema) \
+    reader = _reader(spark, stream, max_files).schema(schema) \
         .option("sep", sep).option("mode", "PERMISSIVE")
     df = reader.csv(path)
     if columns is not None:

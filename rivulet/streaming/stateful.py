@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.functions.codecs import EVENT_TYPES
-from rivulet.operators.statemachine import STATES, STEP, VALID
+from rivulet.operators.statemachine import STATES, STEP, VALID, segmented_compose
 
 
 def _micros(span: int | str) -> int:
@@ -66,15 +66,14 @@ def state_machine_alerts(stream: DataFrame, key: str, seq: str, event: str) -> D
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         cur = state.get[0] if state.exists else 0
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        rows = []
-        for q, e in zip(pdf[seq], pdf[event]):
-            c = codes[e]
-            if not VALID[cur, c]:
-                rows.append((k[0], q, STATES[cur], e))
-            else:
-                cur = int(STEP[cur, c])
-        state.update((cur,))
-        yield pd.DataFrame(rows, columns=[key, seq, "state", "event"])
+        code = pdf[event].map(codes).to_numpy(np.intp)
+        # the batch scan: after[i, s] is the state after row i from state s
+        after = segmented_compose(STEP.T[code], np.arange(len(code)) == 0)[:, cur]
+        before = np.concatenate([[cur], after[:-1]])
+        bad = ~VALID[before, code]
+        state.update((int(after[-1]) if len(after) else cur,))
+        yield pd.DataFrame({key: pdf[key].to_numpy()[bad], seq: pdf[seq].to_numpy()[bad],
+                            "state": [STATES[s] for s in before[bad]], "event": pdf[event].to_numpy()[bad]})
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, f"{key} {kt}, {seq} {st}, state string, event string", "state int", "append",
@@ -124,18 +123,25 @@ def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         prev = state.get if state.exists else None
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        rows = []
-        for rec in pdf[[seq, ts, kind, *carry]].itertuples(index=False):
-            q, t, kd = rec[0], rec[1], rec[2]
-            hit = prev is not None and prev[0] and kd == then and \
-                (pd.Timestamp(t) - pd.Timestamp(prev[2])) < pd.Timedelta(microseconds=within_us)
-            if hit:
-                rows.append((k[0], *prev[1:], q))
-            # the B row of a match cannot be the A row of the next one
-            prev = (kd == first and not hit, q, t, *rec[3:])
-        if prev is not None:
-            state.update(tuple(prev))
-        yield pd.DataFrame(rows, columns=[key, *out_cols, f"next_{seq}"])
+        rows = pdf[out_cols]
+        is_a = (pdf[kind] == first).to_numpy(bool)
+        if prev is not None:  # the last row of the batches before
+            rows = pd.concat([pd.DataFrame([prev[1:]], columns=out_cols), rows], ignore_index=True)
+            is_a = np.concatenate([[prev[0]], is_a])
+        is_b = np.concatenate([np.zeros(len(rows) - len(pdf), bool), (pdf[kind] == then).to_numpy(bool)])
+        times = pd.to_datetime(rows[ts]).to_numpy("datetime64[us]").astype(np.int64)
+        pair = is_a[:-1] & is_b[1:] & (np.diff(times) < within_us)
+        # the B row of a match cannot be the A row of the next one: of pairs
+        # in a row, every other one is a match
+        at = np.arange(len(pair))
+        since = at - np.maximum.accumulate(np.where(pair, -1, at)) if len(pair) else at
+        hit = pair & (since % 2 == 1)
+        if len(rows):
+            open_a = is_a[-1] and not (len(hit) and hit[-1])
+            state.update((bool(open_a), *rows.iloc[-1].tolist()))
+        found = rows[:-1][hit].assign(**{f"next_{seq}": rows[seq].to_numpy()[1:][hit]})
+        found.insert(0, key, k[0])
+        yield found
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
@@ -212,17 +218,18 @@ def connected_apply(data: DataFrame, model: DataFrame, key: str, order: str,
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         cur = state.get[0] if state.exists else None
         pdf = pd.concat(list(pdfs)).sort_values(["_order", "_tag"], ascending=[True, False])
-        kinds, keys, orders, models = [], [], [], []
-        for tag, kk, o, m in zip(pdf["_tag"], pdf["_key"], pdf["_order"], pdf["_model"]):
-            if tag == 1:
-                cur = float(m)
-                if k[0] == 0:                      # one update row per model, not per copy
-                    kinds.append("update"); keys.append(None); orders.append(int(o)); models.append(cur)
-            else:
-                kinds.append("prediction"); keys.append(int(kk)); orders.append(int(o)); models.append(cur)
+        update = (pdf["_tag"] == 1).to_numpy()
+        latest = pdf["_model"].astype(float).where(update).ffill()
+        latest = latest if cur is None else latest.fillna(cur)
+        if update.any():
+            cur = float(latest.iloc[-1])
         state.update((cur,))
-        yield pd.DataFrame({"kind": kinds, key: pd.array(keys, dtype="Int64"),
-                            order: orders, "model": models})
+        out = pd.DataFrame({"kind": np.where(update, "update", "prediction"),
+                            key: pdf["_key"].astype("Int64").to_numpy(), order: pdf["_order"].to_numpy(),
+                            "model": latest.to_numpy()})
+        out["model"] = out["model"].astype(object).where(out["model"].notna(), None)
+        # one update row per model, not one per copy
+        yield out if k[0] == 0 else out[~update]
 
     return tagged_data.unionByName(tagged_model).groupBy("_bucket").applyInPandasWithState(
         fn, f"kind string, {key} long, {order} long, model double", "model double", "append",
