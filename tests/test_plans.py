@@ -30,3 +30,29 @@ def test_q10_aggregates_revenue_before_the_customer_join(spark):
     # the revenue aggregate sits below the join with customer
     agg_at = opt.find("Aggregate [o_custkey")
     assert agg_at > opt.find("Join Inner")
+
+
+def test_q10_year_bound_reaches_the_scan(spark):
+    plan = _plan(E.queries()["tpch_q10"](spark, SF001))
+    assert "GreaterThanOrEqual(o_orderdate," in plan
+
+
+def test_weblog_joins_documents_and_ranks(spark):
+    df = E.queries()["weblog"](spark, SF001)
+    opt = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in opt and "Join LeftAnti" in opt
+
+
+def test_regression_reads_its_table_once(spark):
+    assert _plan(E.queries()["linear_regression"](spark, SF001)).count("FileScan parquet") == 1
+
+
+def test_building_a_query_runs_no_job_beyond_reading_schemas(spark):
+    tables = {"tpch_q10": 4, "weblog": 3, "latest_model_apply": 2, "count_window": 1, "session_window": 1,
+              "linear_regression": 1, "word_count": 1, "pattern_ab": 1, "delta_trigger_top": 1}
+    sc = spark.sparkContext
+    for name, reads in tables.items():
+        sc.setJobGroup(f"build-{name}", name)
+        E.queries()[name](spark, SF001)
+        assert len(sc.statusTracker().getJobIdsForGroup(f"build-{name}")) <= reads, name
+    sc.setJobGroup(None, None)
