@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 import string
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -75,53 +76,74 @@ _STRETCH = re.compile(r"(.)\1{2,}")
 _MIXED = re.compile(r"[^\W\d_][\d@$!*|#]+[^\W\d_]")
 
 
-def _starred(words) -> frozenset:
-    return frozenset(w[:i] + "*" + w[i + 1:] for w in words if len(w) > 3 for i in range(1, len(w)))
+_MARKS = re.compile("[" + re.escape(string.punctuation) + "]")
+_STAR_EDGES = _EDGES.replace("*", "")
+STARRED = frozenset(w[:i] + "*" + w[i + 1:] for w in INSULTS if len(w) > 3 for i in range(1, len(w)))
+_CACHE = 400_000  # tokens
 
 
 class _Tokens(dict):
-    """Token -> row of ``rows``: its share of each count."""
+    """Token -> row of ``table()``: its share of each count."""
 
     def __init__(self, learned: dict[str, float]):
         super().__init__()
-        self.learned, self.starred, self.rows = learned, _starred(INSULTS), []
+        self.learned, self.new = learned, []
+        self.held, self.filled = np.zeros((1024, 14), np.float32), 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.new, self.filled = [], 0
+
+    def table(self) -> np.ndarray:
+        if self.new:
+            need = self.filled + len(self.new)
+            if need > len(self.held):
+                self.held = np.concatenate([self.held, np.zeros((max(need, len(self.held)), 14), np.float32)])
+            self.held[self.filled:need] = self.new
+            self.filled, self.new = need, []
+        return self.held
 
     def __missing__(self, token: str) -> int:
+        self[token] = n = self.filled + len(self.new)
         low = token.lower()
+        # most tokens are a plain word with at most some marks around it
         core = low.strip(string.punctuation)
-        letters = sum(map(str.isalpha, token))
-        plain = core in INSULTS
-        squeezed = _STRETCH.sub(r"\1", low.translate(_LEET)).strip(_EDGES)
-        hidden = not plain and len(core) > 2 and (
-            squeezed in INSULTS or low.strip(_EDGES.replace("*", "")) in self.starred
-            or _STRETCH.sub(r"\1\1", core) in INSULTS or low.replace(".", "").replace("-", "") in INSULTS)
-        weight = self.learned.get(core, self.learned.get(squeezed, 0.0))
-        capitals = sum(map(str.isupper, token))
-        self.rows.append((plain or hidden, weight, hidden, core in YOU, letters, capitals,
-                          letters > 1 and capitals == letters, token.count("!"), token.count("?"),
-                          sum(c in string.punctuation for c in token),
-                          bool(_MIXED.search(low)), bool(_STRETCH.search(core)),
-                          sum(map(str.isdigit, token)), len(token)))
-        self[token] = n = len(self.rows) - 1
+        plain, odd = core in INSULTS, not core.isalpha()
+        stretched = bool(_STRETCH.search(core))
+        hidden, squeezed = False, core
+        if not plain and len(core) > 2 and (odd or stretched or low != core):
+            squeezed = _STRETCH.sub(r"\1", low.translate(_LEET)).strip(_EDGES)
+            hidden = (squeezed in INSULTS or low.strip(_STAR_EDGES) in STARRED
+                      or _STRETCH.sub(r"\1\1", core) in INSULTS
+                      or low.replace(".", "").replace("-", "") in INSULTS)
+        weight = self.learned.get(core) or self.learned.get(squeezed, 0.0)
+        if token.isalpha():
+            letters = len(token)
+            digits = marks = exclaims = questions = 0
+        else:
+            letters, digits = sum(map(str.isalpha, token)), sum(map(str.isdigit, token))
+            exclaims, questions = token.count("!"), token.count("?")
+            marks = len(_MARKS.findall(token))
+        capitals = 0 if token == low else sum(map(str.isupper, token))
+        self.new.append((plain or hidden, weight, hidden, core in YOU, letters, capitals,
+                         letters > 1 and capitals == letters, exclaims, questions, marks,
+                         odd and bool(_MIXED.search(low)), stretched, digits, len(token)))
         return n
 
 
-def features(texts, learned: dict[str, float]) -> np.ndarray:
-    """One row of ``FEATURES`` per text."""
-    known = _Tokens(learned)
-    table = np.zeros((0, 14))
+def features(texts, learned: dict[str, float], known: _Tokens | None = None) -> np.ndarray:
+    """One row of ``FEATURES`` per text. ``known`` keeps tokens from call to call."""
+    known = _Tokens(learned) if known is None else known
     out = np.zeros((len(texts), len(FEATURES)))
     for row, text in enumerate(texts):
         tokens = (text or "").split()
         if not tokens:
             continue
-        if len(known) > 400_000:  # bound the cache of tokens
-            known, table = _Tokens(learned), np.zeros((0, 14))
+        if len(known) > _CACHE:  # bound the cache of tokens
+            known.forget()
         at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-        if len(known.rows) > len(table):
-            table = np.concatenate([table, np.array(known.rows[len(table):], float)])
-        t = table[at]
-        sums, n = t.sum(0), len(tokens)
+        t = known.table()[at]
+        sums, n = t.sum(0, dtype=np.float64), len(tokens)
         insult, you = np.flatnonzero(t[:, 0]), np.flatnonzero(t[:, 3])
         near, nearest = 0, 0.0
         if len(insult) and len(you):
@@ -139,8 +161,10 @@ def features(texts, learned: dict[str, float]) -> np.ndarray:
 
 def feature_column(text: Column, learned: dict[str, float]) -> Column:
     @F.pandas_udf("array<double>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(features(texts, learned)))
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _Tokens(learned)
+        for texts in batches:
+            yield pd.Series(list(features(texts, learned, known)))
     return of(text)
 
 
@@ -164,7 +188,7 @@ class Model:
         feats = feature_column(col(text), self.learned)
         if self.trees is None:
             at = FEATURES.index("insult_count")
-            return docs.withColumn(name, F.least(F.lit(1.0), F.expm1(F.get(feats, F.lit(at))) / 2))
+            return docs.withColumn(name, F.least(F.lit(1.0), F.round(F.expm1(F.get(feats, F.lit(at)))) / 2))
         df = docs.withColumn(vec, array_to_vector(feats))
         df = self.trees.copy().setFeaturesCol(vec).setRawPredictionCol(raw) \
             .setProbabilityCol(prob).setPredictionCol(pred).transform(df)
