@@ -44,9 +44,9 @@ ALPHA = 1.0
 SEED_WEIGHT = 20
 
 # Words that mark unwanted and wanted sites.
-BLOCK_SEEDS = ("adult bet bets betting bonus casino cheap click clickbait crack escort farm free "
+BLOCK_SEEDS = ("ads adult banner bet bets betting bonus casino cheap click clickbait crack escort farm free "
                "gamble jackpot keygen loan loans lottery nude pharma pills poker porn replica sex "
-               "slots spam torrent viagra warez win xxx").split()
+               "slots spam torrent tracker viagra warez win xxx").split()
 ALLOW_SEEDS = ("academy archive blog books college docs edu education encyclopedia gov health "
                "history journal learn library museum news press research school science "
                "university weather wiki").split()
