@@ -43,14 +43,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import col
+from rivulet.llm.common import col, fresh
 
 ROUNDS = 10
 DEFAULT_KEY = "rivulet-demo-key"  # callers pass their own secret
 
 # The formats looked for. Alternatives are tried in this order
 # at every place of a text; none repeats over an unbounded run.
-EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
+EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+"
          r"@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
@@ -62,13 +62,21 @@ PHONE = (r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .
 CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2,3}(?: [0-9]{1,3})?"
         r"|[0-9]{4}(?:-[0-9]{4}){2,3}(?:-[0-9]{1,3})?|[0-9]{4} [0-9]{6} [0-9]{5}"
         r"|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])")
-ANY = "|".join((EMAIL, IBAN, IPV4, DATE, SSN, PHONE, CARD))
-KINDS = ("email", "iban", "ipv4", "date", "ssn", "phone", "card")
+# One look at the next character rules out nearly every place of a text; only
+# texts with an '@' are searched for e-mails as well.
+NUMBERS = f"(?=[0-9+(])(?:{'|'.join((IPV4, DATE, SSN, PHONE, CARD))})|(?=[A-Z][A-Z][0-9]){IBAN}"
+WITH_EMAIL = f"{EMAIL}|{NUMBERS}"
 
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ORIGIN, _DAYS, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 146_097, 189, 773
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, however often f uses it:
+    inside a lambda Spark would compute it anew at every use."""
+    return F.get(F.transform(F.array(value), lambda v: f(v)), F.lit(0))
+
+
 def _hash(key: str, kind: str, step: Column, value: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), step.cast("string"), value), 256)
 
@@ -95,19 +103,27 @@ def _rotate(chars: Column, digest: Column) -> Column:
         F.sequence(F.lit(1), F.length(chars)), one), "")).otherwise(chars)
 
 
+def _rotated(chars: Column, key: str, kind: str, i: Column, other: Column) -> Column:
+    return let(_hash(key, kind, i, other), lambda digest: _rotate(chars, digest))
+
+
 def permute_chars(value: Column, key: str, kind: str) -> Column:
     """Feistel over a string; every character keeps its class. Length 1 is
     rotated by the key alone."""
+    return let(value, lambda v: _permute_chars(v, key, kind))
+
+
+def _permute_chars(value: Column, key: str, kind: str) -> Column:
     half = F.floor(F.length(value) / 2).cast("int")
     start = F.struct(F.substr(value, F.lit(1), half).alias("l"),
                      F.substr(value, half + 1, F.length(value)).alias("r"))
     # the halves trade places each round but keep their own lengths
     def step(s, i):
-        left = F.struct(_rotate(s["l"], _hash(key, kind, i, s["r"])).alias("l"), s["r"].alias("r"))
-        right = F.struct(s["l"].alias("l"), _rotate(s["r"], _hash(key, kind, i, s["l"])).alias("r"))
+        left = F.struct(_rotated(s["l"], key, kind, i, s["r"]).alias("l"), s["r"].alias("r"))
+        right = F.struct(s["l"].alias("l"), _rotated(s["r"], key, kind, i, s["l"]).alias("r"))
         return F.when(i % 2 == 0, left).otherwise(right)
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return F.concat(done["l"], done["r"])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step,
+                       lambda s: F.concat(s["l"], s["r"]))
 
 
 def permute_number(value: Column, left: int, right: int, key: str, kind: str) -> Column:
@@ -121,8 +137,8 @@ def permute_number(value: Column, left: int, right: int, key: str, kind: str) ->
                 s["l"].alias("l"),
                 F.pmod(s["r"] + _number(_hash(key, kind, i, s["l"].cast("string"))) % right,
                        F.lit(right)).cast("bigint").alias("r")))
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return done["l"] * right + done["r"]
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step,
+                       lambda s: s["l"] * right + s["r"])
 
 
 def _digits(m: Column) -> Column:
@@ -132,53 +148,61 @@ def _digits(m: Column) -> Column:
 def _refill(m: Column, chars: Column, cls: str = "[0-9]") -> Column:
     """``m`` with its characters of class ``cls`` replaced, in order, by
     those of ``chars``."""
-    def step(s, c):
-        takes = c.rlike(cls)
-        return F.struct(F.concat(s["out"], F.when(takes, F.substr(chars, s["at"], F.lit(1)))
-                                 .otherwise(c)).alias("out"),
-                        (s["at"] + takes.cast("int")).alias("at"))
-    return F.aggregate(F.split(m, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
-                       step, lambda s: s["out"])
+    def fill(new):
+        def step(s, c):
+            takes = c.rlike(cls)
+            return F.struct(F.concat(s["out"], F.when(takes, F.substr(new, s["at"], F.lit(1)))
+                                     .otherwise(c)).alias("out"),
+                            (s["at"] + takes.cast("int")).alias("at"))
+        return F.aggregate(F.split(m, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
+                           step, lambda s: s["out"])
+    return let(chars, fill)
 
 
 def _luhn(digits: Column) -> Column:
     """The Luhn sum of a digit string (a valid one is 0 mod 10)."""
-    n = F.length(digits)
-    def one(s, i):
-        d = F.substr(digits, i, F.lit(1)).cast("int")
-        twice = (n - i) % 2 == 1
-        return s + F.when(twice, d * 2 - F.when(d > 4, 9).otherwise(0)).otherwise(d)
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), one)
+    def total(d):
+        n = F.length(d)
+
+        def one(s, i):
+            x = F.substr(d, i, F.lit(1)).cast("int")
+            return s + F.when((n - i) % 2 == 1, x * 2 - F.when(x > 4, 9).otherwise(0)).otherwise(x)
+        return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), one)
+    return let(digits, total)
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    body = permute_chars(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return F.when(_luhn(digits) % 10 == 0, _refill(m, F.concat(body, check)))
+    def new(digits):
+        body = permute_chars(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
+        checked = let(body, lambda b: F.concat(b, F.pmod(
+            10 - _luhn(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string")))
+        return F.when(_luhn(digits) % 10 == 0, _refill(m, checked))
+    return let(_digits(m), new)
 
 
 def _ipv4(m: Column, key: str) -> Column:
-    octets = F.transform(F.split(m, "[.]"), lambda o: o.cast("bigint"))
-    value = F.aggregate(octets, F.lit(0).cast("bigint"), lambda s, o: s * 256 + o)
-    new = permute_number(value, 1 << 16, 1 << 16, key, "ipv4")
-    parts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.pmod(
-        F.floor(new / F.pow(F.lit(256.0), (3 - i).cast("double"))).cast("bigint"), F.lit(256)).cast("string"))
-    return F.when(F.forall(octets, lambda o: o <= 255), F.array_join(parts, "."))
+    def new(octets):
+        value = F.aggregate(octets, F.lit(0).cast("bigint"), lambda s, o: s * 256 + o)
+        parts = let(permute_number(value, 1 << 16, 1 << 16, key, "ipv4"), lambda n: F.array_join(
+            F.array(*[F.pmod(F.shiftright(n, shift), F.lit(256)).cast("string") for shift in (24, 16, 8, 0)]), "."))
+        return F.when(F.forall(octets, lambda o: o <= 255), parts)
+    return let(F.transform(F.split(m, "[.]"), lambda o: o.cast("bigint")), new)
 
 
 def _date(m: Column, key: str) -> Column:
     iso = F.when(m.rlike("^[0-9]{4}"), F.regexp_replace(m, "/", "-")).when(
         m.contains("."), F.regexp_replace(m, r"^(..)\.(..)\.(....)$", "$3-$2-$1")).otherwise(
         F.regexp_replace(m, "^(..)/(..)/(....)$", "$3-$1-$2"))
-    day = F.call_function("try_to_date", iso, F.lit("yyyy-MM-dd"))
-    new = F.date_add(F.lit(_ORIGIN).cast("date"), permute_number(
-        F.datediff(day, F.lit(_ORIGIN).cast("date")).cast("bigint"),
-        _DAYS_LEFT, _DAYS_RIGHT, key, "date").cast("int"))
-    out = F.when(m.rlike("^[0-9]{4}-"), F.date_format(new, "yyyy-MM-dd")).when(
-        m.rlike("^[0-9]{4}/"), F.date_format(new, "yyyy/MM/dd")).when(
-        m.contains("."), F.date_format(new, "dd.MM.yyyy")).otherwise(F.date_format(new, "MM/dd/yyyy"))
-    return F.when(day.isNotNull(), out)
+    origin = F.lit(_ORIGIN).cast("date")
+
+    def new(day):
+        moved = F.date_add(origin, permute_number(F.datediff(day, origin).cast("bigint"),
+                                                  _DAYS_LEFT, _DAYS_RIGHT, key, "date").cast("int"))
+        out = let(moved, lambda d: F.when(m.rlike("^[0-9]{4}-"), F.date_format(d, "yyyy-MM-dd")).when(
+            m.rlike("^[0-9]{4}/"), F.date_format(d, "yyyy/MM/dd")).when(
+            m.contains("."), F.date_format(d, "dd.MM.yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy")))
+        return F.when(day.isNotNull(), out)
+    return let(F.call_function("try_to_date", iso, F.lit("yyyy-MM-dd")), new)
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -187,12 +211,12 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    n = F.length(digits)
-    local = F.substr(digits, n - 9, F.lit(10))  # the last ten
-    short = permute_chars(local, key, "phone")
-    ten = F.concat(F.substr(digits, F.lit(1), n - 10), short)
-    return F.when(n >= 10, _refill(m, ten)).when(n == 9, _refill(m, permute_chars(digits, key, "phone")))
+    def new(digits):
+        n = F.length(digits)
+        ten = F.concat(F.substr(digits, F.lit(1), n - 10),
+                       permute_chars(F.substr(digits, n - 9, F.lit(10)), key, "phone"))  # the last ten
+        return F.when(n >= 10, _refill(m, ten)).when(n == 9, _refill(m, permute_chars(digits, key, "phone")))
+    return let(_digits(m), new)
 
 
 def _mod97(chars: Column) -> Column:
@@ -204,13 +228,14 @@ def _mod97(chars: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    plain = F.regexp_replace(m, " ", "")
-    country = F.substr(plain, F.lit(1), F.lit(2))
-    account = F.substr(plain, F.lit(5), F.length(plain))
-    valid = _mod97(F.concat(account, country, F.substr(plain, F.lit(3), F.lit(2)))) == 1
-    new = permute_chars(account, key, "iban")
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(valid, _refill(m, F.concat(country, check, new), "[A-Z0-9]"))
+    def new(plain):
+        country = F.substr(plain, F.lit(1), F.lit(2))
+        account = F.substr(plain, F.lit(5), F.length(plain))
+        valid = _mod97(F.concat(account, country, F.substr(plain, F.lit(3), F.lit(2)))) == 1
+        checked = let(permute_chars(account, key, "iban"), lambda a: F.concat(
+            country, F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
+        return F.when(valid, _refill(m, checked, "[A-Z0-9]"))
+    return let(F.regexp_replace(m, " ", ""), new)
 
 
 def _email(m: Column, key: str) -> Column:
@@ -240,26 +265,32 @@ def pseudonym(match: Column, key: str = DEFAULT_KEY) -> Column:
 
 
 def _found(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0))
+    numbers, all_ = (F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(0)) for p in (NUMBERS, WITH_EMAIL))
+    return F.when(text.contains("@"), all_).otherwise(numbers)
 
 
 def _joined(text: Column, new: Column) -> Column:
     """The text with its matches replaced by ``new``."""
-    return F.array_join(F.zip_with(F.split(text, ANY, -1), new,
+    between = F.when(text.contains("@"), F.split(text, WITH_EMAIL, -1)).otherwise(F.split(text, NUMBERS, -1))
+    return F.array_join(F.zip_with(between, new,
                                    lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
 
 
 def pseudonymise(text: Column, key: str = DEFAULT_KEY) -> Column:
     """The text with its personal data replaced."""
-    new = F.transform(_found(text), lambda m: pseudonym(m, key))
-    return F.when(text.rlike("[0-9@]"), _joined(text, new)).otherwise(text)
+    found = F.when(text.rlike("[0-9@]"), _found(text))
+    new = F.transform(found, lambda m: pseudonym(m, key))
+    return F.when(F.size(found) > 0, _joined(text, new)).otherwise(text)
 
 
 def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with the personal data in column ``text`` replaced; all
     columns and rows stay, in their order."""
-    return docs.select(*[pseudonymise(col(c), key).alias(c) if c == text else col(c)
-                         for c in docs.columns])
+    found = fresh(docs.columns, "pii_found")
+    new = _joined(col(text), F.transform(col(found), lambda m: pseudonym(m, key)))
+    return (docs.withColumn(found, F.when(col(text).rlike("[0-9@]"), _found(col(text))))
+            .select(*[F.when(F.size(col(found)) > 0, new).otherwise(col(c)).alias(c) if c == text
+                      else col(c) for c in docs.columns]))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

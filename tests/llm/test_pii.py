@@ -1,0 +1,211 @@
+"""PII pseudonyms: a plain Python twin of the whole operator, permutations
+checked value by value, formats kept, equal values linked."""
+
+import datetime as dt
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from rivulet.llm import pii
+from rivulet.llm.queries import op7_pii_pseudonyms
+
+
+def luhn(digits):
+    return sum((d * 2 - 9 * (d > 4)) if i % 2 else d for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def mod97(s):
+    return int("".join(str(int(c, 36)) for c in s)) % 97
+
+
+def sha(kind, step, value):
+    return hashlib.sha256(f"{pii.DEFAULT_KEY}|{kind}|{step}|{value}".encode()).hexdigest()
+
+
+def rotate(chars, digest):
+    out = []
+    for i, c in enumerate(chars):
+        by = int(digest[i % 32 * 2:i % 32 * 2 + 2], 16)
+        for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"):
+            if c in alphabet:
+                c = alphabet[(alphabet.index(c) + by) % len(alphabet)]
+                break
+        out.append(c)
+    return "".join(out)
+
+
+def chars(value, kind):
+    half = len(value) // 2
+    left, right = value[:half], value[half:]
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            left = rotate(left, sha(kind, i, right))
+        else:
+            right = rotate(right, sha(kind, i, left))
+    return left + right
+
+
+def number(value, a, b, kind):
+    left, right = divmod(value, b)
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            left = (left + int(sha(kind, i, right)[:15], 16)) % a
+        else:
+            right = (right + int(sha(kind, i, left)[:15], 16)) % b
+    return left * b + right
+
+
+def refill(m, new, cls="0123456789"):
+    it = iter(new)
+    return "".join(next(it) if c in cls else c for c in m)
+
+
+def plain(m):
+    """The pseudonym of a match."""
+    digits = re.sub(r"[^0-9]", "", m)
+    if "@" in m:
+        name, host = m.split("@", 1)
+        return chars(name, "email") + "@" + host
+    if re.match(r"[A-Z]{2}[0-9]{2}", m):
+        s = m.replace(" ", "")
+        if mod97(s[4:] + s[:4]) != 1:
+            return m
+        new = chars(s[4:], "iban")
+        return refill(m, s[:2] + f"{98 - mod97(new + s[:2] + '00'):02d}" + new, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    if re.fullmatch(r"(\d{1,3}\.){3}\d{1,3}", m):
+        o = list(map(int, m.split(".")))
+        if max(o) > 255:
+            return m
+        n = number(int.from_bytes(bytes(o)), 1 << 16, 1 << 16, "ipv4")
+        return ".".join(map(str, n.to_bytes(4)))
+    for f in ("%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y"):
+        if re.fullmatch(r"(1[89]|2[01])\d\d[-/]\d\d[-/]\d\d|\d\d[./]\d\d[./](1[89]|2[01])\d\d", m):
+            try:
+                day = dt.datetime.strptime(m, f).date()
+            except ValueError:
+                continue
+            first = dt.date(1800, 1, 1)
+            return (first + dt.timedelta(number((day - first).days, 189, 773, "date"))).strftime(f)
+    if re.fullmatch(r"\d\d[./]\d\d[./]\d{4}|\d{4}[-/]\d\d[-/]\d\d", m):
+        return m
+    if re.fullmatch(r"\d{3}-\d\d-\d{4}", m):
+        return m if re.match(r"(000|666|9..)-|...-00-|.*-0000$", m) else refill(m, chars(digits, "ssn"))
+    if re.fullmatch(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}(\1\d{4})?(\1\d{1,3})?|\d{4}([ -])\d{6}\4\d{5}", m):
+        if not luhn(digits):
+            return m
+        body = chars(digits[:-1], "card")
+        return refill(m, next(body + c for c in "0123456789" if luhn(body + c)))
+    if len(digits) >= 10:
+        return refill(m, digits[:-10] + chars(digits[-10:], "phone"))
+    return refill(m, chars(digits, "phone")) if len(digits) == 9 else m
+
+
+VALUES = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "378282246310005", "3782 822463 10005",
+          "4111111111111112", "6011000990139424", "+1 (017) 555-7713", "(415) 555-2671", "415-555-2671", "1-415-555-2671",
+          "+44 20 7946 0958", "+49 30 901820", "219-09-9999", "000-12-3456", "666-12-3456", "901-12-3456", "97.51.17.173",
+          "256.1.1.1", "0.0.0.0", "255.255.255.255", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432",
+          "GB83WEST12345698765432", "DE89370400440532013000", "2024-02-29", "2023-02-29", "29.02.2024", "02/29/2024",
+          "2024/02/29", "31.04.2001", "1799-12-31", "1800-01-01", "2199-12-31", "john.doe+x@mail7.example.com", "A.B@c.org", "x@y.de"]
+
+
+def apply(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    return [r.text for r in pii.replace(df).orderBy("i").collect()]
+
+
+def test_each_value_against_the_twin(spark):
+    out = apply(spark, [f"see {v} now" for v in VALUES])
+    assert out == [f"see {plain(v)} now" for v in VALUES]
+    kept = {"4111111111111112", "000-12-3456", "666-12-3456", "901-12-3456", "256.1.1.1", "GB83WEST12345698765432",
+            "2023-02-29", "31.04.2001", "1799-12-31"}
+    assert {v for v, o in zip(VALUES, out) if o == f"see {v} now"} == kept
+
+
+def test_links_and_formats(spark):
+    out = dict(zip(VALUES, (t[4:-4] for t in apply(spark, [f"see {v} now" for v in VALUES]))))
+    digits = lambda s: re.sub(r"\D", "", s)
+    same = [VALUES[0], VALUES[1], VALUES[2]]
+    assert len({digits(out[v]) for v in same}) == 1 and all(luhn(digits(out[v])) for v in same)
+    assert digits(out["(415) 555-2671"]) == digits(out["415-555-2671"]) == digits(out["1-415-555-2671"])[1:]
+    day = {dt.datetime.strptime(out[v], f).date() for v, f in
+           (("2024-02-29", "%Y-%m-%d"), ("29.02.2024", "%d.%m.%Y"), ("02/29/2024", "%m/%d/%Y"), ("2024/02/29", "%Y/%m/%d"))}
+    assert len(day) == 1
+    for v, o in out.items():
+        shape = lambda s: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s)))
+        if v.count(".") != 3:
+            assert shape(o) == shape(v), (v, o)
+    assert mod97(out["GB82WEST12345698765432"][4:] + out["GB82WEST12345698765432"][:4]) == 1
+
+
+def test_permutations_are_bijective(spark):
+    days = spark.range(pii._DAYS).select(pii.permute_number(F.col("id"), 189, 773, "k", "date").alias("x"))
+    assert days.distinct().count() == pii._DAYS
+    assert days.agg(F.min("x"), F.max("x")).first() == (0, pii._DAYS - 1)
+    four = spark.range(10_000).select(pii.permute_chars(F.lpad(F.col("id").cast("string"), 5, "0"), "k", "n").alias("x"))
+    assert four.distinct().count() == 10_000
+    other = spark.range(100).select(pii.permute_chars(F.lpad(F.col("id").cast("string"), 9, "0"), "a", "n").alias("a"),
+                                    pii.permute_chars(F.lpad(F.col("id").cast("string"), 9, "0"), "b", "n").alias("b"))
+    assert other.where("a = b").count() < 3
+
+
+def test_whole_texts_and_odd_rows(spark):
+    joined = " ".join(VALUES)
+    texts = [None, "", "no data", joined, "," + ",".join(VALUES) + ",", "4111111111111111", "(4111111111111111)",
+             "4111111111111111 4111111111111111", "x4111111111111111y", "a" * 100_000 + "@", "1" * 100_000,
+             "v1.2.3.4.5 1.2.3 12-34", "é" * 1000 + " 97.51.17.173 " + "漢" * 1000, "\U0001f600 x@y.de \U0001f600",
+             "token = \"9233A8ECF7C5B09FE5949719B6B82BC439E9329B\"", "$1 \\1 4111111111111111 $0"]
+    out = apply(spark, texts)
+    assert out[:3] == [None, "", "no data"]
+    assert out[5] == plain("4111111111111111") and out[6] == f"({out[5]})"
+    assert out[7] == f"{out[5]} {out[5]}"
+    assert out[9:12] == texts[9:12] and out[14] == texts[14]
+    assert out[12] == texts[12].replace("97.51.17.173", plain("97.51.17.173"))
+    assert out[13] == texts[13].replace("x@y.de", plain("x@y.de"))
+    assert out[15] == f"$1 \\1 {out[5]} $0"
+    for o in out[4].strip(",").split(","):
+        assert o
+    assert out[4].strip(",").split(",") == [plain(v) for v in VALUES]
+
+
+def test_columns_pass_through(spark):
+    df = spark.createDataFrame([(1, "x@y.de", "a@b.de", 2.0), (1, "x@y.de", None, None)],
+                               "doc_id int, text string, pii_found string, `odd.name` double")
+    out = pii.replace(df)
+    assert out.columns == df.columns
+    assert [r["pii_found"] for r in out.collect()] == ["a@b.de", None]
+    assert {r.text for r in out.collect()} == {plain("x@y.de")}
+    assert pii.replace(df.limit(0)).count() == 0
+    assert pii.report(df.limit(0)).count() == 0
+
+
+def test_query_on_the_table(spark):
+    """Every valid planted value goes, everything else stays."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    rows = op7_pii_pseudonyms(spark, SF01).collect()
+    assert len(rows) == len(texts)
+    changed = 0
+    seen = defaultdict(set)
+    for r in rows:
+        old = texts[r.doc_id]
+        assert len(old.split("@")) == len(r.text.split("@"))
+        for card in re.findall(r"(?<!\d)\d{16}(?!\d)", old):
+            if luhn(card):
+                assert card not in r.text
+                seen[card].add(plain(card))
+                assert plain(card) in r.text
+            else:
+                assert card in r.text
+        for phone in re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", old):
+            assert phone not in r.text and plain(phone) in r.text
+        changed += r.text != old
+        assert (r.n_replaced > 0) == (r.text != old)
+    assert changed and all(len(s) == 1 for s in seen.values())
+
+
+@pytest.mark.parametrize("bad", ["1.2.3.4.5", "12:30", "100-200", "2024", "3.14159", "1,000,000"])
+def test_plain_numbers_stay(spark, bad):
+    assert apply(spark, [f"about {bad} items"]) == [f"about {bad} items"]
