@@ -55,7 +55,7 @@ WHERE rn % 5 = 0
 def count_window(spark, sf):
     ev = _events(spark, sf).select("event_type", "event_id", cents().alias("cents"))
     return W.count_window_sum(ev, "event_type", "event_id", "cents", size=10, slide=5,
-                              out="window_cents").drop("cents")
+                              out="window_cents", width=1024).drop("cents")
 
 
 @query("tumbling_word_count", sql="""
@@ -288,7 +288,8 @@ WHERE rn % 3 = 0
 """)
 def count_window_value(spark, sf):
     ev = _events(spark, sf).select("event_type", "event_id", "value")
-    out = W.count_window_sum(ev, "event_type", "event_id", "value", size=7, slide=3, out="window_value")
+    out = W.count_window_sum(ev, "event_type", "event_id", "value", size=7, slide=3, out="window_value",
+                             width=1024)
     return out.withColumn("window_value", F.round("window_value", 6))
 
 
@@ -388,3 +389,34 @@ def pattern_global(spark, sf):
     hits = P.followed_by_in_time(totals, "ts", "event_id", F.col("event_type") == "click",
                                  F.col("event_type") == "purchase", "1 hour", ["event_id", "total"])
     return hits.select("event_id", "total", "next_event_id", "next_total")
+
+
+@query("running_total_by_type", sql=f"""
+SELECT event_type, event_id,
+       CAST(sum({_CENTS_SQL}) OVER (PARTITION BY event_type ORDER BY event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_cents
+FROM events
+""")
+def running_total_by_type(spark, sf):
+    """Few keys with many rows each: every key spans many blocks."""
+    ev = _events(spark, sf).select("event_type", "event_id", cents().alias("cents"))
+    return W.running_sum(ev, "event_type", "event_id", "cents", "running_cents", width=1024).drop("cents")
+
+
+@query("pattern_run_by_type", sql="""
+WITH x AS (
+  SELECT event_id, event_type, value > 250 AS isa, lag(value > 250) OVER w AS prev_a, lag(event_id) OVER w AS prev_id
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id)),
+r AS (SELECT *, sum(CASE WHEN isa AND NOT coalesce(prev_a, false) THEN 1 ELSE 0 END)
+                OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run_no FROM x),
+g AS (SELECT event_type, run_no, min(event_id) AS first_a, max(event_id) AS last_a, count(*) AS len,
+             arg_min(prev_id, event_id) AS strt_id, bool_or(prev_id IS NULL) AS opens_key
+      FROM r WHERE isa GROUP BY event_type, run_no)
+SELECT event_type, CASE WHEN opens_key THEN first_a ELSE strt_id END AS start_event_id, last_a,
+       CASE WHEN opens_key THEN len - 1 ELSE len END AS run_length
+FROM g WHERE NOT opens_key OR len >= 2
+""")
+def pattern_run_by_type(spark, sf):
+    """Runs of high values, in keys that span many blocks."""
+    ev = _events(spark, sf).select("event_type", "event_id", "value")
+    return P.start_then_run(ev, "event_type", "event_id", F.col("value") > 250, ["event_id"], width=1024)

@@ -147,6 +147,48 @@ def followed_by(stream: DataFrame, key: str, seq: str, ts: str, first: str, then
         fn, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
+def start_then_run(stream: DataFrame, key: str, seq: str, kind: str, a: str,
+                   start_cols: list[str]) -> DataFrame:
+    """Pattern ``(STRT A+)``, greedy, skip past last row: a match is emitted
+    when the row after its last A arrives. Columns as in the batch form.
+    State: the key's last row and its open run."""
+    dt = dict(stream.dtypes)
+    kt, st = dt[key], dt[seq]
+    starts = ", ".join(f"start_{c} {dt[c]}" for c in start_cols)
+    state_schema = (f"seen boolean, open boolean, n long, last {st}, "
+                    + ", ".join(f"p_{c} {dt[c]}, s_{c} {dt[c]}" for c in start_cols))
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        blank = [None] * len(start_cols)
+        seen, is_open, n, last, prev, start = False, False, 0, None, blank, blank
+        if state.exists:
+            seen, is_open, n, last, *rest = state.get
+            prev, start = list(rest[::2]), list(rest[1::2])
+        pdf = pd.concat(list(pdfs)).sort_values(seq)
+        flags = (pdf[kind] == a).to_numpy(bool)
+        at = [0, *(np.flatnonzero(flags[1:] != flags[:-1]) + 1).tolist(), len(pdf)]
+        rows = []
+        for lo, hi in zip(at, at[1:]):  # runs of equal flags, not rows
+            if flags[lo]:
+                if not is_open:
+                    # the key's first row has none before it and is STRT itself
+                    start = prev if seen else pdf[start_cols].iloc[lo].tolist()
+                    n = 0 if seen else -1
+                is_open, n, last = True, n + hi - lo, pdf[seq].iloc[hi - 1]
+            elif is_open:
+                if n > 0:
+                    rows.append((k[0], *start, last, n))
+                is_open = False
+            seen, prev = True, pdf[start_cols].iloc[hi - 1].tolist()
+        pairs = [x for p, s in zip(prev, start) for x in (p, s)]
+        state.update((seen, is_open, int(n), None if last is None else int(last), *pairs))
+        yield pd.DataFrame(rows, columns=[key, *(f"start_{c}" for c in start_cols), "last_a", "run_length"])
+
+    return stream.groupBy(key).applyInPandasWithState(
+        fn, f"{key} {kt}, {starts}, last_a {st}, run_length long", state_schema, "append",
+        GroupStateTimeout.NoTimeout)
+
+
 def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str, distance: str,
                       threshold: float, evict: int | str) -> DataFrame:
     """Delta trigger + time evictor + argmax per key on a stream. State:

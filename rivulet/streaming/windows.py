@@ -18,6 +18,12 @@ def event_time(df: DataFrame, ts: str, delay: str = "0 seconds", out: str = "eve
     return df.withColumn(out, F.col(ts).cast("timestamp")).withWatermark(out, delay)
 
 
+def arrival_time(df: DataFrame, out: str = "arrival") -> DataFrame:
+    """Add the time at which a micro-batch takes a row, for windows in
+    processing time: ``out`` never runs backwards, so no row is late."""
+    return df.withColumn(out, F.current_timestamp()).withWatermark(out, "0 seconds")
+
+
 def windowed_counts(stream: DataFrame, ts: str, size: str, keys: Sequence[str],
                     aggs: Sequence[Column], slide: str | None = None) -> DataFrame:
     w = F.window(ts, size, slide) if slide else F.window(ts, size)

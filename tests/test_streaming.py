@@ -187,3 +187,51 @@ def test_binary_events_decoded_on_a_stream(spark):
     stream = spark.readStream.schema("value binary").option("recursiveFileLookup", "true").parquet(d)
     got = _run(decode_state_events(stream), "bin")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_start_then_run_stream_equals_batch(spark):
+    from rivulet.operators.patterns import start_then_run
+    ev = _events(300, 4)
+    schema = "k long, q long, v long, e string"
+    ev = pd.concat([ev, pd.DataFrame({"k": range(5), "q": range(1000, 1005), "v": 0, "e": "z"})])  # ends open runs
+    ev["e"] = ev["e"].where(~ev["e"].isin(list("cde")), "a")
+    stream = _stream_from(spark, [ev.iloc[i:i + 45] for i in range(0, len(ev), 45)], schema)
+    got = _run(ST.start_then_run(stream, "k", "q", "e", "a", ["q", "v"]), "sr")
+    batch = start_then_run(spark.createDataFrame(ev, schema), "k", "q", F.col("e") == "a", ["q", "v"], width=16)
+    cols = ["k", "start_q", "start_v", "last_a", "run_length"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+    assert got.count() > 20
+
+
+def test_fractions_and_skipping_matches_on_streams(spark):
+    ev = pd.DataFrame({"k": 1, "q": range(1, 31), "v": 0.5, "e": "A"})
+    schema = "k long, q long, v double, e string"
+    parts = [ev.iloc[i:i + 7] for i in range(0, len(ev), 7)]
+    got = _run(ST.count_window_sums(_stream_from(spark, parts, schema), "k", "q", "v", 10, 5), "cf")
+    assert {r.q: r.window_sum for r in got.collect()} == {5: 2.5, 10: 5.0, 15: 5.0, 20: 5.0, 25: 5.0, 30: 5.0}
+    got = _run(ST.running_totals(_stream_from(spark, parts, schema), "k", "q", "v", "total"), "rf")
+    assert {r.q: r.total for r in got.collect()} == {q: q / 2 for q in range(1, 31)}
+    ev["ts"] = pd.to_datetime("2024-01-01") + pd.to_timedelta(ev["q"], unit="s")
+    schema += ", ts timestamp"
+    parts = [ev.iloc[i:i + 7] for i in range(0, len(ev), 7)]
+    got = _run(ST.followed_by(_stream_from(spark, parts, schema), "k", "q", "ts", "A", "A", "e", "1 hour", []), "fa")
+    assert sorted((r.q, r.next_q) for r in got.collect()) == [(q, q + 1) for q in range(1, 31, 2)]
+
+
+def test_processing_time_and_settings(spark):
+    from rivulet.streaming import config
+    ev = _events(40)
+    stream = _stream_from(spark, [ev], "k long, q long, v long, e string")
+    counts = SW.windowed_counts(SW.arrival_time(stream), "arrival", "1 hour", ["k"], [F.sum("v").alias("s")])
+    got = _run(counts, "pt", "update")
+    assert sum(r.s for r in got.collect()) == ev["v"].sum()
+    assert config.low_latency_trigger("1 second") == {"processingTime": "1 second"}
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    try:
+        config.use_rocksdb_state(spark)
+        assert spark.conf.get(key) == config.ROCKSDB_PROVIDER
+        totals = ST.running_totals(_stream_from(spark, [ev], "k long, q long, v long, e string"), "k", "q", "v", "t")
+        assert _run(totals, "rd").count() == len(ev)
+    finally:
+        spark.conf.set(key, before)
