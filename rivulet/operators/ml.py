@@ -8,7 +8,6 @@ There is no join with the model and no cross join.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
