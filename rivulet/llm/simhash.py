@@ -218,8 +218,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between the distinct fingerprints ``fps(fp)``: enough of
     them that linked fingerprints stay connected. ``fps`` must be a saved
     table or cheap: it is read twice."""
-    if max_bits > MAX_BITS:
-        raise ValueError("three parts cover up to 4 differing bits (at most 5 in all: one in a part)")
+    if max_bits >= 2 * len(PARTS):
+        raise ValueError(f"{max_bits} differing bits need more than {len(PARTS)} parts")
     crowded = save(fps.mapInPandas(_homes, "anchor long").groupBy("anchor").count()
                    .where(F.col("count") > HOME_BLOCK)
                    .select("anchor", F.ceil(F.col("count") / HOME_BLOCK).cast("int").alias("blocks")),

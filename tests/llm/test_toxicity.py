@@ -5,9 +5,7 @@ import random
 import zlib
 
 import numpy as np
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF01
 from rivulet.llm import toxicity
