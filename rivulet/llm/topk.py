@@ -36,7 +36,8 @@ SCALE = 256
 LIMIT = 1 << 16          # components are smaller than this
 VECTORS, QUERIES = 8192, 2048
 _SHIFT = 1 << 26         # keeps the dimensions apart in one sorted list
-LEVELS = (1 / 4, 1 / 8, 1 / 16, 1 / 32, 0.0, -1 / 16)  # of the highest impact
+LEVELS = (1 / 8, 0.0, -1 / 8)  # of the highest impact
+RESCORED = 4  # rescore once at most one vector in so many could still be a member
 
 
 class ImpactIndex:
@@ -45,10 +46,11 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         n, d = vectors.shape
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+        values = np.take_along_axis(vectors.T, self.order, axis=1)
         # one sorted list of all dimensions, to find cuts of all at once
-        self.flat = (self.values + (np.arange(d) * _SHIFT)[:, None]).ravel()
+        self.flat = (values + (np.arange(d) * _SHIFT)[:, None]).ravel()
+        self.values = values.astype(float)  # exact: below 2**24
 
     def _cuts(self, dims: np.ndarray, q: np.ndarray, level: float) -> np.ndarray:
         """Per dimension the place that parts impacts >= level from the rest."""
@@ -60,24 +62,28 @@ class ImpactIndex:
                       np.searchsorted(self.flat, key, "right"))
         return np.clip(at - dims * n, 0, n)
 
+    def _seen(self, dims: np.ndarray, done: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Per vector in how many of ``dims`` its segment has been added."""
+        n = len(self.ids)
+        met = [self.order[d, at:] if up else self.order[d, :at] for d, at, up in zip(dims, done, q > 0)]
+        return np.bincount(np.concatenate(met), minlength=n) if met else np.zeros(n, np.int64)
+
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best vectors that don't bear id ``own``."""
         n = len(self.ids)
         others = self.ids != own
         dims = np.flatnonzero(query)
         q = query[dims]
-        sums, seen = np.zeros(n), np.zeros(n, np.int64)
+        sums = np.zeros(n)
         done = np.where(q > 0, n, 0)
         reach = np.where(q > 0, self.values[dims, -1], self.values[dims, 0]) * q if n else q
-        top = max(int(reach.max()), 1) if len(reach) else 1
+        top = max(reach.max(), 1) if len(reach) else 1
+        # rounding of sums beyond 53 bits
         slack = 1 + 1e-9 * float(np.abs(q).astype(float).sum()) * LIMIT * SCALE / (1 << 20)
         last = len(LEVELS)
         for step in range(last + 1):
             level = LEVELS[step] * top if step < last else -np.inf
-            if step < last:
-                cut = self._cuts(dims, q, level)
-            else:
-                cut = np.where(q > 0, 0, n)
+            cut = self._cuts(dims, q, level) if step < last else np.where(q > 0, 0, n)
             low, high = np.minimum(cut, done), np.maximum(cut, done)
             done = cut
             new = np.flatnonzero(high > low)
@@ -85,11 +91,12 @@ class ImpactIndex:
                 at = np.concatenate([self.order[dims[i], low[i]:high[i]] for i in new])
                 gain = np.concatenate([self.values[dims[i], low[i]:high[i]] * q[i] for i in new])
                 sums += np.bincount(at, gain, n)
-                seen += np.bincount(at, minlength=n)
-            if step < last:
-                bound = sums + level * (len(dims) - seen)
-            else:
+            if step == last or not level:
                 bound = sums
+            else:
+                # how many dimensions of each vector were met so far
+                seen = self._seen(dims, done, q)
+                bound = sums + level * (len(dims) - seen)
             # the k-th exact score among the best sums is a proven least
             trial = np.flatnonzero(others)
             if len(trial) > 4 * k:
@@ -97,7 +104,7 @@ class ImpactIndex:
             scores = self.vectors[trial] @ query
             least = np.partition(scores, -k)[-k] if len(scores) >= k else -np.inf
             could = np.flatnonzero((bound >= least - slack) & others)
-            if len(could) <= max(8 * k, n // 32) or step == last:
+            if len(could) <= max(8 * k, n // RESCORED) or step == last:
                 scores = self.vectors[could] @ query
                 best = np.lexsort((self.ids[could], -scores))[:k]
                 return self.ids[could[best]], scores[best]
