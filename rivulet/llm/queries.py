@@ -59,7 +59,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=0.8)
+    labels = table(spark, sf_dir, "labels")
+    return resample.resample(table(spark, sf_dir, "documents"), labels, keep=resample.good_share(labels))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

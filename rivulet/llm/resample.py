@@ -129,6 +129,12 @@ def kth_largest(values: DataFrame, name: str, k: int) -> float | None:
             left -= hist[b]
 
 
+def good_share(labels: DataFrame, label: str = "quality") -> float:
+    """The share of labels 0 and 1 that are 1 (1 without labels)."""
+    n, good = labels.where(F.col(label).isin(0, 1)).agg(F.count(F.lit(1)), F.sum(label)).first()
+    return good / n if n else 1.0
+
+
 def resample(docs: DataFrame, labels: DataFrame, keep: float, doc_id: str = "doc_id",
              text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS,
              seed: int = 42) -> DataFrame:
