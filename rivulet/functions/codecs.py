@@ -27,9 +27,15 @@ def alert_text(ip: Column | str, state: Column | str, event: Column | str) -> Co
                     F.lit(" -> "), _c(event))
 
 
+def _swapped(hex8: Column) -> Column:
+    """The four bytes of eight hex digits in reverse order (``reverse`` would
+    take binary for text and misplace bytes of 0x80 and more)."""
+    return F.concat(*[F.substring(hex8, at, 2) for at in (7, 5, 3, 1)])
+
+
 def _le_int(b: Column, pos: int) -> Column:
     """Signed little-endian 32-bit int at 1-based byte ``pos`` of a binary."""
-    unsigned = F.conv(F.hex(F.reverse(F.substring(b, pos, 4))), 16, 10).cast("long")
+    unsigned = F.conv(_swapped(F.hex(F.substring(b, pos, 4))), 16, 10).cast("long")
     return F.when(unsigned > F.lit(2**31 - 1), unsigned - F.lit(2**32)).otherwise(unsigned).cast("int")
 
 
@@ -43,7 +49,7 @@ def decode_event(value: Column | str) -> Column:
 
 def _le_bytes(v: Column) -> Column:
     masked = v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.reverse(F.unhex(F.lpad(F.hex(masked), 8, "0")))
+    return F.unhex(_swapped(F.lpad(F.hex(masked), 8, "0")))
 
 
 def encode_event(address: Column | str, etype: Column | str) -> Column:

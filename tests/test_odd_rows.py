@@ -264,3 +264,14 @@ def test_route_splits_completely(spark):
     df = spark.createDataFrame([("abc",), ("abcdef",), ("",), (None,)], "t string")
     kept, rest = route(df, token_route("t") == "kept")
     assert [r.t for r in kept.collect()] == ["abc"] and rest.count() == 3
+
+
+def test_eight_byte_events_of_any_address(spark):
+    import struct
+    rnd = random.Random(2)
+    rows = [(a, rnd.choice("abcdefg")) for a in [0, 1, -1, 127, 128, 255, 256, 0x80C3A9EB - (1 << 32), 2**31 - 1, -2**31]
+            + [rnd.randint(-2**31, 2**31 - 1) for _ in range(200)]]
+    df = spark.createDataFrame(rows, "address int, type string")
+    raw = streams.encode_state_events(df)
+    assert [bytes(r.value) for r in raw.collect()] == [struct.pack("<ii", a, "abcdefg".index(t)) for a, t in rows]
+    assert [tuple(r) for r in streams.decode_state_events(raw).collect()] == rows
