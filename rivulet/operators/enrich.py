@@ -12,7 +12,8 @@ retries it, as the reference passes the failure on.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from concurrent.futures import Future, ThreadPoolExecutor
+from queue import Empty, SimpleQueue
 from time import monotonic
 
 from pyspark.sql import DataFrame
@@ -44,21 +45,25 @@ def _answers(pool: ThreadPoolExecutor, lookup, values: list, capacity: int,
              timeout_s: float) -> tuple[list[int], list]:
     """Row numbers and answers in completion order. As many calls run as the
     pool has threads, so a call starts when it is submitted."""
-    running: dict[Future, tuple[int, float]] = {}
+    running: dict[Future, tuple[int, float]] = {}  # oldest first, so soonest deadline first
+    finished: SimpleQueue[Future] = SimpleQueue()
     rows, answers, todo = [], [], iter(enumerate(values))
     while True:
         while len(running) < capacity and (item := next(todo, None)) is not None:
-            running[pool.submit(lookup, item[1])] = (item[0], monotonic() + timeout_s)
+            call = pool.submit(lookup, item[1])
+            running[call] = (item[0], monotonic() + timeout_s)
+            call.add_done_callback(finished.put)
         if not running:
             return rows, answers
-        soonest = min(deadline for _, deadline in running.values())
-        done, _ = wait(running, timeout=max(0.0, soonest - monotonic()), return_when=FIRST_COMPLETED)
-        for f in done:
-            row, _ = running.pop(f)
-            rows.append(row)
-            answers.append(f.result())
-        if any(deadline <= monotonic() and not f.done() for f, (_, deadline) in running.items()):
+        oldest, (_, soonest) = next(iter(running.items()))
+        try:
+            call = finished.get(timeout=max(0.0, soonest - monotonic()))
+        except Empty:
+            raise TimeoutError("lookup timed out") from None
+        if soonest <= monotonic() and not oldest.done():
             raise TimeoutError("lookup timed out")
+        rows.append(running.pop(call)[0])
+        answers.append(call.result())
 
 
 def modulo_key(n: object, buckets: int = 10) -> str:
