@@ -34,8 +34,17 @@ second look.
 Native: split, regexp_extract_all and lambda functions over the matches; a
 text without a digit or '@' is passed through unread. There is no shuffle.
 
+A card's or IBAN's longest candidate may end in a neighbour ('4111 1111 1111
+1111 12/27', 'AT611904300234573201 EUR'). Texts with such a candidate that
+fails its check are read again, one candidate after the other: a card also
+without its last group, an IBAN at its country's length (of an unknown
+country: up to each of its groups), and what follows the value taken is
+searched anew, so a neighbour that is a value itself is found as well.
+
 Defined results. Null text stays null; texts without personal data stay as
-they are; overlapping candidates are taken leftmost first, once.
+they are; overlapping candidates are taken leftmost first, once. Of a card
+that is valid with and without its last group the longer one counts; of an
+IBAN that of its country's length.
 """
 
 from __future__ import annotations
@@ -67,6 +76,17 @@ CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2,3}(?: [0-9]{1,3})?"
 NUMBERS = f"(?=[0-9+(])(?:{'|'.join((IPV4, DATE, SSN, PHONE, CARD))})|(?=[A-Z][A-Z][0-9]){IBAN}"
 WITH_EMAIL = f"{EMAIL}|{NUMBERS}"
 
+# Candidates that may end in a neighbour, and the characters that any candidate
+# or its look at the neighbours can hold: none reaches beyond a run of them.
+LONG_CARD = "[0-9]{4}(?: [0-9]{4}){3} [0-9]{1,3}|[0-9]{4}(?:-[0-9]{4}){3}-[0-9]{1,3}"
+RUN = "[A-Za-z0-9 ._%+@()/-]"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+
 _DIGITS, _UPPER, _LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ORIGIN, _DAYS, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 146_097, 189, 773
 
@@ -227,11 +247,26 @@ def _mod97(chars: Column) -> Column:
     return F.aggregate(F.split(chars, ""), F.lit(0), step)
 
 
+def _iban_valid(plain: Column) -> Column:
+    return _mod97(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))) == 1
+
+
+def _at_country_length(m: Column) -> Column:
+    """The part of an IBAN candidate that has its country's length and ends
+    with a group; null if there is none or it is the whole."""
+    part = F.lit(None).cast("string")
+    for n, countries in IBAN_LENGTHS.items():
+        part = F.when(m.rlike(f"^(?:{countries.replace(' ', '|')})"),
+                      F.regexp_substr(m, F.lit(f"^(?:[A-Z0-9] ?){{{n - 1}}}[A-Z0-9](?= )"))).otherwise(part)
+    return part
+
+
 def _iban(m: Column, key: str) -> Column:
     def new(plain):
         country = F.substr(plain, F.lit(1), F.lit(2))
         account = F.substr(plain, F.lit(5), F.length(plain))
-        valid = _mod97(F.concat(account, country, F.substr(plain, F.lit(3), F.lit(2)))) == 1
+        own = F.when(m.contains(" "), F.regexp_replace(_at_country_length(m), " ", ""))
+        valid = _iban_valid(plain) & ~F.coalesce(_iban_valid(own), F.lit(False))
         checked = let(permute_chars(account, key, "iban"), lambda a: F.concat(
             country, F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
         return F.when(valid, _refill(m, checked, "[A-Z0-9]"))
@@ -251,8 +286,8 @@ def _whole(pattern: str) -> str:
     return f"^(?:{bare})$"
 
 
-def pseudonym(match: Column, key: str = DEFAULT_KEY) -> Column:
-    """The pseudonym of one match, or the match itself if it isn't valid."""
+def _valid(match: Column, key: str) -> Column:
+    """The pseudonym of one match, or null if it isn't valid."""
     return F.coalesce(
         F.when(match.contains("@"), _email(match, key)),
         F.when(match.rlike(_whole(IBAN)), _iban(match, key)),
@@ -260,8 +295,62 @@ def pseudonym(match: Column, key: str = DEFAULT_KEY) -> Column:
         F.when(match.rlike(_whole(DATE)), _date(match, key)),
         F.when(match.rlike(_whole(SSN)), _ssn(match, key)),
         F.when(match.rlike(_whole(CARD)), _card(match, key)),
-        F.when(match.rlike(_whole(PHONE)), _phone(match, key)),
-        match)
+        F.when(match.rlike(_whole(PHONE)), _phone(match, key)))
+
+
+def pseudonym(match: Column, key: str = DEFAULT_KEY) -> Column:
+    """The pseudonym of one match, or the match itself if it isn't valid."""
+    return let(match, lambda m: F.coalesce(_valid(m, key), m))
+
+
+def _taken(match: Column, key: str) -> Column:
+    """value and new: the part of a candidate that is valid, from its start on,
+    and its pseudonym; null if there is none."""
+    groups = F.split(match, " ")
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    parts = F.when(match.rlike(f"^(?:{LONG_CARD})$"), F.array(match, F.regexp_replace(match, "[ -][0-9]+$", ""))).when(
+        match.rlike(_whole(IBAN)) & match.rlike(f"^(?:{known})"), F.array(_at_country_length(match), match)).when(
+        match.rlike(_whole(IBAN)), F.filter(
+            F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)),
+                        lambda n: F.array_join(F.slice(groups, F.lit(1), n), " ")),
+            lambda p: p.rlike(_whole(IBAN)))).otherwise(F.array(match))
+    tried = F.transform(parts, lambda p: F.struct(p.alias("value"), _valid(p, key).alias("new")))
+    return F.get(F.filter(tried, lambda t: t["new"].isNotNull()), F.lit(0))
+
+
+def _read(run: Column, key: str) -> Column:
+    """out (the text with its data replaced), n_found and n_replaced of one
+    run of characters, read one candidate after the other."""
+    def step(s, _):
+        def at(place):
+            def with_match(m):
+                def with_taken(t):
+                    return F.struct(
+                        F.concat(s["out"], F.substr(s["rest"], F.lit(1), place - 1),
+                                 F.coalesce(t["new"], m)).alias("out"),
+                        F.substr(s["rest"], place + F.length(F.coalesce(t["value"], m)),
+                                 F.length(s["rest"])).alias("rest"),
+                        (s["n_found"] + 1).alias("n_found"),
+                        (s["n_replaced"] + F.coalesce((t["new"] != t["value"]).cast("int"), F.lit(0)))
+                        .alias("n_replaced"))
+                return let(_taken(m, key), with_taken)
+            return F.when(place > 0, let(F.regexp_substr(s["rest"], F.lit(WITH_EMAIL)), with_match)).otherwise(
+                F.struct(F.concat(s["out"], s["rest"]).alias("out"), F.lit("").alias("rest"),
+                         s["n_found"].alias("n_found"), s["n_replaced"].alias("n_replaced")))
+        return F.when(s["rest"] != "", let(F.regexp_instr(s["rest"], F.lit(WITH_EMAIL)), at)).otherwise(s)
+    # each step takes one group at least; the last one finds nothing
+    steps = F.sequence(F.lit(1), F.size(F.split(run, "[^A-Za-z0-9]+")) + 1)
+    start = F.struct(F.lit("").alias("out"), run.alias("rest"), F.lit(0).alias("n_found"), F.lit(0).alias("n_replaced"))
+    return F.aggregate(steps, start, step)
+
+
+def _again(text: Column, found: Column, new: Column, key: str) -> Column:
+    """The runs of the text as ``_read`` leaves them, if a candidate that
+    isn't valid may have a neighbour's characters; else null."""
+    suspect = F.exists(F.zip_with(found, new, lambda m, n: n.isNull() & (
+        m.rlike(f"^(?:{LONG_CARD})$") | (m.contains(" ") & m.rlike(_whole(IBAN))))), lambda x: x)
+    runs = F.regexp_extract_all(text, F.lit(f"({RUN}+|[^{RUN[1:]}+)"), F.lit(0))
+    return F.when(suspect, F.transform(runs, lambda r: _read(r, key)))
 
 
 def _found(text: Column) -> Column:
@@ -269,27 +358,37 @@ def _found(text: Column) -> Column:
     return F.when(text.contains("@"), all_).otherwise(numbers)
 
 
-def _joined(text: Column, new: Column) -> Column:
-    """The text with its matches replaced by ``new``."""
+def _joined(text: Column, found: Column, new: Column, again: Column) -> Column:
+    """The text with its matches replaced by ``new`` where that isn't null."""
     between = F.when(text.contains("@"), F.split(text, WITH_EMAIL, -1)).otherwise(F.split(text, NUMBERS, -1))
-    return F.array_join(F.zip_with(between, new,
+    once = F.array_join(F.zip_with(between, F.zip_with(found, new, lambda m, n: F.coalesce(n, m)),
                                    lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
+    return F.when(again.isNotNull(), F.array_join(F.transform(again, lambda r: r["out"]), "")).when(
+        F.size(found) > 0, once).otherwise(text)
+
+
+def _candidates(text: Column) -> Column:
+    return F.when(text.rlike("[0-9@]"), _found(text))
 
 
 def pseudonymise(text: Column, key: str = DEFAULT_KEY) -> Column:
     """The text with its personal data replaced."""
-    found = F.when(text.rlike("[0-9@]"), _found(text))
-    new = F.transform(found, lambda m: pseudonym(m, key))
-    return F.when(F.size(found) > 0, _joined(text, new)).otherwise(text)
+    return let(_candidates(text), lambda found: let(
+        F.transform(found, lambda m: _valid(m, key)), lambda new: let(
+            _again(text, found, new, key), lambda again: _joined(text, found, new, again))))
 
 
 def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with the personal data in column ``text`` replaced; all
     columns and rows stay, in their order."""
-    found = fresh(docs.columns, "pii_found")
-    new = _joined(col(text), F.transform(col(found), lambda m: pseudonym(m, key)))
-    return (docs.withColumn(found, F.when(col(text).rlike("[0-9@]"), _found(col(text))))
-            .select(*[F.when(F.size(col(found)) > 0, new).otherwise(col(c)).alias(c) if c == text
+    names = list(docs.columns)
+    for n in ("pii_found", "pii_new", "pii_again"):
+        names.append(fresh(names, n))
+    found, new, again = names[-3:]
+    return (docs.withColumn(found, _candidates(col(text)))
+            .withColumn(new, F.transform(col(found), lambda m: _valid(m, key)))
+            .withColumn(again, _again(col(text), col(found), col(new), key))
+            .select(*[_joined(col(text), col(found), col(new), col(again)).alias(c) if c == text
                       else col(c) for c in docs.columns]))
 
 
@@ -297,14 +396,15 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
            key: str = DEFAULT_KEY) -> DataFrame:
     """doc_id, text (replaced), n_found (candidates, valid or not) and
     n_replaced."""
-    held = F.when(F.col("text").rlike("[0-9@]"), _found(F.col("text")))
+    def total(field):
+        return F.aggregate("again", F.lit(0), lambda n, r: n + r[field])
     return (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-            .withColumn("found", held)
-            .withColumn("new", F.transform("found", lambda m: pseudonym(m, key)))
+            .withColumn("found", _candidates(F.col("text")))
+            .withColumn("new", F.transform("found", lambda m: _valid(m, key)))
+            .withColumn("again", _again(F.col("text"), F.col("found"), F.col("new"), key))
             .select("doc_id",
-                    F.when(F.size("found") > 0, _joined(F.col("text"), F.col("new")))
-                    .otherwise(F.col("text")).alias("text"),
-                    F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_found"),
-                    F.coalesce(F.size(F.array_compact(F.zip_with(
+                    _joined(F.col("text"), F.col("found"), F.col("new"), F.col("again")).alias("text"),
+                    F.coalesce(total("n_found"), F.size("found"), F.lit(0)).cast("long").alias("n_found"),
+                    F.coalesce(total("n_replaced"), F.size(F.array_compact(F.zip_with(
                         "found", "new", lambda a, b: F.when(a != b, F.lit(1))))), F.lit(0))
                     .cast("long").alias("n_replaced")))

@@ -209,3 +209,24 @@ def test_query_on_the_table(spark):
 @pytest.mark.parametrize("bad", ["1.2.3.4.5", "12:30", "100-200", "2024", "3.14159", "1,000,000"])
 def test_plain_numbers_stay(spark, bad):
     assert apply(spark, [f"about {bad} items"]) == [f"about {bad} items"]
+
+
+def test_values_before_a_short_neighbour(spark):
+    """The longest candidate also holds the neighbour: the value goes all the
+    same, as it goes elsewhere, and so does a neighbour that is a value."""
+    card, dashed, at, es = "4111 1111 1111 1111", "4111-1111-1111-1111", "AT611904300234573201", "ES91 2100 0418 4502 0005 1332"
+    de, phone, day, mail = "DE89 3704 0044 0532 0130 00", "415-555-2671", "12/27/2024", "12foo@x.de"
+    unknown = next(v for v in (f"QQ{n:02d} ABCD 1234 5678" for n in range(98)) if mod97("ABCD12345678" + v[:4]) == 1)
+    parts = [[card, " 12/27"], [card, " 123"], [dashed, "-123."], [at, " EUR"], [es, " BIC"], [at, " EURO SEND"], [unknown, " EUR"],
+             [card, " ", phone], [card, " ", day], [card, " ", "97.51.17.173"], [card, " ", mail], [at, " ", de],
+             [at, " ", de, " EUR, ", card, " 12/27 \U0001f600 ", phone, "; ", es, " BIC"],
+             ["4111 1111 1111 1112", " 12/27"], ["GB83 WEST 1234 5698 7654 32", " EUR"]]
+    values = {card, dashed, at, es, de, phone, day, mail, "97.51.17.173", unknown}
+    df = spark.createDataFrame([(i, "see " + "".join(p) + " now") for i, p in enumerate(parts)], "doc_id int, text string")
+    want = ["see " + "".join(plain(x) if x in values else x for x in p) + " now" for p in parts]
+    rows = pii.report(df).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == want
+    assert [r.n_replaced for r in rows] == [sum(x in values for x in p) for p in parts]
+    assert all(r.n_found >= r.n_replaced for r in rows)
+    assert [r.text for r in pii.replace(df).orderBy("doc_id").collect()] == want
+    assert [r.text for r in df.select("doc_id", pii.pseudonymise(F.col("text")).alias("text")).orderBy("doc_id").collect()] == want
