@@ -17,23 +17,32 @@ the block's queries. Vectors are copied once per query block, which the
 stated query set makes N / 50 / QUERIES; every query is held against every
 vector, as it must be. The best k of each pair are merged per query.
 
+Vectors with a component of ``INDEXED`` or more in size are beyond the index's
+range. They are dealt into the same blocks and scored exactly, pair by pair: in
+64 bits where no sum can leave them, else in Python's integers.
+
 Defined results. Vectors that are null or hold null or non-finite components
-take no part, nor do rows without an id, nor components of 2**16 or more in
-size (their products would leave 64 bits). Repeated rows (same id, same
-vector) count once; different vectors under one id are separate candidates,
+take no part, nor do rows without an id; components of any finite size do. A
+score beyond 64 bits ranks by its exact value and is given as null, since the
+column can't hold it. Repeated rows (same id, same vector) count once; different vectors under one id are separate candidates,
 and each is a query; no vector of the query's own id is a candidate. Vectors
 of different lengths are not compared. Ties go to the smaller id.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from operator import mul
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-LIMIT = 1 << 16          # components are smaller than this
+LIMIT = math.inf         # components are smaller than this
+INDEXED = 1 << 16        # and those of indexed vectors than this
 VECTORS, QUERIES = 8192, 2048
 _SHIFT = 1 << 26         # keeps the dimensions apart in one sorted list
 LEVELS = (1 / 8, 0.0, -1 / 8)  # of the highest impact
@@ -56,7 +65,7 @@ class ImpactIndex:
         """Per dimension the place that parts impacts >= level from the rest."""
         n = len(self.ids)
         up = q > 0
-        least = np.clip(np.where(up, np.ceil(level / q), np.floor(level / q)), -LIMIT * SCALE, LIMIT * SCALE)
+        least = np.clip(np.where(up, np.ceil(level / q), np.floor(level / q)), -INDEXED * SCALE, INDEXED * SCALE)
         key = least.astype(np.int64) + dims * _SHIFT
         at = np.where(up, np.searchsorted(self.flat, key, "left"),
                       np.searchsorted(self.flat, key, "right"))
@@ -79,7 +88,7 @@ class ImpactIndex:
         reach = np.where(q > 0, self.values[dims, -1], self.values[dims, 0]) * q if n else q
         top = max(reach.max(), 1) if len(reach) else 1
         # rounding of sums beyond 53 bits
-        slack = 1 + 1e-9 * float(np.abs(q).astype(float).sum()) * LIMIT * SCALE / (1 << 20)
+        slack = 1 + 1e-9 * float(np.abs(q).astype(float).sum()) * INDEXED * SCALE / (1 << 20)
         last = len(LEVELS)
         for step in range(last + 1):
             level = LEVELS[step] * top if step < last else -np.inf
@@ -111,33 +120,104 @@ class ImpactIndex:
         raise AssertionError("the last level always ends the search")
 
 
+def _whole(scaled: np.ndarray) -> list[int]:
+    """A quantised vector from its SCALE-th parts, as Python ints."""
+    return [int(x * SCALE) if abs(x) < 2**44 else int(x) * SCALE for x in scaled.tolist()]
+
+
+class Pairs:
+    """Vectors of any finite size, given as quantised vector / SCALE; scored
+    pair by pair."""
+
+    def __init__(self, ids: np.ndarray, scaled: np.ndarray):
+        self.ids, self.scaled = ids, scaled
+        self.most = np.abs(scaled).max(axis=1, initial=0)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """Score and id of the k best vectors that don't bear id ``own``."""
+        others = self.ids != own
+        with np.errstate(over="ignore"):
+            reach = (np.maximum(self.most * SCALE, 1) * max(np.abs(query).max(initial=0) * SCALE, 1)
+                     * max(len(query), 1))
+        at = np.flatnonzero(others & (reach < 2.0**62))
+        best = []
+        if len(at):
+            scores = (self.scaled[at] * SCALE).astype(np.int64) @ (query * SCALE).astype(np.int64)
+            top = np.lexsort((self.ids[at], -scores))[:k]
+            best += zip(scores[top].tolist(), self.ids[at[top]].tolist())
+        large = np.flatnonzero(others & ~(reach < 2.0**62))
+        if len(large):
+            q = _whole(query)
+            best += ((-s, i) for s, i in heapq.nsmallest(k, (
+                (-sum(map(mul, _whole(self.scaled[j]), q)), int(self.ids[j])) for j in large)))
+        return best
+
+
+def _sortable(score: int) -> tuple[int | None, int, str]:
+    """score, side and key: beyond 64 bits the score is null, side tells where
+    it lies, and key rises with it."""
+    if -(1 << 63) <= score < 1 << 63:
+        return score, 0, ""
+    digits = f"{abs(score):x}"
+    key = f"{len(digits):04x}{digits}"
+    if score > 0:
+        return None, 1, key
+    return None, -1, key.translate(str.maketrans("0123456789abcdef", "fedcba9876543210"))
+
+
+def _sizes(rows: pd.DataFrame) -> pd.Series:
+    return rows["q"].where(rows["q"].notna(), rows["wide"]).map(len)
+
+
+def _stacked(vectors: pd.Series, d: int, kind: type) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(kind).reshape(len(vectors), d)
+
+
 def _search_pair(k: int):
     def search(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(queries):
-            sizes = vectors["q"].map(len)
-            for d, part in queries.groupby(queries["q"].map(len)):
+            sizes = _sizes(vectors)
+            for d, part in queries.groupby(_sizes(queries)):
                 block = vectors[sizes == d]
-                if not len(block):
-                    continue
-                matrix = np.stack(block["q"].to_numpy()).astype(np.int64).reshape(len(block), d)
-                index = ImpactIndex(block["vec_id"].to_numpy(np.int64), matrix)
-                for query_id, twin, q in zip(part["vec_id"], part["twin"], part["q"]):
-                    ids, scores = index.search(np.asarray(q, np.int64), query_id, k)
-                    out.append(pd.DataFrame({"query_id": query_id, "twin": twin, "vec_id": ids,
-                                             "score": scores.astype(np.int64)}))
-        empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "twin", "vec_id", "score")})
-        return pd.concat(out) if out else empty
+                near, far = block[block["wide"].isna()], block[block["wide"].notna()]
+                index = pairs = None
+                if len(near):
+                    index = ImpactIndex(near["vec_id"].to_numpy(np.int64), _stacked(near["q"], d, np.int64))
+                    if part["wide"].notna().any():
+                        pairs = Pairs(index.ids, index.vectors / SCALE)
+                if len(far):
+                    beyond = Pairs(far["vec_id"].to_numpy(np.int64), _stacked(far["wide"], d, float))
+                for query_id, twin, q, wide in zip(part["vec_id"], part["twin"], part["q"], part["wide"]):
+                    best = []
+                    if index and wide is None:
+                        ids, scores = index.search(np.asarray(q, np.int64), query_id, k)
+                        best += zip(scores.tolist(), ids.tolist())
+                    scaled = np.asarray(q, float) / SCALE if wide is None else np.asarray(wide, float)
+                    if pairs and wide is not None:
+                        best += pairs.search(scaled, query_id, k)
+                    if len(far):
+                        best += beyond.search(scaled, query_id, k)
+                        best = sorted(best, key=lambda b: (-b[0], b[1]))[:k]
+                    out += [(query_id, twin, i, *_sortable(s)) for s, i in best]
+        found = pd.DataFrame(out, columns=["query_id", "twin", "vec_id", "score", "side", "key"], dtype=object)
+        return found.astype({"query_id": "int64", "twin": "int64", "vec_id": "int64", "score": "Int64",
+                             "side": "int32"})
     return search
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """vec_id, q (the quantised vector), twin (its hash), each row once."""
+    """vec_id, q (the quantised vector) or wide (its SCALE-th part as doubles,
+    if it is beyond the index's range), twin (its hash), each row once."""
     sound = F.forall(F.col("e"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LIMIT))
+    near = F.forall(F.col("e"), lambda x: F.abs(x) < INDEXED)
+    # from 2**44 on a double has no bits below 1 / SCALE
+    part = F.transform("e", lambda x: F.when(F.abs(x) < 2.0**44, F.floor(x * SCALE).cast("double") / SCALE).otherwise(x))
     return (vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("e"))
             .where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & sound)
-            .select("vec_id", F.transform("e", lambda x: F.floor(x * SCALE).cast("int")).alias("q"))
-            .distinct().withColumn("twin", F.xxhash64("q")))
+            .select("vec_id", F.when(near, F.transform("e", lambda x: F.floor(x * SCALE).cast("int"))).alias("q"),
+                    F.when(~near, part).alias("wide"))
+            .distinct().withColumn("twin", F.xxhash64("q", "wide")))
 
 
 def search(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id",
@@ -153,7 +233,8 @@ def search(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id",
     right = (rows.where(is_query).withColumn("u", F.pmod(block, F.lit(q_blocks)).cast("int"))
              .withColumn("v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(v_blocks - 1).cast("long")))))
     found = left.groupBy("v", "u").cogroup(right.groupBy("v", "u")).applyInPandas(
-        _search_pair(k), "query_id long, twin long, vec_id long, score long")
-    place = Window.partitionBy("query_id", "twin").orderBy(F.desc("score"), "vec_id")
+        _search_pair(k), "query_id long, twin long, vec_id long, score long, side int, key string")
+    place = Window.partitionBy("query_id", "twin").orderBy(
+        F.desc("side"), F.desc("key"), F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -80,3 +80,29 @@ def test_most_postings_are_skipped():
     for i in range(20):
         index.search(v[i], i, 5)
     assert len(steps) <= 20 * (len(topk.LEVELS) - 1)
+
+
+@pytest.mark.parametrize("blocks", [(8192, 2048), (7, 3)])
+def test_components_of_any_size(spark, monkeypatch, blocks):
+    """Unnormalised vectors query and are found; ranks are exact beyond 64
+    bits, where the score is null."""
+    monkeypatch.setattr(topk, "VECTORS", blocks[0])
+    monkeypatch.setattr(topk, "QUERIES", blocks[1])
+    assert topk.LIMIT == math.inf
+    rnd = np.random.default_rng(2)
+    rows = [(i, (rnd.integers(-3, 4, 4) / 7 * 10.0 ** rnd.choice([0, 0, 0, 5, 6, 30, 300])).tolist()) for i in range(60)]
+    rows += [(60, [65536.0, 0, 0, 0]), (65, [-65536.0, 0, 0, 1e-3]), (70, [65535.99, 0, 0, 0]), (75, [1.7e308, -1.7e308, 0, 1]),
+             (80, [1e5, -0.0, 0.001, 0]), (80, [1e5, 0.0, 0.0011, 0]), (85, [1e9]), (90, [2e9])]
+
+    def whole(x):
+        return int(x) * 256 if abs(x) > 1e300 else math.floor(256 * x)
+    seen = {(i, tuple(map(whole, v))) for i, v in rows}
+    want = []
+    for i, q in seen:
+        if i % 5 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, w)), j) for j, w in seen if j != i and len(w) == len(q))
+            want += [(i, r + 1, j, -s if abs(s) < 2**63 else None) for r, (s, j) in enumerate(scores[:5])]
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in rows], "vec_id long, embedding array<double>")
+    out = topk.search(df, F.col("vec_id") % 5 == 0, 5).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+    assert any(w[3] is None for w in want) and any(w[3] and w[3] > 2**50 for w in want)
