@@ -9,7 +9,8 @@ path starts with the prefix; the longest rule wins.
 Segmentation. Runs of letters in a host are split into words by a unigram
 Viterbi: word counts come from the pages' own texts, a string that is no word
 costs as much as a word seen 10 / 10^length times. Only substrings of hosts
-are looked up, by a join, so the vocabulary is never broadcast or cut.
+that have the length of some word are looked up, by a join, so the vocabulary
+is never broadcast or cut; words and splits may be of any length.
 
 Naive Bayes. Tokens are the host's words and the path's runs of letters and
 digits (numbers become ``0``). The pages that a rule decides are the training
@@ -39,7 +40,6 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import save
 
-LONGEST = 20        # letters of a word
 ALPHA = 1.0
 SEED_WEIGHT = 20
 
@@ -91,23 +91,32 @@ def winning_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
 
 
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(word, n): runs of 1 to LONGEST letters in the text of html."""
-    bare = F.regexp_replace(F.lower(F.col(column)), r"<[^>]{0,1000}>|&#?[a-z0-9]{1,10};", " ")
+    """(word, n): runs of letters in the text of html."""
+    low = F.lower(F.col(column))
+    # every "<" before the last ">" has an end, so none is read on in vain
+    rest = F.substring_index(low, ">", -1)
+    tagged = F.left(low, F.length(low) - F.length(rest))
+    entity = "&#?[a-z0-9]{1,10};"
+    bare = F.concat(F.regexp_replace(tagged, f"<[^>]*+>|{entity}", " "), F.regexp_replace(rest, entity, " "))
     return (texts.select(F.explode(F.split(bare, r"[^\p{L}]+")).alias("word"))
-            .where(F.length("word").between(1, LONGEST))
+            .where("word != ''")
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def viterbi(run: str, found: dict[str, int], total: int) -> list[str]:
     """The likeliest split of ``run`` into words; ties: the longer last word."""
     log_total = math.log(max(total, 1))
+    longest = max(map(len, found), default=0)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    lead, lead_score = 0, 0.0  # the best start of a string that is no word, wherever it ends
     for end in range(1, len(run) + 1):
-        choices = []
-        for start in range(max(0, end - LONGEST), end):
+        if end > 1 and best[end - 1][0] + math.log(10) * (end - 1) > lead_score:
+            lead, lead_score = end - 1, best[end - 1][0] + math.log(10) * (end - 1)
+        choices = [(best[lead][0] + math.log(10) * (1 - (end - lead)) - log_total, -lead)]
+        for start in range(max(0, end - longest), end):
             n = found.get(run[start:end])
-            log_p = (math.log(n) if n else math.log(10) * (1 - (end - start))) - log_total
-            choices.append((best[start][0] + log_p, -start))
+            if n:
+                choices.append((best[start][0] + math.log(n) - log_total, -start))
         score, start = max(choices)
         best.append((score, -start))
     words, end = [], len(run)
@@ -119,11 +128,14 @@ def viterbi(run: str, found: dict[str, int], total: int) -> list[str]:
 
 def segment(runs: DataFrame, words: DataFrame) -> DataFrame:
     """(run, words): the Viterbi split of each distinct ``runs(run)``."""
-    total = words.agg(F.sum("n")).first()[0] or 0
+    total, lengths = words.agg(F.sum("n"), F.collect_set(F.length("word"))).first()
+    total, lengths = total or 0, F.array(*map(F.lit, sorted(lengths))).cast("array<int>")
     pieces = (runs.where("run != ''").select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("i"))
               .select("run", F.explode(F.transform(
-                  F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("run") - F.col("i") + 1)),
-                  lambda n: F.substr("run", F.col("i"), n))).alias("word")).distinct())
+                  F.filter(lengths, lambda n: n <= F.length("run") - F.col("i") + 1),
+                  lambda n: F.substr("run", F.col("i"), n))).alias("word"))
+              .unionByName(runs.where("run != ''").select("run", F.col("run").alias("word")))  # one without pieces stays
+              .distinct())
     known = (pieces.join(words, "word", "left").groupBy("run").agg(F.map_from_entries(F.collect_list(
         F.when(F.col("n").isNotNull(), F.struct("word", "n")))).alias("found")))
 

@@ -115,3 +115,20 @@ def test_words_and_bayes(spark):
     want = odds(["free", "bets", "news", *net, "de", "0"])
     assert out[200].block_odds == pytest.approx(want, abs=1e-6)
     assert (out[200].verdict, out[201].verdict, out[202].verdict) == ("block", "allow", "block")
+
+
+def test_words_and_tags_of_any_length(spark):
+    """Words of more than 20 letters are counted and found in hosts, tags of
+    more than 1,000 characters are no text, and open ones cost no time."""
+    long_word = "donaudampfschifffahrtsgesellschaft"
+    html = f"<a data='{'hidden ' * 500}'>{long_word}</a> shop &amp; <b>bank</b> 1 < 2 kept"
+    rows = [(i, html) for i in range(20)] + [(20, "<" * 300_000 + " open"), (21, None), (22, "")]
+    words = urlfilter.word_counts(spark.createDataFrame(rows, "i int, html string"), "html")
+    counts = dict(words.collect())
+    assert counts == {long_word: 20, "shop": 20, "bank": 20, "kept": 20, "open": 1}
+    hosts = spark.createDataFrame([(f"{long_word}shop.de",), (f"bank{long_word}.de",), ("x" * 70 + ".de",), ("q.de",)], "host string")
+    split = {r.host: r.words for r in urlfilter.host_words(hosts, words).collect()}
+    assert split[f"{long_word}shop.de"][:2] == [long_word, "shop"]
+    assert split[f"bank{long_word}.de"][:2] == ["bank", long_word]
+    assert split["x" * 70 + ".de"][0] == "x" * 70 and split["q.de"][0] == "q"
+    assert urlfilter.viterbi(long_word, {long_word: 9}, 1000) == [long_word]
