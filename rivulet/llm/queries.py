@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (decontaminate, packing, pii, resample, sharding, simhash, topk, toxicity,
-                         urlfilter, warc)
+from rivulet.llm import (conversations, decontaminate, packing, pii, resample, sharding, simhash, topk,
+                         toxicity, urlfilter, warc)
 from rivulet.sources.tables import table
 
 
@@ -67,9 +67,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_warc, op4_url_filter, op5_sharding, op6_best_fit_packing,
-    op7_pii_pseudonyms, op8_simhash_near_dedup, op9_importance_resampling, op10_decontamination)}
+    op7_pii_pseudonyms, op8_simhash_near_dedup, op9_importance_resampling, op10_decontamination,
+    op11_conversation_repair)}
 
 # What SQL can express, by plain search over all rows; the rest is held
 # against brute force, exact round trips or held-out labels in tests/llm.
@@ -124,5 +129,83 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(256) r(i))),
+src AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS hx
+  FROM conversations),
+kinds AS (
+  SELECT src.*, xor(list_reduce(list_transform(range(len(hx) // 2),
+           lambda k: ('0x' || hx[2 * k + 1:2 * k + 2])::BIGINT),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS kind
+  FROM src, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(len(role) || ':' || role || text), copy) AS i FROM hurt),
+rows AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS init,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN '' ELSE 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed),
+moves(a, ins, b) AS (VALUES ('-', '', '-'), ('-', 'I', 'u'), ('-', 'II', 'a'), ('s', '', 's'), ('s', 'I', 'u'),
+  ('s', 'II', 'a'), ('u', '', 'u'), ('u', 'I', 'a'), ('a', '', 'a'), ('a', 'I', 'u')),
+keeps(b, init) AS (VALUES ('-', 's'), ('-', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')),
+steps AS (
+  SELECT conv_id, i, a, 3 * len(ins) + 4 AS cost, ins || 'D' AS letters, b AS z FROM rows, moves
+  UNION ALL
+  SELECT conv_id, i, a, 3 * len(ins) + 3 + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, ins || 'R',
+         CASE b WHEN 'u' THEN 'a' ELSE 'u' END FROM rows, moves WHERE fault IN ('', 'truncated')
+  UNION ALL
+  SELECT conv_id, i, a, 3 * len(ins) + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, ins || 'K', init
+  FROM rows JOIN keeps USING (init) JOIN moves USING (b) WHERE fault IN ('', 'truncated')),
+dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '-' AS z, {'c': 0, 'a': ''} AS w FROM rows
+  UNION ALL
+  SELECT d.conv_id, s.i, s.z, min({'c': d.w.c + s.cost, 'a': d.w.a || s.letters})
+  FROM dp d JOIN steps s ON s.conv_id IS NOT DISTINCT FROM d.conv_id AND s.i = d.i + 1 AND s.a = d.z
+  GROUP BY d.conv_id, s.i, s.z),
+done AS (
+  SELECT conv_id, min({'c': w.c + CASE z WHEN 's' THEN 6 WHEN 'u' THEN 3 ELSE 0 END,
+                       'a': w.a || CASE z WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END}) AS w
+  FROM dp JOIN (SELECT conv_id AS cid, max(i) AS last FROM rows GROUP BY 1) ON cid IS NOT DISTINCT FROM conv_id AND last = i
+  GROUP BY conv_id),
+letters AS (
+  SELECT conv_id, k, letter, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY k) AS i,
+         sum((letter <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY k) AS j
+  FROM (SELECT conv_id, unnest(string_split(w.a, '')) AS letter, unnest(range(len(w.a))) AS k FROM done WHERE w.a <> '')),
+kept AS (
+  SELECT l.*, r.role, r.text,
+         max((letter = 'K' AND j = 1 AND init = 's')::INT) OVER (PARTITION BY l.conv_id) AS sys
+  FROM letters l LEFT JOIN rows r ON l.conv_id IS NOT DISTINCT FROM r.conv_id AND l.i = r.i AND letter <> 'I'
+  WHERE letter <> 'D'),
+shas AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (j - sys) % 2 = 1 THEN 'user'
+           ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS sha
+  FROM kept GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.c, 0)::BIGINT AS cost, coalesce(w.a, '') AS audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN shas s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
 }
