@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (conversations, decontaminate, packing, pii, resample, sharding, simhash, topk,
-                         toxicity, urlfilter, warc)
+from rivulet.llm import (conversations, decontaminate, packing, pii, resample, sharding, simhash, spelling,
+                         topk, toxicity, urlfilter, warc)
 from rivulet.sources.tables import table
 
 
@@ -71,10 +71,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_warc, op4_url_filter, op5_sharding, op6_best_fit_packing,
     op7_pii_pseudonyms, op8_simhash_near_dedup, op9_importance_resampling, op10_decontamination,
-    op11_conversation_repair)}
+    op11_conversation_repair, op13_spelling_variants)}
 
 # What SQL can express, by plain search over all rows; the rest is held
 # against brute force, exact round trips or held-out labels in tests/llm.
@@ -207,5 +211,47 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN shas s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hx
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE len(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_transform(range(len(hx) // 2),
+           lambda k: ('0x' || hx[2 * k + 1:2 * k + 2])::BIGINT),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM runs, crc),
+v AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 199 = 0 THEN left(run, (h % len(run))::INT) || substr(run, (h % len(run))::INT + 2) ELSE run END AS word
+    FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (
+  SELECT word, n, k, left(word, k) || substr(word, k + 2) AS rest
+  FROM (SELECT word, n, unnest(range(len(word)))::INT AS k FROM v)),
+one AS (
+  SELECT DISTINCT a.word AS x, b.word AS y FROM cut a JOIN cut b USING (k, rest) WHERE a.word <> b.word
+  UNION
+  SELECT cut.word, v.word FROM cut JOIN v ON rest = v.word
+  UNION
+  SELECT v.word, cut.word FROM cut JOIN v ON rest = v.word),
+near AS (
+  SELECT x, count(*) AS n_near, min({'less': -v.n, 'word': y}) AS best FROM one JOIN v ON v.word = y GROUP BY x),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * n THEN best.word END AS form,
+         CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n
+  FROM v LEFT JOIN near ON x = word),
+walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN walk w ON w.word = f.word JOIN formed e ON e.word = w.at WHERE e.form IS NULL
 """,
 }
