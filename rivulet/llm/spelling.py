@@ -18,12 +18,14 @@ Position limits. A pivot that survives an edit behind it keeps its position
 and all before it; one that survives an edit before it keeps all behind it
 and moves with the length. So a pivot is looked up under five pairs of length
 and position, together with a hash of the letters on the side that stays:
-what meets under a key differs by chance or on the other side alone. Every
-distinct pair that met is then verified by its edit distance.
+what meets under a key differs by chance or on the other side alone. It is
+verified inside the join: by the set of letters (an edit changes at most two),
+then by edit distance. Words of more than ``CARRIED`` letters don't travel
+with their keys; their pairs are verified when they are known.
 
 Scale. Words are counted with partial aggregation; from there on everything
 has the size of the vocabulary. The bigram counts are bounded by the alphabet
-(90 letters, 8,100 bigrams) and go to the tasks. Keys carry ids, not words.
+(90 letters, 8,100 bigrams) and go to the tasks.
 Forms lead to words at least ``RATIO`` times as frequent, so chains are at
 most log(n) long; roots are found by pointer doubling. A hot key is split by
 Spark's skew join; a hot form meets partial aggregates.
@@ -60,6 +62,7 @@ _UPPER = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
 _LOOKUPS = ((0, 0), (1, 0), (-1, 0), (0, 1), (1, 1), (-1, 1))
 _BASE, _PRIME = 0x10001, (1 << 61) - 1
 _CHUNK = 50_000  # rows of keys given out at once
+CARRIED = 64     # letters of a word that is verified inside the join
 
 
 def _damaged(doc_id: Column, run: Column) -> Column:
@@ -124,20 +127,24 @@ def _key(side: int, length: int, part: int) -> int:
 
 
 def _index(order: dict[str, int], counts: dict[str, int]):
-    """Rows (id, key, last, pivot) of the words' pivots and prefixes."""
-    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("last", pa.int32()), ("pivot", pa.bool_())])
+    """Rows of the words' pivots and prefixes: id, key, last (where the
+    prefix ends in the order), pivot, letters (as bits) and the word."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("last", pa.int32()), ("pivot", pa.bool_()),
+                        ("letters", pa.int64()), ("word", pa.string())])
 
     def rows(word_id: int, word: str) -> Iterator[tuple]:
         prefix, pivots = prefix_and_pivots(word, order, counts)
         last, n = prefix[-1][0], len(word)
         start, end = _sides(word)
+        letters = sum({1 << ord(c) % 63 for c in word})
+        own = (letters, word if n <= CARRIED else None)
         for _, at in prefix:
             # the bigram belongs to the side that stays
-            yield word_id, _key(0, n, start[at + GRAM]), last, False
-            yield word_id, _key(1, n, end[at]), last, False
+            yield word_id, _key(0, n, start[at + GRAM]), last, False, *own
+            yield word_id, _key(1, n, end[at]), last, False, *own
         for at in pivots:
             for more, side in _LOOKUPS:
-                yield word_id, _key(side, n + more, end[at] if side else start[at + GRAM]), last, True
+                yield word_id, _key(side, n + more, end[at] if side else start[at + GRAM]), last, True, *own
 
     def out(held: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
@@ -170,11 +177,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     counts = {r.gram: r.n for r in found}
     order = {g: i for i, g in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
     keys = save(words.select("id", "word").mapInArrow(
-        _index(order, counts), "id long, key long, last int, pivot boolean"), "spelling-keys")
-    pivots = keys.where("pivot").select("key", F.col("id").alias("p_id"), F.col("last").alias("p_last"))
-    prefixes = keys.where("not pivot").select("key", F.col("id").alias("r_id"), F.col("last").alias("r_last"))
-    met = (pivots.join(prefixes, "key").where("p_last <= r_last and p_id <> r_id")
-           .select(F.least("p_id", "r_id").alias("a"), F.greatest("p_id", "r_id").alias("b")).distinct())
+        _index(order, counts), "id long, key long, last int, pivot boolean, letters long, word string"),
+        "spelling-keys")
+    p, r = keys.where("pivot").alias("p"), keys.where("not pivot").alias("r")
+    met = (p.join(r, (F.col("p.key") == F.col("r.key")) & (F.col("p.last") <= F.col("r.last"))
+                  & (F.col("p.id") != F.col("r.id"))
+                  & (F.bit_count(F.col("p.letters").bitwiseXOR(F.col("r.letters"))) <= 2 * EDITS)
+                  & (F.coalesce(F.levenshtein("p.word", "r.word", EDITS), F.lit(1)) == 1))
+           .select(F.least("p.id", "r.id").alias("a"), F.greatest("p.id", "r.id").alias("b")).distinct())
     side = lambda s: words.select(F.col("id").alias(s), F.col("word").alias(f"word_{s}"),
                                   F.col("n").alias(f"n_{s}"))
     return (met.join(side("a"), "a").join(side("b"), "b")
