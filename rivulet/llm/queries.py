@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import (conversations, decontaminate, packing, pii, resample, sharding, simhash, spelling,
-                         topk, toxicity, urlfilter, warc)
+from rivulet.llm import (conversations, decontaminate, licenses, packing, pii, resample, sharding,
+                         simhash, spelling, topk, toxicity, urlfilter, warc)
 from rivulet.sources.tables import table
 
 
@@ -71,6 +71,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
@@ -78,7 +82,10 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_toxicity, op3_warc, op4_url_filter, op5_sharding, op6_best_fit_packing,
     op7_pii_pseudonyms, op8_simhash_near_dedup, op9_importance_resampling, op10_decontamination,
-    op11_conversation_repair, op13_spelling_variants)}
+    op11_conversation_repair, op12_license_scan, op13_spelling_variants)}
+
+_TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.base}, {list(t.words)}, {t.must})"
+                       for n, t in enumerate(licenses.TEMPLATES))
 
 # What SQL can express, by plain search over all rows; the rest is held
 # against brute force, exact round trips or held-out labels in tests/llm.
@@ -253,5 +260,32 @@ walk AS (
   SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.at WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, w.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
 FROM formed f JOIN walk w ON w.word = f.word JOIN formed e ON e.word = w.at WHERE e.form IS NULL
+""",
+    # every template at every place where its first mandatory word stands
+    "op12_license_scan": r"""
+WITH t(id, label, base, tw, must) AS (VALUES """ + _TEMPLATES + r"""),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+c AS (
+  SELECT r, id, k - must[1] AS start
+  FROM (SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS k FROM d) p JOIN t ON p.w = tw[must[1] + 1]),
+m AS (
+  SELECT c.r, start, label, base, must, len(tw) AS n, list_filter(range(len(tw)), lambda j:
+         start + j >= 0 AND start + j < len(ws) AND ws[greatest(start + j, 0) + 1] = tw[j + 1]) AS hit
+  FROM c JOIN d USING (r) JOIN t USING (id)),
+f AS (
+  SELECT r, start, label, base, len(hit) / n AS share FROM m
+  WHERE list_has_all(hit, must) AND len(hit) / n >= 0.75),
+g AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM f GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN g USING (r)
 """,
 }
