@@ -3,7 +3,9 @@
 Semantics: every key starts in ``Initial``. For each event (in ``seq``
 order) the state moves along its transition; an event without a transition
 raises an alert ``(key, state, event)`` and leaves the state unchanged; a
-move into ``Terminal`` clears the key back to ``Initial``.
+move into ``Terminal`` clears the key back to ``Initial``. A letter that the
+machine does not know has no transition anywhere, so it raises an alert and
+leaves the state as it is; a row whose event is null is no event at all.
 
 Plan. Each event is a function on the (tiny) state set. The state before an
 event is the composition of all earlier event functions of the key applied
@@ -44,8 +46,12 @@ TRANSITIONS = {
 }
 
 
+#: Code of an event that is none of the known ones.
+UNKNOWN = len(EVENT_TYPES)
+
+
 def _tables():
-    ns, ne = len(STATES), len(EVENT_TYPES)
+    ns, ne = len(STATES), UNKNOWN + 1
     step = np.tile(np.arange(ns)[:, None], (1, ne))     # invalid: stay
     valid = np.zeros((ns, ne), dtype=bool)
     for (s, e), t in TRANSITIONS.items():
@@ -122,20 +128,23 @@ def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
                          width: int = DEFAULT_WIDTH) -> DataFrame:
     """Alerts ``(key, seq, state, event)`` for events with no transition.
     ``event`` holds letters ``a``..``g``; ``seq`` is unique per key."""
+    events = events.where(F.col(event).isNotNull())
     letters = F.array(*[F.lit(e) for e in EVENT_TYPES])
-    code = (F.array_position(letters, F.col(event)) - 1).cast("int")
+    at = F.array_position(letters, F.col(event))
+    code = F.when(at > 0, at - 1).otherwise(UNKNOWN).cast("int")
     step = F.array(*[F.lit(int(x)) for x in STEP.ravel()])
-    ne = len(EVENT_TYPES)
+    ne = UNKNOWN + 1
     # the event's function on the state set, one column per start state
     fcols = [F.element_at(step, F.lit(s * ne) + code + 1).alias(f"_f{s}") for s in range(NS)]
     # the key as text, which tells null keys from each other's blocks and
     # compares alike on the JVM and in Python
     named = F.to_json(F.struct(F.col(key)), {"ignoreNullFields": "false"})
-    b = (with_block(events.select(key, seq, code.alias("_code"), *fcols), key, seq, width)
+    b = (with_block(events.select(key, seq, F.col(event).alias("_event"), code.alias("_code"), *fcols),
+                    key, seq, width)
          .withColumn(KEY, named))
     dtypes = dict(b.dtypes)
     func_cols = [f"_f{s}" for s in range(NS)]
-    schema_rows = (f"{key} {dtypes[key]}, {seq} {dtypes[seq]}, _code int, "
+    schema_rows = (f"{key} {dtypes[key]}, {seq} {dtypes[seq]}, _event string, _code int, "
                    + ", ".join(f"_f{s} int" for s in range(NS)) + f", {KEY} string, {BLK} long, "
                    + ", ".join(f"_b{s} int" for s in range(NS)))
     walked = (b.repartition(KEY, BLK).sortWithinPartitions(KEY, BLK, seq)
@@ -161,4 +170,4 @@ def state_machine_alerts(events: DataFrame, key: str, seq: str, event: str,
     alerts = j.where(~F.element_at(valid, F.col("_state") * ne + F.col("_code") + 1))
     names = F.array(*[F.lit(s) for s in STATES])
     return alerts.select(key, seq, F.element_at(names, F.col("_state") + 1).alias("state"),
-                         F.element_at(letters, F.col("_code") + 1).alias("event"))
+                         F.col("_event").alias("event"))

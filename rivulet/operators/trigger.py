@@ -8,7 +8,9 @@ rows at or older than ``evict`` before the firing row are evicted, and the
 kept row with the highest ``speed`` is emitted (the earliest one on ties).
 ``distance`` and ``ts`` must be non-decreasing in ``seq`` within a key
 (cumulative distance, event time); this is checked, inside blocks and from
-one block to the next.
+one block to the next. A row that has no ``seq`` or ``ts``, or whose ``speed``
+or ``distance`` is null or NaN, is no measurement: it neither arms, fires,
+wins nor breaks the order.
 
 Plan - no key is ever processed whole by one task:
 
@@ -107,11 +109,18 @@ def _check_monotone(g: pd.DataFrame) -> None:
         raise ValueError(_NOT_MONOTONE)
 
 
+def measured(df: DataFrame, seq: str, ts: str, speed: str, distance: str) -> DataFrame:
+    """The rows that are measurements."""
+    real = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (speed, distance)]
+    return df.where(F.col(seq).isNotNull() & F.col(ts).isNotNull() & real[0] & real[1])
+
+
 def delta_trigger_top(df: DataFrame, key: str, ts: str, seq: str, speed: str,
                       distance: str, threshold: float, evict: str,
                       width: int = DEFAULT_WIDTH) -> DataFrame:
     """Return ``(key, fire_seq, seq, speed, distance, ts)`` per firing. The
     key may be null or of any simple type."""
+    df = measured(df, seq, ts, speed, distance)
     ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
     span = F.expr(f"timestampdiff(MICROSECOND, `{ts}` - INTERVAL {evict}, `{ts}`)")
     rows = df.select(

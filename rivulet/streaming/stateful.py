@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rivulet.functions.codecs import EVENT_TYPES
-from rivulet.operators.statemachine import STATES, STEP, VALID, segmented_compose
+from rivulet.operators.statemachine import STATES, STEP, UNKNOWN, VALID, segmented_compose
+from rivulet.operators.trigger import measured
 
 
 def _micros(span: int | str) -> int:
@@ -34,22 +35,28 @@ def _sum_type(stream: DataFrame, value: str) -> tuple[str, str, type]:
     return ("long", "int64", int) if whole else ("double", "float64", float)
 
 
+def _without_nulls(stream: DataFrame, value: str, kind: str) -> DataFrame:
+    """Nulls as zeros: in pandas they would turn integers into fractions."""
+    return stream.withColumn(value, F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind)))
+
+
 def running_totals(stream: DataFrame, key: str, seq: str, value: str,
                    out: str = "running") -> DataFrame:
     """One output row per input row: the key's running sum of ``value``
-    across all micro-batches so far (a long for integers, else a double)."""
+    across all micro-batches so far (a long for integers, else a double).
+    A null adds nothing, as in the batch form."""
     kt = dict(stream.dtypes)[key]
     st = dict(stream.dtypes)[seq]
     kind, number, py = _sum_type(stream, value)
+    stream = _without_nulls(stream, value, kind)
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         total = state.get[0] if state.exists else 0
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        sums = total + pdf[value].astype(number).cumsum()
+        sums = total + pdf[value].to_numpy(number).cumsum()
         if len(sums):
-            state.update((py(sums.iloc[-1]),))
-        yield pd.DataFrame({key: pdf[key].to_numpy(), seq: pdf[seq].to_numpy(),
-                            out: sums.to_numpy()})
+            state.update((py(sums[-1]),))
+        yield pd.DataFrame({key: pdf[key].to_numpy(), seq: pdf[seq].to_numpy(), out: sums})
 
     return stream.groupBy(key).applyInPandasWithState(
         fn, f"{key} {kt}, {seq} {st}, {out} {kind}", f"total {kind}", "append",
@@ -58,15 +65,17 @@ def running_totals(stream: DataFrame, key: str, seq: str, value: str,
 
 def state_machine_alerts(stream: DataFrame, key: str, seq: str, event: str) -> DataFrame:
     """Alerts ``(key, seq, state, event)`` of the per-key state machine;
-    the state index (Initial = 0) is the key's stream state."""
+    the state index (Initial = 0) is the key's stream state. Null events are
+    no events and unknown letters raise an alert, as in the batch form."""
     kt = dict(stream.dtypes)[key]
     st = dict(stream.dtypes)[seq]
+    stream = stream.where(F.col(event).isNotNull())
     codes = {e: i for i, e in enumerate(EVENT_TYPES)}
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         cur = state.get[0] if state.exists else 0
         pdf = pd.concat(list(pdfs)).sort_values(seq)
-        code = pdf[event].map(codes).to_numpy(np.intp)
+        code = pdf[event].map(codes).fillna(UNKNOWN).to_numpy(np.intp)
         # the batch scan: after[i, s] is the state after row i from state s
         after = segmented_compose(STEP.T[code], np.arange(len(code)) == 0)[:, cur]
         before = np.concatenate([[cur], after[:-1]])
@@ -84,9 +93,11 @@ def count_window_sums(stream: DataFrame, key: str, seq: str, value: str, size: i
                       out: str = "window_sum") -> DataFrame:
     """Sliding count window per key: at every ``slide``-th row of a key,
     the sum of its last ``size`` rows. State: the key's row count and its
-    last ``size - 1`` values (bounded by the window, not by the key)."""
+    last ``size - 1`` values (bounded by the window, not by the key). A null
+    is a row of its window that adds nothing, as in the batch form."""
     kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
     kind, number, py = _sum_type(stream, value)
+    stream = _without_nulls(stream, value, kind)
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         n, tail = (state.get[0], list(state.get[1])) if state.exists else (0, [])
@@ -194,9 +205,12 @@ def delta_trigger_top(stream: DataFrame, key: str, seq: str, ts: str, speed: str
     """Delta trigger + time evictor + argmax per key on a stream. State:
     armed flag, distance of the last firing, and the monotonic deque of
     candidate rows inside the eviction span (bounded by that span).
-    ``evict`` is microseconds or interval text such as ``"10 seconds"``."""
+    ``evict`` is microseconds or interval text such as ``"10 seconds"``.
+    Rows without a seq, ts, speed or distance take no part, as in the batch
+    form."""
     evict_us = _micros(evict)
     kt, st = dict(stream.dtypes)[key], dict(stream.dtypes)[seq]
+    stream = measured(stream, seq, ts, speed, distance)
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.exists:
