@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # availableNow with a Python stream source: run batches until nothing is
+    # left, the one that closes windows included, instead of a single one
+    "spark.sql.streaming.triggerAvailableNowWrapper.enabled": "true",
     # loops checkpoint every step: delete a step's files with its last reference
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
