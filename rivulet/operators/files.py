@@ -12,7 +12,9 @@ makes the retry safe.
 from __future__ import annotations
 
 import os
+import re
 import shutil
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +30,27 @@ def relative_to(path: Column | str, root: str) -> Column:
         F.raise_error(F.concat(F.lit(f"not below {root}: "), p)).cast("string"))
 
 
-def manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+def manifest(spark: SparkSession, root: str, glob: str | None = None, content: bool = False) -> DataFrame:
     """``(path, relative_path, length)`` of every file below ``root``, a
-    folder of any file system Spark reads (recursive; folders are not rows)."""
+    folder of any file system Spark reads (recursive; folders are not rows).
+    With ``content`` the bytes as well, for a copy from a store that only
+    Spark can open (files of up to 2 GB)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select("path", "length")
+    loaded = reader.load(root)
+    # scans leave out files without a byte; Spark's listing, which it holds on
+    # the driver in any case, has them
+    paths = [re.sub("^([a-zA-Z][^:/]*):///", r"\1:/", unquote(p)) for p in loaded.inputFiles()]
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    filled = {"length": F.lit(0).cast("long")} | ({"content": F.lit(b"")} if content else {})
+    more = ["content"] if content else []
+    files = listed.join(loaded.select("path", *filled), "path", "left").select(
+        "path", *[F.coalesce(c, empty).alias(c) for c, empty in filled.items()])
     # the root with the scheme and authority that the listed paths carry
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
     full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
-    return files.select("path", relative_to("path", full).alias("relative_path"), "length")
+    return files.select("path", relative_to("path", full).alias("relative_path"), "length", *more)
 
 
 def _local(path: str) -> str:

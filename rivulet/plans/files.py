@@ -2,26 +2,53 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import functions as F
 
 from rivulet.operators.enrich import async_enrich, modulo_key
-from rivulet.operators.files import copy_totals, relative_to
+from rivulet.operators.files import copy_totals, manifest
 from rivulet.plans.catalog import query
+from rivulet.session import checkpoint_dir
+from rivulet.sinks.ledger import copy_committed
 from rivulet.sources.tables import table
 
 
 @query("copy_counters", sql="""
-SELECT host, count(*) AS files_copied, CAST(sum(bytes) AS BIGINT) AS bytes_copied
-FROM (SELECT regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS host,
-             octet_length(encode(html)) AS bytes FROM pages)
-GROUP BY host
+WITH n AS (SELECT greatest(1, CAST(ceil(sqrt(count(*))) AS BIGINT)) AS n FROM pages)
+SELECT page_id % n AS folder, 1::BIGINT AS files_copied,
+       CAST(sum(octet_length(encode(coalesce(html, ''))) + 1) AS BIGINT) AS bytes_copied
+FROM pages, n GROUP BY 1
 """)
 def copy_counters(spark, sf):
-    """Files and bytes per top folder, with pages as the files of a copy."""
+    """The pages written as one text file per folder, as many folders as the
+    root of their number; the files copied, and counted by the copy."""
+    pages = table(spark, sf, "pages")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rivulet-copy/{uuid.uuid4().hex}"
+    folders = max(1, math.ceil(math.sqrt(pages.count())))
+    (pages.select(F.pmod("page_id", F.lit(folders)).alias("folder"), F.coalesce("html", F.lit("")).alias("value"))
+     .repartition("folder").write.partitionBy("folder").text(f"{root}/from"))
+    copied = copy_committed(manifest(spark, f"{root}/from", "*.txt"), f"{root}/to")
+    folder = F.regexp_extract("relative_path", "^folder=([0-9]+)/", 1).cast("long")
+    return copy_totals(copied.withColumn("folder", folder), "folder")
+
+
+@query("file_manifest", sql="""
+WITH n AS (SELECT greatest(1, CAST(ceil(sqrt(count(*))) AS BIGINT)) AS n FROM pages),
+b AS (SELECT page_id % n AS f, sum(octet_length(encode(coalesce(html, ''))) + 1) AS length FROM pages, n GROUP BY 1)
+SELECT 'level=' || (f % 3) || '/folder=' || f AS folder, CAST(length AS BIGINT) AS length FROM b
+""")
+def file_manifest(spark, sf):
+    """A recursive listing of written folders, two levels deep."""
     pages = table(spark, sf, "pages")
-    rel = relative_to(F.regexp_replace("url", "^[a-z]+://", "store:/"), "store:/")
-    copied = pages.select(F.split(rel, "/")[0].alias("host"), F.octet_length("html").alias("bytes"))
-    return copy_totals(copied, "host")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rivulet-copy/{uuid.uuid4().hex}"
+    folders = max(1, math.ceil(math.sqrt(pages.count())))
+    (pages.select(F.pmod("page_id", F.lit(folders)).alias("folder"), F.coalesce("html", F.lit("")).alias("value"))
+     .withColumn("level", F.col("folder") % 3)
+     .repartition("folder").write.partitionBy("level", "folder").text(root))
+    return manifest(spark, root, "*.txt").select(
+        F.regexp_replace("relative_path", "/[^/]*$", "").alias("folder"), "length")
 
 
 @query("async_enrich", sql="""
