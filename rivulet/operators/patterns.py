@@ -14,18 +14,25 @@ from rivulet.operators.sequence import BLK, DEFAULT_WIDTH, KEY, neighbour, prefi
 
 def followed_by(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str,
                 first: Column, then: Column, within: str, carry: Sequence[str],
-                width: int = DEFAULT_WIDTH, at: Column | None = None) -> DataFrame:
+                width: int = DEFAULT_WIDTH, at: Column | None = None, exclusive: bool = False) -> DataFrame:
     """Pattern ``(A B)`` with strict adjacency: an A row whose very next
     row of the same key is a B row, less than ``within`` later. Returns the
     A rows plus ``next_<c>`` for each ``carry`` column of the B row.
     Matches do not overlap: the scan goes on after the B row, so of rows
-    that are A and B at once every other one starts a match."""
+    that are A and B at once every other one starts a match. ``exclusive``
+    says that no row is both, which saves looking for such chains; a row that
+    is both then fails the query."""
     ks = [keys] if isinstance(keys, str) else list(keys)
     flagged = df.withColumn("_a", first).withColumn("_b", then)
+    if exclusive:
+        flagged = flagged.withColumn("_b", F.when(F.col("_a") & F.col("_b"), F.raise_error(
+            F.lit("a row is A and B of an exclusive pattern")).cast("boolean")).otherwise(F.col("_b")))
     cols = list(dict.fromkeys([ts, seq, "_a", "_b", *carry]))
     nb = neighbour(flagged, ks, seq, cols, "next", "_n", width, at)
     hits = nb.where(F.col("_a") & F.col("_n._b") &
                     (F.col(f"_n.{ts}") < F.col(ts) + F.expr(f"INTERVAL {within}")))
+    if exclusive:
+        return _with_next(hits, carry)
     # a match can only meet another one through a row that is both A and B
     linked = F.coalesce(F.col("_b"), F.lit(False)) | F.coalesce(F.col("_n._a"), F.lit(False))
     alone = hits.where(~linked)
@@ -39,14 +46,17 @@ def followed_by(df: DataFrame, keys: str | Sequence[str], seq: str, ts: str,
     every_other = numbered.join(firsts, (F.struct(*[numbered[k] for k in ks]) == firsts["_ck"])
                                 & (numbered["_chain"] == firsts["_cc"])) \
         .where((F.col("_rn") - F.col("_from")) % 2 == 0)
-    out = alone.unionByName(every_other.select(*alone.columns))
+    return _with_next(alone.unionByName(every_other.select(*alone.columns)), carry)
+
+
+def _with_next(hits: DataFrame, carry: Sequence[str]) -> DataFrame:
     for c in carry:
-        out = out.withColumn(f"next_{c}", F.col(f"_n.{c}"))
-    return out.drop("_a", "_b", "_n")
+        hits = hits.withColumn(f"next_{c}", F.col(f"_n.{c}"))
+    return hits.drop("_a", "_b", "_n")
 
 
 def followed_by_in_time(df: DataFrame, ts: str, tie: str, first: Column, then: Column, within: str,
-                        carry: Sequence[str], block_seconds: int = 3600) -> DataFrame:
+                        carry: Sequence[str], block_seconds: int = 3600, exclusive: bool = False) -> DataFrame:
     """Pattern ``(A B)`` over all rows in order of ``ts`` (``tie`` orders
     equal times). Time is cut into blocks that are ordered in parallel; only
     the first row of each block crosses them. Rows without a time take no
@@ -54,7 +64,7 @@ def followed_by_in_time(df: DataFrame, ts: str, tie: str, first: Column, then: C
     timed = df.where(F.col(ts).isNotNull()).withColumn("_all", F.lit(0)) \
         .withColumn("_at", F.struct(ts, tie))
     out = followed_by(timed, "_all", "_at", ts, first, then, within, carry,
-                      block_seconds * 1_000_000, at=micros(timed, ts))
+                      block_seconds * 1_000_000, at=micros(timed, ts), exclusive=exclusive)
     return out.drop("_all", "_at")
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import is_blank, nonword_tokens
@@ -106,6 +106,15 @@ def blank_counts(df: DataFrame, cols: Sequence[str], prefix: str = "blank_") ->
     return df.agg(*[F.sum(is_blank(c).cast("long")).alias(f"{prefix}{c}") for c in cols])
 
 
+def observed_blanks(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``df`` with in-flight counters: when an action has run over the result,
+    the observation holds ``rows`` and ``blanks``, a vector of the blank
+    values per column, counted in that action's own pass."""
+    seen = Observation()
+    blanks = F.array(*[F.coalesce(F.sum(is_blank(c).cast("long")), F.lit(0)) for c in cols])
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), blanks.alias("blanks")), seen
+
+
 def word_count(lines: DataFrame, text: str = "line") -> DataFrame:
     """Lower-case, split on non-word runs, drop empties, count per word.
     The count is a partial (map-side) aggregate, so hot words never meet

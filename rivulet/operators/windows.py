@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,8 +144,28 @@ def window_apply(df: DataFrame, ts: str, size: str, keys: Sequence[str], fn, sch
     of each (keys, window) group (``window_start``/``window_end`` columns
     are added before the call). Use only when no aggregate expresses the
     function: a group is materialised in one Python worker, so its size is
-    that of one key's window."""
+    that of one key's window (see :func:`window_apply_parts`)."""
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
     framed = (df.withColumn("_w", w).withColumn("window_start", F.col("_w.start"))
               .withColumn("window_end", F.col("_w.end")).drop("_w"))
     return framed.groupBy(*keys, "window_start", "window_end").applyInPandas(fn, schema)
+
+
+def window_apply_parts(df: DataFrame, ts: str, size: str, keys: Sequence[str], part, part_schema: str,
+                       merge, schema: str, slide: str | None = None) -> DataFrame:
+    """:func:`window_apply` for a function that can be merged, for windows of
+    any size: ``part(pandas.DataFrame)`` is run on the rows that a (key,
+    window) has in one Arrow batch, before any shuffle, and ``merge`` on the
+    results of all its batches. Both see and return ``keys`` and
+    ``window_start``; ``part_schema`` is what ``part`` returns."""
+    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    framed = df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")).drop("_w")
+    by = [*keys, "window_start"]
+
+    def parts(batches):
+        for pdf in batches:
+            found = [part(g) for _, g in pdf.groupby(by, dropna=False, sort=False)]
+            if found:
+                yield pd.concat(found)
+
+    return framed.mapInPandas(parts, part_schema).groupBy(*by).applyInPandas(merge, schema)

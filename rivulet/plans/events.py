@@ -158,7 +158,7 @@ WHERE event_type = 'click' AND nt = 'purchase' AND nts < ts + INTERVAL 1 HOUR
 def pattern_ab(spark, sf):
     ev = _events(spark, sf).select("user_id", "event_id", "ts", "value", "event_type")
     m = P.followed_by(ev, "user_id", "event_id", "ts", F.col("event_type") == "click",
-                      F.col("event_type") == "purchase", "1 hour", ["event_id"])
+                      F.col("event_type") == "purchase", "1 hour", ["event_id"], exclusive=True)
     return m.select("user_id", "event_id", "ts", "value", "next_event_id")
 
 
@@ -312,13 +312,18 @@ SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS
 FROM events GROUP BY 1, 2
 """)
 def window_contents(spark, sf):
-    """A function of a window's whole contents."""
-    def spread(rows):
+    """A function of a window's whole contents, merged from its parts."""
+    def part(rows):
         return rows.iloc[:1][["event_type", "window_start"]].assign(
-            n=len(rows), spread=rows["value"].max() - rows["value"].min())
+            n=len(rows), low=rows["value"].min(), high=rows["value"].max())
+
+    def merge(parts):
+        return parts.iloc[:1][["event_type", "window_start"]].assign(
+            n=parts["n"].sum(), spread=parts["high"].max() - parts["low"].min())
     ev = _events(spark, sf).select("event_type", "ts", "value")
-    return W.window_apply(ev, "ts", "1 day", ["event_type"], spread,
-                          "event_type string, window_start timestamp_ntz, n long, spread double")
+    frame = "event_type string, window_start timestamp_ntz, n long"
+    return W.window_apply_parts(ev, "ts", "1 day", ["event_type"], part, f"{frame}, low double, high double",
+                                merge, f"{frame}, spread double")
 
 
 @query("split_select", sql="""
@@ -387,7 +392,8 @@ def pattern_global(spark, sf):
     ev = _events(spark, sf).select("event_id", "event_type", "ts", cents().alias("cents"))
     totals = W.running_sum(ev, "event_type", "event_id", "cents", "total").drop("cents")
     hits = P.followed_by_in_time(totals, "ts", "event_id", F.col("event_type") == "click",
-                                 F.col("event_type") == "purchase", "1 hour", ["event_id", "total"])
+                                 F.col("event_type") == "purchase", "1 hour", ["event_id", "total"],
+                                 exclusive=True)
     return hits.select("event_id", "total", "next_event_id", "next_total")
 
 

@@ -58,3 +58,19 @@ def async_enrich_q(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id")
     enriched = async_enrich(ev, "user_id", modulo_key, "key", capacity=20, timeout_s=10.0)
     return enriched.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("async_enrich_failures", sql="""
+SELECT CASE WHEN user_id % 1000 <> 7 THEN 'key-' || CAST(user_id % 10 AS VARCHAR) END AS key,
+       CASE WHEN user_id % 1000 = 7 THEN 'no answer' END AS error, count(*) AS n
+FROM events GROUP BY 1, 2
+""")
+def async_enrich_failures(spark, sf):
+    """Unordered lookups by a service that fails for a share of its calls."""
+    def service(n):
+        if n % 1000 == 7:
+            raise RuntimeError("no answer")
+        return modulo_key(n)
+    ev = table(spark, sf, "events").select("event_id", "user_id")
+    enriched = async_enrich(ev, "user_id", service, "key", capacity=20, ordered=False, errors="column")
+    return enriched.groupBy("key", F.col("key_error").alias("error")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rivulet.functions.codecs import int_to_ipv4
 from rivulet.functions.text import delimiter_tokens, whitespace_tokens
 from rivulet.operators import relational as R
 from rivulet.plans.catalog import query
+from rivulet.session import checkpoint_dir
 from rivulet.sources.tables import table
 
 
@@ -98,6 +101,24 @@ def empty_field_counts(spark, sf):
     return R.blank_counts(_triples(spark, sf), ["f0", "f1", "f2"])
 
 
+@query("empty_fields_in_flight", sql=_TRIPLES_SQL + f"""
+SELECT count(*) AS n_rows, count(*) FILTER (NOT {_blank_sql('f0')} AND NOT {_blank_sql('f1')} AND NOT {_blank_sql('f2')}) AS n_kept,
+       count(*) FILTER ({_blank_sql('f0')}) AS blank_f0, count(*) FILTER ({_blank_sql('f1')}) AS blank_f1,
+       count(*) FILTER ({_blank_sql('f2')}) AS blank_f2
+FROM t
+""")
+def empty_fields_in_flight(spark, sf):
+    """Counters that are taken while the kept rows are written."""
+    cols = ["f0", "f1", "f2"]
+    watched, seen = R.observed_blanks(_triples(spark, sf), cols)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rivulet-kept/{uuid.uuid4().hex}"
+    R.rows_without_blanks(watched, cols).write.parquet(path)
+    counted = seen.get
+    return spark.read.parquet(path).agg(
+        F.lit(counted["rows"]).cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_kept"),
+        *[F.lit(n).cast("long").alias(f"blank_{c}") for c, n in zip(cols, counted["blanks"])])
+
+
 @query("word_count", sql="""
 SELECT word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\W+')) AS word FROM documents)
