@@ -3,20 +3,24 @@
 Two generative models count word unigrams and bigrams hashed into
 ``BUCKETS``: one of the target (documents labelled good), one of the raw text
 (all documents). A document's log importance weight is the sum over its
-n-grams of log(target / raw); adding Gumbel noise and keeping the largest
-keys samples documents without replacement in proportion to their weights.
+n-grams of log(target / raw). As such sums grow with the length, by hundreds
+from text to text, standard noise would change nothing and the longest texts
+would be first; so the weight that is drawn by is that of ``LENGTH`` n-grams of
+the document: the mean log ratio times ``LENGTH``, the inverse temperature.
+Adding Gumbel noise and keeping the largest keys samples documents without
+replacement in proportion to the exponential of it.
 
 Scale. The raw model counts all documents: each task adds up one vector of
 BUCKETS counts and emits it once. The target model is fitted on at most
 ``max_rows`` labelled documents (those whose ids hash lowest; the bound of
-the classifier, not of the data), whose ids are broadcast to find their
-texts. Both models are BUCKETS numbers. The k-th largest key is found by
+the classifier, not of the data; of an id with several texts the one that
+hashes lowest), whose ids are broadcast to find their texts. Both models are BUCKETS numbers. The k-th largest key is found by
 narrowing histograms of the keys; no global sort, no collect of keys beyond
 ``EXACT``.
 
 Noise is a hash of id, text and seed: runs and retries agree.
 
-Defined results. Null and empty texts have weight 0. Rows with equal id and
+Defined results. Null and empty texts have weight and mean 0. Rows with equal id and
 text get equal keys; rows that tie with the last place are all selected, so
 more than k can be. Null ids are scored like any other and never belong to
 the target. Without target documents all weights are 0.
@@ -37,6 +41,7 @@ from rivulet.llm.common import bound_batches, save
 
 BUCKETS = 10_000
 MAX_ROWS = 20_000
+LENGTH = 64  # n-grams
 EXACT = 4096
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CACHE = 400_000
@@ -88,13 +93,25 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def weight_column(text: Column, ratios: np.ndarray) -> Column:
-    @F.pandas_udf("double")
-    def weight(texts: pd.Series) -> pd.Series:
-        hashes = _Hashes()
-        return pd.Series([float(ratios[ngrams(t, hashes)].sum()) for t in texts], dtype="float64")
+    """log_weight and n_ngrams of a text."""
+    @F.pandas_udf("log_weight double, n_ngrams long")
+    def weight(texts: pd.Series) -> pd.DataFrame:
+        hashes, sums, sizes = _Hashes(), [], []
+        for t in texts:
+            at = ngrams(t, hashes)
+            sums.append(float(ratios[at].sum()))
+            sizes.append(len(at))
+        return pd.DataFrame({"log_weight": np.array(sums, np.float64), "n_ngrams": np.array(sizes, np.int64)})
     return weight(text)
 
 
+def one_text(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and text of the ``ids`` in ``docs``: one row each, the text whose
+    hash is least, so that a bound on ids is one on rows."""
+    found = docs.join(F.broadcast(ids), "id", "left_semi")
+    return found.groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def gumbel(seed: int, *parts: Column) -> Column:
     """Standard Gumbel noise from a hash."""
     h = F.xxhash64(F.lit(seed), *parts)
@@ -138,17 +155,18 @@ def good_share(labels: DataFrame, label: str = "quality") -> float:
 def resample(docs: DataFrame, labels: DataFrame, keep: float, doc_id: str = "doc_id",
              text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS,
              seed: int = 42) -> DataFrame:
-    """doc_id, log_weight, key, selected for every row: the ``keep`` share of
-    rows (rounded up) with the largest keys is selected."""
+    """doc_id, log_weight, n_ngrams, key, selected for every row: the ``keep``
+    share of rows (rounded up) with the largest keys is selected."""
     good = (labels.select(F.col(doc_id).alias("id"), F.col(label).alias("y"))
             .where("id is not null and y = 1").select("id").distinct()
             .orderBy(F.xxhash64("id"), "id").limit(max_rows))
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    target = save(own.join(F.broadcast(good), "id", "left_semi"), "resample-target")
+    target = save(one_text(own, good), "resample-target")
     ratios = log_ratios(counts(target), counts(own))
     scored = save(own.select(
-        F.col("id").alias("doc_id"), weight_column(F.col("text"), ratios).alias("log_weight"),
+        F.col("id").alias("doc_id"), weight_column(F.col("text"), ratios).alias("w"),
         gumbel(seed, F.col("id"), F.col("text")).alias("noise")), "resample-scored")
-    scored = scored.select("doc_id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("key"))
+    mean = F.col("w.log_weight") / F.greatest(F.col("w.n_ngrams"), F.lit(1))
+    scored = scored.select("doc_id", "w.*", (mean * LENGTH + F.col("noise")).alias("key"))
     least = kth_largest(scored, "key", math.ceil(keep * scored.count()))
     return scored.withColumn("selected", F.lit(False) if least is None else F.col("key") >= least)

@@ -211,8 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
               .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top")
               .orderBy(F.xxhash64("id"), "id").limit(max_rows)
               .select("id", "y", _remainder(F.col("id")).alias("fold")))
+    # one text per id, the one whose hash is least: the bound holds for rows
     rows = save(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-                .join(F.broadcast(chosen), "id"), "toxicity-rows")
+                .join(F.broadcast(chosen), "id").groupBy("id", "y", "fold")
+                .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "toxicity-rows")
 
     seen = rows.where("fold = 1").select("y", F.explode(F.array_distinct(F.transform(
         F.split(F.lower(F.col("text")), r"\s+"),

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -22,10 +23,15 @@ def brute_buckets(text):
 
 def brute(docs, good):
     raw, target = np.zeros(resample.BUCKETS), np.zeros(resample.BUCKETS)
-    for i, t in docs:
+    for _, t in docs:
         for b in brute_buckets(t):
             raw[b] += 1
-            target[b] += i in good
+
+    def order(t):
+        return (42 if t is None else np.uint64(xxhash.xxh64_intdigest(t, 42)).astype(np.int64), t is not None, t or "")
+    for i in good:  # an id stands for one text, the one whose hash is least
+        for b in brute_buckets(min((t for j, t in docs if j == i), key=order, default="")):
+            target[b] += 1
     if not target.sum():
         return [0.0] * len(docs)
     r = (np.log((target + 1) / (target.sum() + len(target))) - np.log((raw + 1) / (raw.sum() + len(raw))))
@@ -80,3 +86,43 @@ def test_query_prefers_good_documents(spark):
         out.join(labels, "doc_id").where("selected").groupBy("quality").count(), "quality")
         .selectExpr("quality", "count / `count(1)` as s").collect()}
     assert share[1] > 0.95 and share.get(0, 0) < 0.2
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_held_out_documents_and_a_draw_that_counts(spark):
+    """Labels the target was not fitted on; and some documents are taken or
+    left by the noise alone."""
+    out = op9_importance_resampling(spark, SF01).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF01}/labels.parquet").collect() if held_out(r.doc_id)}
+    good = [r.selected for r in out if labels.get(r.doc_id) == 1]
+    bad = [r.selected for r in out if labels.get(r.doc_id) == 0]
+    assert len(good) > 40 and sum(good) / len(good) > 0.9
+    assert bad and sum(bad) / len(bad) < 0.35
+    mean = {r.doc_id: r.log_weight / max(r.n_ngrams, 1) for r in out}
+    k = sum(r.selected for r in out)
+    plain = set(sorted(mean, key=mean.get, reverse=True)[:k])
+    changed = {r.doc_id for r in out if r.selected} ^ plain
+    assert 0 < len(changed) < 0.2 * len(out)
+
+
+def test_the_bound_on_labelled_rows_is_one_on_rows(spark):
+    """An id with many rows gives one text, whatever order they come in."""
+    docs = [(1, f"text {i % 7}") for i in range(50)] + [(2, "two"), (3, None), (None, "x")]
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    one = {tuple(r) for n in (1, 4) for r in resample.one_text(
+        spark.createDataFrame(docs, "id long, text string").repartition(n), ids).collect()}
+    assert sorted(r[0] for r in one) == [1, 2, 3] and dict(one)[1].startswith("text") and dict(one)[3] is None
+
+
+def test_length_does_not_rank(spark):
+    """A text said twice over has the same key but for the noise."""
+    rnd = random.Random(1)
+    once = [" ".join(rnd.choice(["good", "fine", "text", "###", "buy"]) for _ in range(30)) for _ in range(40)]
+    docs = [(i, t) for i, t in enumerate(once)] + [(100 + i, f"{t} {t} {t} {t}") for i, t in enumerate(once)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(t.count("good") > 6), 0) for i, t in docs[:40]], "doc_id long, quality int, toxic int")
+    mean = {r.doc_id: r.log_weight / r.n_ngrams for r in resample.resample(d, lab, 0.5).collect()}
+    assert max(abs(mean[i] - mean[100 + i]) for i in range(40)) < 0.15 * (max(mean.values()) - min(mean.values()))

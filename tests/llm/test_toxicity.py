@@ -2,6 +2,8 @@
 calibration and odd rows."""
 
 import random
+import re
+import string
 import zlib
 
 import numpy as np
@@ -111,3 +113,69 @@ def test_query_on_held_out_labels(spark):
     auc = (rank[m.toxic == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(m) - n1))
     assert auc > 0.85
     assert (m.predicted == m.toxic).mean() > 0.85
+
+
+def plain_features(text, learned):
+    """The features spelled out token by token."""
+    tokens = (text or "").split()
+    if not tokens:
+        return [0.0] * len(toxicity.FEATURES)
+    marks = set(string.punctuation)
+    insult, hidden, weights, you = [], [], [], []
+    letters = capitals = shouted = exclaims = questions = punctuation = mixed = stretched = digits = 0
+    for token in tokens:
+        low = token.lower()
+        core = low.strip(string.punctuation)
+        shorter = re.sub(r"(.)\1{2,}", r"\1", low.translate(str.maketrans("0134578@$!|", "oieastbasii"))) \
+            .strip("".join(marks - {"@", "$"}))
+        plain = core in toxicity.INSULTS
+        looks = (not plain and len(core) > 2
+                 and (not core.isalpha() or re.search(r"(.)\1{2,}", core) or low != core))
+        starred = {w[:i] + "*" + w[i + 1:] for w in toxicity.INSULTS if len(w) > 3 for i in range(1, len(w))}
+        sly = bool(looks and (shorter in toxicity.INSULTS or low.strip("".join(marks - {"@", "$", "*"})) in starred
+                              or re.sub(r"(.)\1{2,}", r"\1\1", core) in toxicity.INSULTS
+                              or low.replace(".", "").replace("-", "") in toxicity.INSULTS))
+        insult.append(plain or sly)
+        hidden.append(sly)
+        weights.append(learned.get(core) or learned.get(shorter if looks else core, 0.0))
+        you.append(core in toxicity.YOU)
+        here = sum(c.isalpha() for c in token)
+        letters += here
+        big = sum(c.isupper() for c in token)
+        capitals += big
+        shouted += here > 1 and big == here
+        exclaims += token.count("!")
+        questions += token.count("?")
+        punctuation += sum(c in marks for c in token)
+        mixed += not core.isalpha() and bool(re.search(r"[^\W\d_][\d@$!*|#]+[^\W\d_]", low))
+        stretched += bool(re.search(r"(.)\1{2,}", core))
+        digits += sum(c.isdigit() for c in token)
+    gaps = [min(abs(i - j) for j, y in enumerate(you) if y) for i, x in enumerate(insult) if x and any(you)]
+    n, chars = len(tokens), max(sum(map(len, tokens)), 1)
+    return [np.log1p(n), sum(insult) / n, np.log1p(sum(insult)), sum(weights) / n, max(weights), sum(hidden) / n,
+            sum(g <= toxicity.NEAR for g in gaps) / n, max((1 / (1 + g) for g in gaps), default=0.0), sum(you) / n,
+            capitals / max(letters, 1), shouted / n, exclaims / n, questions / n, punctuation / chars, mixed / n,
+            stretched / n, digits / chars]
+
+
+def test_features_of_the_table_by_plain_loops(spark):
+    from conftest import SF001
+    texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    texts += ["You 1D10T!! s.t.u.p.i.d st*pid $tupiiid a1b2 IDIOT x you're", "ÉÉÉ !!! ???", None, "", "wooorthless W0RTHLESS"]
+    learned = {"the": 1.75, "worthless": 2.5, "idiot": 3.25}
+    got = toxicity.features(texts, learned)
+    want = np.array([plain_features(t, learned) for t in texts])
+    assert want.any(0).sum() >= 15
+    np.testing.assert_allclose(got, want, rtol=1e-5, atol=1e-7)
+
+
+def test_an_id_trains_with_one_row(spark):
+    """A labelled id that holds a third of the rows: the same model as with
+    one row of its text that hashes least."""
+    docs, labels = corpus(400)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    hot = next(i for i, _, y in labels if y and not held_out(i))
+    many = spark.createDataFrame(docs + [docs[hot]] * 200, "doc_id long, text string")
+    one = spark.createDataFrame(docs, "doc_id long, text string")
+    score = lambda d: {r.doc_id: r.score for r in toxicity.report(d, lab).collect()}
+    assert score(many) == score(one)
