@@ -19,8 +19,9 @@ Scale. Equal fingerprints are collapsed first, so groups of copies cost one
 row. Members of an anchor meet in a sorted partition that is streamed, anchor
 by anchor. Per anchor only links that merge two of its groups are emitted, a
 spanning forest instead of all pairs. An anchor that is home to more than
-``HOME_BLOCK`` fingerprints is split: its members are copied to several tasks
-of which each compares one block of the home members. With N distinct
+``HOME_BLOCK`` fingerprints or has more than ``MEMBER_BLOCK`` members is split
+both ways: a task gets one block of its home members and one of all members,
+so none holds more than these two, and every pair meets in one task. With N distinct
 fingerprints the anchors see about N * N * 3.3e-4 comparisons of two longs;
 larger codes (``code_bits``) trade copies for comparisons.
 
@@ -50,6 +51,7 @@ MAX_BITS = 4
 SEED = 42
 PARTS = ((0, 21), (21, 21), (42, 22))  # (first bit, bits)
 HOME_BLOCK = 4096
+MEMBER_BLOCK = 65_536
 _BITS_CHUNK = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -134,14 +136,6 @@ def _key(k: int, anchor: np.ndarray) -> np.ndarray:
     return anchor * len(PARTS) + k
 
 
-def _homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    codes = _codes()
-    for b in batches:
-        fp = b["fp"].to_numpy(np.int64)
-        yield pd.DataFrame({"anchor": np.concatenate(
-            [_key(k, c.home(_part(fp, k))) for k, c in enumerate(codes)])})
-
-
 def _replicas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     codes = _codes()
     for b in batches:
@@ -150,7 +144,8 @@ def _replicas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = _part(fp, k)
             masks = c.patterns[c.syndrome(x)]
             rows, cols = np.nonzero(masks >= 0)
-            yield pd.DataFrame({"anchor": _key(k, x[rows] ^ masks[rows, cols]), "fp": fp[rows]})
+            anchor = x[rows] ^ masks[rows, cols]
+            yield pd.DataFrame({"anchor": _key(k, anchor), "fp": fp[rows], "home": anchor == c.home(x)[rows]})
 
 
 def _forest(fps: np.ndarray, homes: np.ndarray, max_bits: int):
@@ -173,20 +168,17 @@ def _forest(fps: np.ndarray, homes: np.ndarray, max_bits: int):
 
 def _links_of(max_bits: int):
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes = _codes()
-
-        def anchor_links(anchor: int, block: int, blocks: int, fps: np.ndarray):
-            k = anchor % len(PARTS)
-            fps = np.unique(fps)  # sorted: copies of a row after a retry, too
-            home = np.flatnonzero(_key(k, codes[k].home(_part(fps.view(np.int64), k))) == anchor)
-            if blocks > 1:
-                home = home[(fps[home] % np.uint64(blocks)).astype(np.int64) == block]
-            return _forest(fps, home, max_bits)
+        def anchor_links(fps: np.ndarray, asks: np.ndarray):
+            # sorted; a fingerprint may be there as a home and as a member
+            own = np.unique(fps[asks])
+            fps = np.unique(fps)
+            return _forest(fps, np.searchsorted(fps, own), max_bits)
 
         out: list[tuple[int, int]] = []
         last, held = None, []
         for b in batches:
-            key = b[["anchor", "block", "blocks"]].to_numpy(np.int64)
+            key = b[["anchor", "home_block", "member_block"]].to_numpy(np.int64)
+            asks = b["asks"].to_numpy(bool)
             fp = b["fp"].to_numpy(np.int64).view(np.uint64)
             if not len(fp):
                 continue
@@ -195,15 +187,15 @@ def _links_of(max_bits: int):
             for i, j in zip(at, at[1:]):
                 this = tuple(key[i].tolist())
                 if last is not None and this != last:
-                    out.extend(anchor_links(*last, np.concatenate(held)))
+                    out.extend(anchor_links(*map(np.concatenate, zip(*held))))
                     held = []
                 last = this
-                held.append(fp[i:j])
+                held.append((fp[i:j], asks[i:j]))
             if len(out) >= 10_000:
                 yield _frame(out)
                 out = []
         if held:
-            out.extend(anchor_links(*last, np.concatenate(held)))
+            out.extend(anchor_links(*map(np.concatenate, zip(*held))))
         if out:
             yield _frame(out)
     return links
@@ -220,17 +212,25 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     table or cheap: it is read twice."""
     if max_bits >= 2 * len(PARTS):
         raise ValueError(f"{max_bits} differing bits need more than {len(PARTS)} parts")
-    crowded = save(fps.mapInPandas(_homes, "anchor long").groupBy("anchor").count()
-                   .where(F.col("count") > HOME_BLOCK)
-                   .select("anchor", F.ceil(F.col("count") / HOME_BLOCK).cast("int").alias("blocks")),
-                   "simhash-crowded")
-    members = (fps.mapInPandas(_replicas, "anchor long, fp long")
-               .join(crowded, "anchor", "left")
-               .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return (members.repartition("anchor", "block")
-            .sortWithinPartitions("anchor", "block")
-            .select("anchor", "block", "blocks", "fp")
+    replicas = fps.mapInPandas(_replicas, "anchor long, fp long, home boolean")
+    crowded = save(replicas.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count("fp").alias("members"))
+                   .where((F.col("homes") > HOME_BLOCK) | (F.col("members") > MEMBER_BLOCK))
+                   .select("anchor", F.greatest(F.ceil(F.col("homes") / HOME_BLOCK), F.lit(1)).cast("int").alias("rows"),
+                           F.ceil(F.col("members") / MEMBER_BLOCK).cast("int").alias("columns")), "simhash-crowded")
+    # block (i, j) of an anchor compares homes i with members j: a fingerprint
+    # goes to its column as a member and, if at home, to its row as a home
+    one, own = F.lit(1), F.col("home")
+    row, column = F.pmod(F.xxhash64("fp"), F.col("rows")).cast("int"), F.pmod(F.hash("fp"), F.col("columns")).cast("int")
+    as_member = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(
+        i.alias("home_block"), column.alias("member_block"), (own & (i == row)).alias("asks")))
+    as_home = F.transform(F.filter(F.sequence(F.lit(0), F.col("columns") - 1), lambda j: own & (j != column)),
+                          lambda j: F.struct(row.alias("home_block"), j.alias("member_block"), F.lit(True).alias("asks")))
+    members = (replicas.join(crowded, "anchor", "left")
+               .withColumn("rows", F.coalesce("rows", one)).withColumn("columns", F.coalesce("columns", one))
+               .select("anchor", "fp", F.explode(F.concat(as_member, as_home)).alias("at"))
+               .select("anchor", "at.*", "fp"))
+    return (members.repartition("anchor", "home_block", "member_block")
+            .sortWithinPartitions("anchor", "home_block", "member_block")
             .mapInPandas(_links_of(max_bits), "a long, b long"))
 
 

@@ -10,12 +10,11 @@ scored exactly, which proves a least score for place k; once the vectors that
 could still reach it are few (or the levels end) they are scored exactly and
 the search stops. The levels decide how much is read, never the result.
 
-Scale. Vectors and queries are dealt into blocks by a hash of their id, and
-each pair of a vector block and a query block is one group of bounded size
-(``VECTORS`` + ``QUERIES`` rows): the index is built there once and serves
-the block's queries. Vectors are copied once per query block, which the
-stated query set makes N / 50 / QUERIES; every query is held against every
-vector, as it must be. The best k of each pair are merged per query.
+Scale. Vectors are dealt into blocks of about ``VECTORS`` by a hash of their
+id, queries into runs of about ``QUERIES``. A task holds one block, indexes it
+once, and the queries of a run stream past it, so memory holds a block and a
+batch whatever a run's length; vectors are copied once per run, and every query
+is held against every vector, as it must be. The best k of each pair are merged per query.
 
 Vectors with a component of ``INDEXED`` or more in size are beyond the index's
 range. They are dealt into the same blocks and scored exactly, pair by pair: in
@@ -40,10 +39,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import bound_batches
+
 SCALE = 256
 LIMIT = math.inf         # components are smaller than this
 INDEXED = 1 << 16        # and those of indexed vectors than this
-VECTORS, QUERIES = 8192, 2048
+VECTORS, QUERIES = 8192, 131_072
 _SHIFT = 1 << 26         # keeps the dimensions apart in one sorted list
 LEVELS = (1 / 8, 0.0, -1 / 8)  # of the highest impact
 RESCORED = 4  # rescore once at most one vector in so many could still be a member
@@ -173,37 +174,65 @@ def _stacked(vectors: pd.Series, d: int, kind: type) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(kind).reshape(len(vectors), d)
 
 
-def _search_pair(k: int):
-    def search(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+class _Block:
+    """The vectors of a block, indexed once for all queries that pass by."""
+
+    def __init__(self, vectors: pd.DataFrame, k: int):
+        self.vectors, self.k, self.made = vectors, k, {}
+        self.sizes = _sizes(vectors) if len(vectors) else pd.Series([], dtype="int64")
+
+    def _of(self, d: int):
+        if d not in self.made:
+            block = self.vectors[(self.sizes == d).to_numpy()]
+            near, far = block[block["wide"].isna()], block[block["wide"].notna()]
+            self.made[d] = (
+                ImpactIndex(near["vec_id"].to_numpy(np.int64), _stacked(near["q"], d, np.int64)) if len(near) else None,
+                Pairs(far["vec_id"].to_numpy(np.int64), _stacked(far["wide"], d, float)) if len(far) else None)
+        return self.made[d]
+
+    def search(self, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(vectors) and len(queries):
-            sizes = _sizes(vectors)
-            for d, part in queries.groupby(_sizes(queries)):
-                block = vectors[sizes == d]
-                near, far = block[block["wide"].isna()], block[block["wide"].notna()]
-                index = pairs = None
-                if len(near):
-                    index = ImpactIndex(near["vec_id"].to_numpy(np.int64), _stacked(near["q"], d, np.int64))
-                    if part["wide"].notna().any():
-                        pairs = Pairs(index.ids, index.vectors / SCALE)
-                if len(far):
-                    beyond = Pairs(far["vec_id"].to_numpy(np.int64), _stacked(far["wide"], d, float))
-                for query_id, twin, q, wide in zip(part["vec_id"], part["twin"], part["q"], part["wide"]):
-                    best = []
-                    if index and wide is None:
-                        ids, scores = index.search(np.asarray(q, np.int64), query_id, k)
-                        best += zip(scores.tolist(), ids.tolist())
-                    scaled = np.asarray(q, float) / SCALE if wide is None else np.asarray(wide, float)
-                    if pairs and wide is not None:
-                        best += pairs.search(scaled, query_id, k)
-                    if len(far):
-                        best += beyond.search(scaled, query_id, k)
-                        best = sorted(best, key=lambda b: (-b[0], b[1]))[:k]
-                    out += [(query_id, twin, i, *_sortable(s)) for s, i in best]
+        for d, part in queries.groupby(_sizes(queries)):
+            index, beyond = self._of(d)
+            pairs = Pairs(index.ids, index.vectors / SCALE) if index and part["wide"].notna().any() else None
+            for query_id, twin, q, wide in zip(part["vec_id"], part["twin"], part["q"], part["wide"]):
+                best = []
+                if index and wide is None:
+                    ids, scores = index.search(np.asarray(q, np.int64), query_id, self.k)
+                    best += zip(scores.tolist(), ids.tolist())
+                scaled = np.asarray(q, float) / SCALE if wide is None else np.asarray(wide, float)
+                if pairs and wide is not None:
+                    best += pairs.search(scaled, query_id, self.k)
+                if beyond:
+                    best += beyond.search(scaled, query_id, self.k)
+                    best = sorted(best, key=lambda b: (-b[0], b[1]))[:self.k]
+                out += [(query_id, twin, i, *_sortable(s)) for s, i in best]
         found = pd.DataFrame(out, columns=["query_id", "twin", "vec_id", "score", "side", "key"], dtype=object)
         return found.astype({"query_id": "int64", "twin": "int64", "vec_id": "int64", "score": "Int64",
                              "side": "int32"})
-    return search
+
+
+def _search_blocks(k: int):
+    """Rows sorted by (v, u, asks): of each (v, u) first the vectors of block
+    v, which are held, then the queries of run u, which stream by."""
+    def run(batches):
+        last, held, block = None, [], None
+        for b in batches:
+            key = b[["v", "u", "asks"]].to_numpy(np.int64)
+            if not len(key):
+                continue
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            at = [0, *cuts.tolist(), len(b)]
+            for i, j in zip(at, at[1:]):
+                if tuple(key[i, :2]) != last:
+                    last, held, block = tuple(key[i, :2]), [], None
+                if not key[i, 2]:
+                    held.append(b.iloc[i:j])
+                    continue
+                if block is None:
+                    block, held = _Block(pd.concat(held) if held else b.iloc[:0], k), []
+                yield block.search(b.iloc[i:j])
+    return run
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -229,11 +258,13 @@ def search(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id",
     v_blocks, q_blocks = max(1, -(-n // VECTORS)), max(1, -(-m // QUERIES))
     block = F.xxhash64("vec_id", "twin")
     left = (rows.withColumn("v", F.pmod(block, F.lit(v_blocks)))
-            .withColumn("u", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))))
+            .withColumn("u", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("asks", F.lit(False)))
     right = (rows.where(is_query).withColumn("u", F.pmod(block, F.lit(q_blocks)).cast("int"))
-             .withColumn("v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(v_blocks - 1).cast("long")))))
-    found = left.groupBy("v", "u").cogroup(right.groupBy("v", "u")).applyInPandas(
-        _search_pair(k), "query_id long, twin long, vec_id long, score long, side int, key string")
+             .withColumn("v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(v_blocks - 1).cast("long"))))
+             .withColumn("asks", F.lit(True)))
+    bound_batches(vectors.sparkSession)
+    found = (left.unionByName(right).repartition("v", "u").sortWithinPartitions("v", "u", "asks")
+             .mapInPandas(_search_blocks(k), "query_id long, twin long, vec_id long, score long, side int, key string"))
     place = Window.partitionBy("query_id", "twin").orderBy(
         F.desc("side"), F.desc("key"), F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from conftest import SF001
@@ -115,6 +116,28 @@ def test_links_and_crowded_anchors(spark, monkeypatch):
         assert sorted(map(sorted, label.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("home, member", [(4096, 65_536), (4096, 11), (7, 50), (50, 7)])
+def test_a_hot_anchor_is_split_both_ways(spark, monkeypatch, home, member):
+    """Most fingerprints share one part's anchor (a templated corpus): no
+    block holds more than its homes and members, and no link is lost."""
+    rnd = random.Random(9)
+    monkeypatch.setattr(simhash, "HOME_BLOCK", home)
+    monkeypatch.setattr(simhash, "MEMBER_BLOCK", member)
+    base = rnd.getrandbits(64)
+    fps = {base ^ (rnd.getrandbits(43) << 21 if rnd.random() < 0.5 else sum(1 << b for b in rnd.sample(range(64), rnd.randrange(6))))
+           for _ in range(300)}
+    fps = sorted(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    pairs = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
+    found = {r.node: r.root for r in simhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    label, want = {}, {}
+    for i, (x, c) in enumerate(zip(signed, brute_components(fps))):
+        label.setdefault(found.get(x, x), set()).add(i)
+        want.setdefault(c, set()).add(i)
+    assert sorted(map(sorted, label.values())) == sorted(map(sorted, want.values()))
+    assert len(want) < len(fps)
+
+
 def test_components_of_a_long_chain(spark):
     n = 3000
     order = list(range(n))

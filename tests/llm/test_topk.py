@@ -106,3 +106,33 @@ def test_components_of_any_size(spark, monkeypatch, blocks):
     out = topk.search(df, F.col("vec_id") % 5 == 0, 5).select("query_id", "rank", "vec_id", "score").collect()
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
     assert any(w[3] is None for w in want) and any(w[3] and w[3] > 2**50 for w in want)
+
+
+def test_queries_stream_past_one_index(spark, monkeypatch):
+    """Runs of queries over many Arrow batches, at the real block size and at
+    small ones: an index is built once a block and run, whatever the batches."""
+    rnd = np.random.default_rng(3)
+    rows = [(i, (rnd.integers(-200, 200, 8) / 100).tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute(rows, 4, 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        for blocks in ((8192, 131_072), (100, 131_072), (100, 60)):
+            monkeypatch.setattr(topk, "VECTORS", blocks[0])
+            monkeypatch.setattr(topk, "QUERIES", blocks[1])
+            assert got(topk.search(df, F.col("vec_id") % 3 == 0, 4)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    built = []
+    whole = topk.ImpactIndex
+
+    def counting(*args):
+        built.append(1)
+        return whole(*args)
+
+    monkeypatch.setattr(topk, "ImpactIndex", counting)
+    frame = topk.quantised(df).select("*", F.lit(0).cast("long").alias("v"), F.lit(0).alias("u"), F.lit(False).alias("asks")).toPandas()
+    asks = frame.assign(asks=True)
+    batches = [frame[:400], frame[400:], *(asks[i:i + 50] for i in range(0, 900, 50))]
+    assert sum(map(len, topk._search_blocks(4)(iter(batches)))) == 900 * 4 and built == [1]
