@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rivulet.functions.codecs import alert_text, decode_event, parse_tuple_text
@@ -13,9 +15,15 @@ from rivulet.operators.iterate import fibonacci_steps, route
 from rivulet.operators.statemachine import TRANSITIONS, state_machine_alerts
 from rivulet.operators.trigger import delta_trigger_top
 from rivulet.plans.catalog import query
+from rivulet.session import checkpoint_dir
 from rivulet.sinks import tuple_line
+from rivulet.sinks.ledger import committed, write_ledger
+from rivulet.sources.replay import replay_stream
 from rivulet.sources.streams import decode_word_events, encode_state_events, encode_word_events
 from rivulet.sources.tables import table
+from rivulet.streaming.config import ROCKSDB_PROVIDER, run_to_end
+from rivulet.streaming.keyed import followed_by_in_time
+from rivulet.streaming.windows import session_windows, until_end
 
 
 def cents():
@@ -426,3 +434,57 @@ def pattern_run_by_type(spark, sf):
     """Runs of high values, in keys that span many blocks."""
     ev = _events(spark, sf).select("event_type", "event_id", "value")
     return P.start_then_run(ev, "event_type", "event_id", F.col("value") > 250, ["event_id"], width=1024)
+
+
+@query("stream_sessions", sql=f"""
+WITH s AS (
+  SELECT user_id, event_id, ts, {_CENTS_SQL} AS cents,
+         CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL 1 HOUR
+              THEN 1 ELSE 0 END AS st
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+n AS (SELECT *, sum(st) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts) + INTERVAL 1 HOUR) AS end_us,
+       count(*) AS n_events, CAST(sum(cents) AS BIGINT) AS sum_cents
+FROM n GROUP BY user_id, sid
+""")
+def stream_sessions(spark, sf):
+    """The events replayed as a stream in order of time, sessions closed by
+    watermark and end marker, written by the sink that commits."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rivulet-stream/{uuid.uuid4().hex}"
+    ev = _events(spark, sf).where("ts is not null").select(
+        "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), cents().alias("cents"))
+    ev.repartitionByRange("ts").sortWithinPartitions("ts").write.parquet(f"{root}/events")
+    stream = until_end(replay_stream(spark, f"{root}/events", ev.schema, marker="ts"), "ts")
+    sessions = session_windows(stream, "ts", "1 hour", ["user_id"],
+                               [F.count(F.lit(1)).alias("n_events"), F.sum("cents").alias("sum_cents")])
+    timed = sessions.select("user_id", F.unix_micros("session_start").alias("start_us"),
+                            F.unix_micros("session_end").alias("end_us"), "n_events", "sum_cents")
+    run_to_end(write_ledger(timed, f"{root}/out", f"{root}/checkpoint"))
+    return committed(spark, f"{root}/out", timed.schema)
+
+
+@query("stream_pattern_global", sql="""
+WITH n AS (SELECT *, lead(event_type) OVER w AS nt, lead(ts) OVER w AS nts, lead(event_id) OVER w AS next_event_id
+           FROM events WINDOW w AS (ORDER BY ts, event_id))
+SELECT event_id, next_event_id FROM n
+WHERE event_type = 'click' AND nt = 'purchase' AND nts < ts + INTERVAL 1 HOUR
+""")
+def stream_pattern_global(spark, sf):
+    """The pattern over all keys in event time, on a replayed stream."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rivulet-stream/{uuid.uuid4().hex}"
+    ev = _events(spark, sf).where("ts is not null").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    ev.repartitionByRange("ts").sortWithinPartitions("ts").write.parquet(f"{root}/events")
+    stream = until_end(replay_stream(spark, f"{root}/events", ev.schema, marker="ts"), "ts")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB_PROVIDER)  # a query takes it when it starts
+    try:
+        hits = followed_by_in_time(stream, "ts", "event_id", F.col("event_type") == "click",
+                                   F.col("event_type") == "purchase", "1 hour", [], "1 day")
+        found = hits.select("event_id", "next_event_id")
+        run_to_end(write_ledger(found, f"{root}/out", f"{root}/checkpoint"))
+    finally:
+        spark.conf.set(provider, before)
+    return committed(spark, f"{root}/out", found.schema)

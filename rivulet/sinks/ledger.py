@@ -41,7 +41,7 @@ class _LedgerWriter(DataSourceStreamArrowWriter):
     def __init__(self, path: str) -> None:
         self.path = path.rstrip("/")
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written | None:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         import pyarrow.parquet as pq
         store, at = file_system(f"{self.path}/data")
         name, rows, out = f"{uuid.uuid4().hex}.parquet", 0, None
@@ -53,8 +53,8 @@ class _LedgerWriter(DataSourceStreamArrowWriter):
                 out = pq.ParquetWriter(f"{at}/{name}", batch.schema, filesystem=store)
             out.write_batch(batch)
             rows += batch.num_rows
-        if out is None:
-            return None
+        if out is None:  # a task without rows
+            return Written("", 0)
         out.close()
         return Written(name, rows)
 
@@ -65,14 +65,14 @@ class _LedgerWriter(DataSourceStreamArrowWriter):
         if get_whole(self._entry(batchId)) is not None:  # a batch that is run again
             self.abort(messages, batchId)
             return
-        put_whole(self._entry(batchId), json.dumps([m.name for m in messages if m]).encode())
+        put_whole(self._entry(batchId), json.dumps([m.name for m in messages if m and m.name]).encode())
 
     def abort(self, messages, batchId: int) -> None:
         # Spark also aborts a batch whose commit failed after the entry was made
         kept = set(json.loads(get_whole(self._entry(batchId)) or b"[]"))
         store, at = file_system(f"{self.path}/data")
         for m in messages:
-            if m and m.name not in kept:
+            if m and m.name and m.name not in kept:
                 store.delete_file(f"{at}/{m.name}")
 
 
