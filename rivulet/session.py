@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +71,22 @@ def ship_package(spark: SparkSession) -> None:
     sc._rivulet_shipped = True
 
 
+@contextmanager
+def by_value():
+    """Classes and functions of this package that are handed to Spark in this
+    block travel whole. The processes in which Spark plans Python stream
+    sources and sinks and transformWithState don't get the files a session was
+    given, so they could not import them."""
+    from pyspark import cloudpickle
+
+    import rivulet
+    cloudpickle.register_pickle_by_value(rivulet)
+    try:
+        yield
+    finally:
+        cloudpickle.unregister_pickle_by_value(rivulet)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints.
 

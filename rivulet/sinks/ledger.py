@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter,
                                     WriterCommitMessage)
 
-from rivulet.sources.replay import file_system, get_whole, put_whole
+from rivulet.sources.replay import file_system, get_whole, put_whole, register
 
 
 @dataclass
@@ -89,7 +89,7 @@ class LedgerSink(DataSource):
 
 def write_ledger(df: DataFrame, path: str, checkpoint: str):
     """A stream writer (to be started) that commits each batch once."""
-    df.sparkSession.dataSource.register(LedgerSink)
+    register(df.sparkSession, LedgerSink)
     return (df.writeStream.format("rivulet_ledger").option("path", path).option("checkpointLocation", checkpoint))
 
 
@@ -188,7 +188,7 @@ def copy_committed(files: DataFrame, target: str) -> DataFrame:
     ``target``, over files that are there, all or none. Returns
     ``(relative_path, bytes)`` of what was copied."""
     spark, job = files.sparkSession, uuid.uuid4().hex
-    spark.dataSource.register(CopySink)
+    register(spark, CopySink)
     columns = [c for c in ("path", "relative_path", "content") if c in files.columns]
     (files.select(*columns).repartition("relative_path").write.format("rivulet_copy").mode("append")
      .option("path", target).option("job", job).save())

@@ -36,11 +36,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from rivulet.session import by_value
+
 #: The event time of an end marker. Later elements count as markers too.
 END = datetime(2262, 1, 1, tzinfo=timezone.utc)
 END_SQL = "TIMESTAMP'2262-01-01 00:00:00Z'"
 
 
+def register(spark: SparkSession, source: type) -> None:
+    """Make a Python data source known to the session."""
+    with by_value():
+        spark.dataSource.register(source)
+
+
 def file_system(path: str):
     """The pyarrow file system of a path or URI, and the path on it."""
     from pyarrow import fs
@@ -256,7 +264,7 @@ class ReplaySource(DataSource):
 def counter_stream(spark: SparkSession, end: int, start: int = 0, step_ms: int = 1, marker: bool = False,
                    **options) -> DataFrame:
     """A stream of ``n`` and ``event_time`` (see the module)."""
-    spark.dataSource.register(CounterSource)
+    register(spark, CounterSource)
     reader = spark.readStream.format("rivulet_counter").option("start", start).option("end", end) \
         .option("stepMillis", step_ms)
     if marker:
@@ -269,7 +277,7 @@ def replay_stream(spark: SparkSession, path: str, schema: T.StructType | str, ma
     """A stream of the rows below ``path``, in order. ``marker`` names the
     event-time column an end marker is put into; ``counter`` adds a column
     that numbers the elements."""
-    spark.dataSource.register(ReplaySource)
+    register(spark, ReplaySource)
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
     reader = spark.readStream.format("rivulet_replay").option("path", path)
     if counter:

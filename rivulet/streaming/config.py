@@ -26,15 +26,16 @@ def run_to_end(writer, timeout_s: int = 3600) -> None:
     """Start a stream writer and wait until its input is used up and the
     windows closed by its end marker are out. ``availableNow`` on a Python
     source needs a setting for that last batch, which a query takes from its
-    session when it starts; the session's own value is put back."""
+    session some time after it is started; the session's own value is put back
+    when the query has ended."""
     conf = writer._spark.conf
     name = "spark.sql.streaming.triggerAvailableNowWrapper.enabled"
     before = conf.get(name)
     conf.set(name, "true")
     try:
         query = writer.trigger(availableNow=True).start()
+        if not query.awaitTermination(timeout_s):
+            query.stop()
+            raise TimeoutError(f"the stream has not ended in {timeout_s} s")
     finally:
         conf.set(name, before)
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"the stream has not ended in {timeout_s} s")

@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rivulet.functions.codecs import EVENT_TYPES
 from rivulet.operators.statemachine import STATES, STEP, UNKNOWN, VALID, segmented_compose
+from rivulet.session import by_value
 from rivulet.streaming.stateful import _micros, _sum_type, _without_nulls
 
 
@@ -59,8 +60,9 @@ class _Sorted(StatefulProcessor):
 
 def _run(stream: DataFrame, by: str, processor: _Sorted, schema: str) -> DataFrame:
     processor.columns = stream.columns
-    return stream.groupBy(by).transformWithStateInPandas(
-        processor, schema, "append", "ProcessingTime" if processor.idle_ms else "none")
+    with by_value():
+        return stream.groupBy(by).transformWithStateInPandas(
+            processor, schema, "append", "ProcessingTime" if processor.idle_ms else "none")
 
 
 class _Totals(_Sorted):
@@ -229,5 +231,6 @@ def followed_by_in_time(stream: DataFrame, ts: str, tie: str, first: Column, the
            .withColumn("_own", F.col("_block") == F.col("_mine")).drop("_mine")
            .where(F.col("_own") | (F.col("_us") < (F.col("_block") + 1) * block_us + within_us)))
     schema = ", ".join([*(f"`{c}` {dt[c]}" for c in kept), *(f"`next_{c}` {dt[c]}" for c in nexts)])
-    return cut.groupBy("_block").transformWithStateInPandas(
-        _BlockOfTime(cut.columns, ts, tie, block_us, within_us, kept, nexts), schema, "append", "EventTime")
+    with by_value():
+        return cut.groupBy("_block").transformWithStateInPandas(
+            _BlockOfTime(cut.columns, ts, tie, block_us, within_us, kept, nexts), schema, "append", "EventTime")
