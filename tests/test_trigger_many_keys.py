@@ -1,0 +1,121 @@
+"""The delta trigger over many small blocks: worked through many at a time."""
+
+import random
+import re
+from collections import defaultdict, deque
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rivulet.operators.trigger import (EARLIER, _check_monotone, _Entries, _next_and_end, _range_argmax,
+                                       _range_argmax_table, _staircase, delta_trigger_top, whole_groups)
+
+sizes = st.lists(st.integers(1, 12), min_size=1, max_size=12)
+
+
+def _cut(ns):
+    starts = np.append(0, np.cumsum(ns)[:-1])
+    return starts, list(zip(starts, starts + ns))
+
+
+@settings(max_examples=200, deadline=None)
+@given(sizes, st.integers(1, 40), st.integers(1, 9))
+def test_groups_come_whole_and_many_at_once(ns, chunk, step):
+    keys = np.repeat([f"k{i // 2:02d}" for i in range(len(ns))], ns)
+    blocks = np.repeat(np.arange(len(ns)) % 2, ns)
+    whole = pa.table({"k": pa.array(keys.tolist()), "b": blocks, "row": np.arange(len(keys))})
+    got, calls = [], 0
+    for g, starts in whole_groups(iter([pa.RecordBatch.from_pydict({"k": [], "b": [], "row": []}, whole.schema),
+                                        *whole.to_batches(max_chunksize=step)]), ["k", "b"], chunk):
+        calls += 1
+        rows = g.column("row").to_pylist()
+        got += [rows[a:b] for a, b in zip(starts, [*starts[1:], len(rows)])]
+    assert got == [list(range(a, b)) for a, b in _cut(np.array(ns))[1]]
+    assert calls <= 1 + sum(ns) // max(1, chunk - max(ns))
+
+
+@settings(max_examples=200, deadline=None)
+@given(sizes, st.integers(0, 30), st.randoms(use_true_random=False))
+def test_helpers_keep_groups_apart(ns, threshold, rnd):
+    n = sum(ns)
+    starts, cuts = _cut(np.array(ns))
+    v = np.array([float(rnd.randint(0, 6)) for _ in range(n)])
+    d = np.concatenate([np.cumsum([float(rnd.randint(0, 20)) for _ in range(k)]) for k in ns])
+    nxt, end = _next_and_end(d, float(threshold), starts)
+    one = [(_next_and_end(d[a:b], float(threshold)), a) for a, b in cuts]
+    assert nxt.tolist() == [i + a for (x, _), a in one for i in x.tolist()]
+    assert end.tolist() == [i + a for (_, x), a in one for i in x.tolist()]
+    assert _staircase(v, starts).tolist() == [i + a for a, b in cuts for i in _staircase(v[a:b]).tolist()]
+    pairs = [(a, b - 1) for a, b in cuts] + [(i, i) for i in range(n)]
+    lo, hi = (np.array(x) for x in zip(*pairs))
+    top = _range_argmax(_range_argmax_table(v, int((hi - lo).max()) + 1), v, lo, hi)
+    assert top.tolist() == [a + int(np.argmax(v[a:b + 1])) for a, b in pairs]
+
+
+def test_order_is_checked_inside_groups_only():
+    d, t = np.array([5.0, 6.0, 1.0, 2.0]), np.array([1, 2, 1, 2])
+    _check_monotone(d, t, np.array([0, 2]))
+    for wrong in ([0], [0, 1], [0, 3]):
+        with pytest.raises(ValueError, match="non-decreasing"):
+            _check_monotone(d, t, np.array(wrong))
+
+
+def _many(spark):
+    """600 keys of 1 to 9 rows, a few of hundreds; speeds often fall, so that
+    rows of earlier blocks win; in the last key all are equal, several at a time."""
+    rnd, rows, q = random.Random(5), [], 0
+    for k in range(606):
+        at, v = 0.0, 60
+        for _ in range(300 if k >= 603 else rnd.randint(1, 9)):
+            q += rnd.choice([1, 1, 4])
+            at += rnd.choice([0, 2, 9])
+            v = 60 if rnd.random() < 0.1 else max(0, v - rnd.choice([0, 1, 3]))
+            rows.append((None if k == 7 else k, q, q // 9 * 18 if k == 605 else q * 2, 5.0 if k == 605 else float(v), at))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, q long, s long, v double, d double")
+    return rows, df.withColumn("ts", F.timestamp_seconds("s"))
+
+
+@pytest.mark.parametrize("width", [7, 100, 1 << 16])
+def test_many_small_keys_match_a_plain_model(spark, width):
+    rows, df = _many(spark)
+    seen, last, want = defaultdict(list), {}, []
+    for k, q, t, v, d in sorted(rows, key=lambda r: r[1]):
+        seen[k].append((v, -q, d, t))
+        if k not in last:
+            last[k] = d
+        elif d - last[k] > 12.0:
+            last[k] = d
+            top = max(x for x in seen[k] if x[3] > t - 60)
+            want.append((k, q, -top[1], top[0], top[2], top[3]))
+    out = delta_trigger_top(df, "k", "ts", "q", "v", "d", 12.0, "60 seconds", width)
+    got = [tuple(r) for r in out.select("k", "fire_q", "q", "v", "d", F.unix_seconds("ts")).collect()]
+    assert len(want) > 400 and any(w[1] - w[2] > 7 for w in want)
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_a_long_staircase_is_not_handed_to_every_block():
+    out, stairs = _Entries(), deque((i, 5.0, float(i), i) for i in range(1000))
+    for blk in range(90):
+        t0 = 1000 + 10 * blk
+        while stairs[0][3] <= t0 - 1000:
+            stairs.popleft()
+        out.add("k", blk, 0.0, stairs, t0 + 9 - 1000)
+    got = out.batch().to_pylist()
+    assert len(got) <= 1000 + 2 * 90
+    assert [r["q"] for r in got if r["kind"] == EARLIER and r["_blk"] == 1] == list(range(11, 21))
+
+
+def test_entry_states_are_rows_not_columns_of_every_row(spark):
+    """The replay's rows carry no lists and meet no join, and no Python step
+    takes pandas frames."""
+    _, df = _many(spark)
+    plan = delta_trigger_top(df, "k", "ts", "q", "v", "d", 12.0, "60 seconds")._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert "Join" not in text and "MapInPandas" not in text and text.count("MapInArrow") == 3
+    replay = next(line for line in text.splitlines() if "replay(" in line)
+    assert "_blk#" in replay and not re.search(r"\b(e|st)_[qvdt]#", replay)
